@@ -279,8 +279,8 @@ def rule_first_match(spark, d):
     docs = t.read(spark, d, "documents")
     category = F.expr("""CASE doc_id % 5 WHEN 0 THEN 'clinical_services' WHEN 1 THEN 'support_services'
         WHEN 2 THEN 'diagnostic_services' WHEN 3 THEN 'twenty_four_hour' ELSE 'other' END""")
-    attributes = crosswalks.name_rule_attributes(category, F.col("text"))
-    return docs.select("doc_id", attributes.alias("a")).select("doc_id", "a.*")
+    out = crosswalks.with_name_rules(docs.select("doc_id", "text", category.alias("category")), "category", "text")
+    return out.select("doc_id", "service_domain", "service_group", "is_clinical", "include_in_analysis")
 
 
 def rule_names(spark, d):

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 PLAIN = re.compile(r"[a-z0-9 ,/&-]+")
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Case-insensitive match anywhere in ``text``; NULL text does not match.
+def matches(lowered: Column, pattern: str) -> Column:
+    """Pattern occurs anywhere in lower-case text; NULL text does not match.
 
     ``pattern`` is lower case, with alternatives on the top level only. Plain
-    alternatives become substring searches, which are several times cheaper on long
-    texts than a regular expression; the rest stay one expression.
+    alternatives become substring searches, which are cheaper on long texts than a
+    regular expression; the rest stay one expression.
     """
-    lowered = F.lower(text)
     alternatives = pattern.split("|")
     tests = [lowered.contains(a) for a in alternatives if PLAIN.fullmatch(a)]
     regex = "|".join(a for a in alternatives if not PLAIN.fullmatch(a))
@@ -29,16 +28,18 @@ def matches(text: Column, pattern: str) -> Column:
     return F.coalesce(reduce(lambda x, y: x | y, tests), F.lit(False))
 
 
-def first_match(text: Column, rules: Iterable[tuple[str, object]], default: object) -> Column:
-    """Value of the first rule whose pattern occurs in ``text``, else ``default``.
+def first_match(lowered: Column, rules: Iterable[tuple[str, object]], default: object) -> Column:
+    """Value of the first rule whose pattern occurs in ``lowered``, else ``default``.
 
     Values may be Python literals or Columns (structs for several attributes at
-    once). Rules are tried in the given order and only until one matches.
+    once). Rules are tried in the given order and only until one matches. Give a
+    column that holds the lower-case text: ``lower(...)`` itself would be evaluated
+    again for every alternative.
     """
     case = None
     for pattern, value in rules:
         value = value if isinstance(value, Column) else F.lit(value)
-        hit = matches(text, pattern)
+        hit = matches(lowered, pattern)
         case = F.when(hit, value) if case is None else case.when(hit, value)
     default = default if isinstance(default, Column) else F.lit(default)
     return default if case is None else case.otherwise(default)

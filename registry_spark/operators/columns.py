@@ -22,7 +22,7 @@ def trim_column_names(df: DataFrame) -> DataFrame:
 
 def classify_ownership(text):
     """Broad ownership class of a free-text owner; NULL text is "Other"."""
-    return first_match(text, OWNERSHIP_RULES, OWNERSHIP_DEFAULT)
+    return first_match(F.lower(text), OWNERSHIP_RULES, OWNERSHIP_DEFAULT)
 
 
 def standardize_columns(df: DataFrame, country: str, source: Source) -> DataFrame:

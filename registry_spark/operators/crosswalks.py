@@ -34,15 +34,17 @@ def vocabulary(df: DataFrame, columns: list[str], *, drop_nulls: bool = False) -
     return (pairs.dropna() if drop_nulls else pairs).distinct()
 
 
-def name_rule_attributes(
-    category: Column,
-    name: Column,
+def with_name_rules(
+    df: DataFrame,
+    category: str,
+    name: str,
     rules: tuple[NameRule, ...] = NAME_RULES,
     defaults: tuple[CategoryRule, ...] = CATEGORY_DEFAULTS,
-) -> Column:
-    """Struct (domain, group, clinical, include) of the first name rule, else of the category.
+) -> DataFrame:
+    """Add domain, group, clinical and include of the first name rule, else of the category.
 
-    A rule into the support domain turns both flags off, any other rule on.
+    A rule into the support domain turns both flags off, any other rule on. Also
+    adds ``lowered``, the lower-case name the rules were tried on.
     """
 
     def attributes(domain: str, group: str, clinical: bool, include: bool) -> Column:
@@ -59,24 +61,27 @@ def name_rule_attributes(
         for part in (F.lit(d.category), attributes(d.domain, d.group, d.is_clinical, d.include_in_analysis))
     ])
     cases = [(r.pattern, attributes(r.domain, r.group, r.domain != SUPPORT, r.domain != SUPPORT)) for r in rules]
-    return first_match(name, cases, F.element_at(by_category, category))
+    lowered = df.withColumn("lowered", F.lower(F.col(name)))
+    matched = lowered.withColumn(
+        "__a", first_match(F.col("lowered"), cases, F.element_at(by_category, F.col(category)))
+    )
+    return matched.select("*", "__a.*").drop("__a")
 
 
 def crosswalk_from_names(
     pairs: DataFrame, category: str = "service_category", name: str = "service_name", **tables
 ) -> DataFrame:
     """Crosswalk of distinct (category, name) pairs by ordered name rules."""
-    c, n = F.col(category), F.col(name)
-    return pairs.withColumn("__a", name_rule_attributes(c, n, **tables)).select(
-        c.alias("source_category"),
-        n.alias("source_service_name"),
-        F.col("__a.service_domain"),
-        F.col("__a.service_group"),
-        n.alias("service_name"),
-        F.col("__a.is_clinical"),
-        matches(n, MALARIA_NAME).alias("is_malaria_related"),
-        F.col("__a.include_in_analysis"),
-        matches(n, REVIEW_NAME).alias("needs_review"),
+    return with_name_rules(pairs.select(category, name), category, name, **tables).select(
+        F.col(category).alias("source_category"),
+        F.col(name).alias("source_service_name"),
+        "service_domain",
+        "service_group",
+        F.col(name).alias("service_name"),
+        "is_clinical",
+        matches(F.col("lowered"), MALARIA_NAME).alias("is_malaria_related"),
+        "include_in_analysis",
+        matches(F.col("lowered"), REVIEW_NAME).alias("needs_review"),
     )
 
 
