@@ -7,7 +7,12 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str = "registry_spark", cores: str | int = "*", checkpoint_dir: str | None = None):
+def local_session(
+    name: str = "registry_spark",
+    cores: str | int = "*",
+    checkpoint_dir: str | None = None,
+    warehouse: str | None = None,
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
@@ -15,11 +20,12 @@ def local_session(name: str = "registry_spark", cores: str | int = "*", checkpoi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

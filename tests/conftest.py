@@ -11,7 +11,8 @@ from registry_spark.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.environ.setdefault("SHUFFLE_PARTITIONS", "4")
-    session = local_session("tests", 8, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session("tests", 8, checkpoint_dir=str(shared), warehouse=str(shared / "warehouse"))
     yield session
     session.stop()
 
