@@ -64,7 +64,7 @@ EXACT_RULES = "(VALUES " + ", ".join(
 
 
 def completeness() -> str:
-    names = ["source_row", "facility_code", "facility_name", "country", "iso", "admin1", "admin2", "facility_type",
+    names = ["source_row", "balance", "facility_code", "facility_name", "country", "iso", "admin1", "admin2", "facility_type",
              "ownership_raw", "latitude", "longitude", "open_date_raw", "status", "catchment_population", "inpatient"]
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows,
@@ -198,17 +198,31 @@ ORACLES = {
  CASE WHEN result_lat IS NOT NULL THEN 'OSM' END AS coordinate_source FROM ({GEOCODED})""", "coord", "cache"),
     "geocode_failures": sql(
         f"SELECT source_row, geocode_query FROM ({GEOCODED}) WHERE known AND result_lat IS NULL", "coord", "cache"),
+    "geocode_pending": sql(
+        f"SELECT DISTINCT geocode_query FROM ({GEOCODED}) WHERE geocode_query IS NOT NULL AND NOT known", "coord", "cache"),
+    "located_list": sql(
+        """SELECT CAST(o.o_custkey AS VARCHAR) AS facility_code, 'F' || o.o_custkey AS facility_name,
+ o.o_orderpriority AS facility_type, o.o_orderstatus AS facility_ownership, 'R' AS admin1, 'Z' AS admin2,
+ o.o_orderkey AS admin3, k.latitude, k.longitude, 'Open' AS status
+ FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
+ ORDER BY o_orderkey, o_orderpriority, o_orderstatus) = 1) o
+ LEFT JOIN coord k ON k.source_row = o.o_custkey AND k.balance < 7000""", "coord"),
+    "completeness_by_country": sql(
+        " UNION ALL ".join(
+            f"""SELECT country, '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows,
+ round_even(100.0::DOUBLE - round_even({percent(f'count(*) - count({c})', 'count(*)')}, 1), 1) AS pct_non_null
+ FROM fac GROUP BY country""" for c in ("facility_name", "latitude")), "fac"),
     "coord_lookup": sql(
         f"""SELECT CAST(o.o_custkey AS VARCHAR) AS facility_code, o.o_orderkey, o.o_orderstatus, k.latitude, k.longitude
  FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_orderstatus) = 1) o
- LEFT JOIN coord k ON k.source_row = o.o_custkey AND k.source_row % 8 < 5""", "coord"),
+ LEFT JOIN coord k ON k.source_row = o.o_custkey AND k.balance < 7000""", "coord"),
     "union_merge": sql(
         f"""SELECT source_row, facility_code, facility_name, 'Nigeria' AS country,
  CAST(NULL AS INTEGER) AS catchment_population, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS BOOLEAN) AS inpatient,
- CAST(NULL AS VARCHAR) AS ward, DATE '2026-01-31' AS extraction_date FROM fac WHERE source_row % 2 = 0
+ CAST(NULL AS VARCHAR) AS ward, DATE '2026-01-31' AS extraction_date FROM fac WHERE balance < 4000
  UNION ALL BY NAME SELECT source_row, facility_code, country,
  TRY_CAST(trunc({t.number('catchment_population')}) AS INTEGER) AS catchment_population, admin2 AS ward,
- DATE '2026-01-31' AS extraction_date FROM fac WHERE source_row % 2 = 1""", "fac"),
+ DATE '2026-01-31' AS extraction_date FROM fac WHERE balance >= 4000""", "fac"),
     "completeness": sql(completeness(), "fac"),
     "step_counters": sql(
         f"""SELECT count(*) AS rows, {count_if('v.latitude IS NULL OR v.longitude IS NULL')} AS missing,

@@ -12,6 +12,7 @@ from registry_spark.countries import Feed, Source
 from registry_spark.functions.dates import date_of_iso_datetime
 from registry_spark.operators import boundaries, columns, coordinates, crosswalks, generators
 from registry_spark.operators import identifiers, lookups, merging, profiles, quality, typing
+from registry_spark.plans import extracts
 from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
@@ -146,16 +147,35 @@ def coord_lookup(spark, d):
         t.read(spark, d, "orders").select(
             F.col("o_custkey").cast("string").alias("facility_code"), "o_orderkey", "o_orderstatus"),
         ["facility_code"], ["o_orderkey"])
-    known = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).filter("source_row % 8 < 5").select(
+    known = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).filter("balance < 7000").select(
         F.col("source_row").cast("string").alias("Id"), "latitude", "longitude")
     return lookups.lookup_join(first, known, [("facility_code", "Id")])
 
 
+def geocode_pending(spark, d):
+    out = coordinates.fill_from_cache(
+        coordinates.coerce_coordinates(t.raw_facilities(spark, d)), t.geocode_cache(spark, d))
+    return coordinates.geocode_pending(out)
+
+
+def located_list(spark, d):
+    """Orders as a facility export with repeated codes, located by a second list."""
+    export = t.read(spark, d, "orders").select(
+        F.col("o_custkey").alias("Facility ID"), F.expr("'F' || o_custkey").alias("Facility Name"),
+        F.col("o_orderpriority").alias("Facility Type"), F.col("o_orderstatus").alias("Ownership"),
+        F.lit("R").alias("Region"), F.lit("Z").alias("Zone"), F.col("o_orderkey").alias("Woreda"),
+        F.lit("Open").alias("Operational Status"))
+    points = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).select(
+        F.col("source_row").alias("Id"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"),
+        "balance").filter("balance < 7000")
+    return extracts.located_list(export, points, order_by=["admin3"])
+
+
 def union_merge(spark, d):
     fac = t.raw_facilities(spark, d)
-    one = fac.filter("source_row % 2 = 0").select(
+    one = fac.filter("balance < 4000").select(
         "facility_code", "facility_name", "source_row", F.lit(None).cast("string").alias("country"))
-    two = fac.filter("source_row % 2 = 1").select(
+    two = fac.filter("balance >= 4000").select(
         "facility_code", "country", "catchment_population", "source_row", F.col("admin2").alias("ward"))
     out = merging.merge_countries({"nigeria": one, "malawi": two}, RUN_DATE)
     return out.select("source_row", "facility_code", "facility_name", "country", "catchment_population",
@@ -176,6 +196,10 @@ def contract_facilities(spark, d):
     return typing.check_contract(out, FACILITY_FIELDS)
 
 
+def completeness_by_country(spark, d):
+    return profiles.completeness(t.raw_facilities(spark, d).select("country", "facility_name", "latitude"), by="country")
+
+
 def country_counts(spark, d):
     return profiles.counts_by(t.raw_facilities(spark, d), "country", name="facilities")
 
@@ -357,7 +381,7 @@ def located(spark, d):
 
 def facility_service_join(spark, d):
     return profiles.facilities_with_services(
-        located(spark, d), profiles.malaria_services(joined(spark, d)), method="shuffle")
+        located(spark, d), profiles.malaria_services(joined(spark, d)))
 
 
 def facility_service_top(spark, d):
@@ -462,7 +486,7 @@ QUERIES = {
         lake_summary, standardize_columns, ownership_class, coord_clean, coord_clean_keep, date_clean,
         date_clean_strict, iso_datetime, enforce_schema, schema_rejects, quality_flag, quality_distribution,
         within_filter, within_flag, geocode_cache, geocode_failures, coord_lookup, union_merge, completeness,
-        step_counters, contract_facilities, country_counts,
+        completeness_by_country, step_counters, contract_facilities, country_counts, geocode_pending, located_list,
         uid_highest, uid_new, uid_reuse_mint, service_uid, facility_uid_join, facility_uid_join_skewed, orphan_codes,
         crosswalk_two_key, crosswalk_two_key_skewed, crosswalk_one_key, crosswalk_unmatched, unmatched_report,
         crosswalk_gap, rule_exact, rule_first_match, rule_names, vocab_inventory, vocab_union, crosswalk_qa,

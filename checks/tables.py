@@ -51,6 +51,7 @@ def _facility_columns(text: str, divide: str) -> dict[str, str]:
     lon = fill(CENTS, c=lon_c, whole=divide.format(a=f"abs({lon_c})", b=100))
     return {
         "source_row": k,
+        "balance": "c_acctbal",
         "facility_code": fill(CODE),
         "facility_name": fill(NAME),
         "country": fill(COUNTRY_CASE),
@@ -130,8 +131,8 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REG: identifiers of two thirds of the codes, some given out twice."""
-    rows = raw_facilities(spark, sf_dir).filter("source_row % 3 <> 0 AND facility_code <> ''")
+    """REG: identifiers of the codes with a balance from 2,000, some given out twice."""
+    rows = raw_facilities(spark, sf_dir).filter("balance >= 2000 AND facility_code <> ''")
     number = F.explode(F.expr(
         "CASE WHEN source_row % 30 = 1 THEN array(source_row, source_row + 5000000) ELSE array(source_row) END"
     ))
@@ -144,12 +145,12 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geocode_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookups of every other facility without latitude: found, not found, and repeated."""
-    rows = raw_facilities(spark, sf_dir).filter("source_row % 34 = 0")
+    """Lookups of the facilities without latitude and below a balance: found, not found, repeated."""
+    rows = raw_facilities(spark, sf_dir).filter("latitude IS NULL AND balance < 6000")
     return rows.select(
         F.expr("concat_ws(', ', facility_name, admin1, country)").alias("query"),
-        F.expr("CASE WHEN source_row % 68 = 0 THEN NULL ELSE CAST(source_row % 10 AS DOUBLE) + 0.5 END").alias("result_lat"),
-        F.expr("CASE WHEN source_row % 68 = 0 THEN NULL ELSE CAST(source_row % 40 AS DOUBLE) + 0.25 END").alias("result_lon"),
+        F.expr("CASE WHEN source_row % 2 = 0 THEN NULL ELSE CAST(source_row % 10 AS DOUBLE) + 0.5 END").alias("result_lat"),
+        F.expr("CASE WHEN source_row % 2 = 0 THEN NULL ELSE CAST(source_row % 40 AS DOUBLE) + 0.25 END").alias("result_lon"),
         F.lit("clinic").alias("result_type"),
     )
 
@@ -231,15 +232,15 @@ _REG = """SELECT iso AS country, facility_code, printf('%s-%06d', iso, number) A
  DATE '2024-01-01' + CAST(source_row % 365 AS INTEGER) AS created_date
  FROM (SELECT iso, facility_code, source_row, unnest(CASE WHEN source_row % 30 = 1
  THEN [source_row, source_row + 5000000] ELSE [source_row] END) AS number
- FROM fac WHERE source_row % 3 <> 0 AND facility_code <> '')"""
+ FROM fac WHERE balance >= 2000 AND facility_code <> '')"""
 
 _REG1 = """SELECT country, facility_code, min_by(uid, (length(uid), uid)) AS uid FROM reg
  GROUP BY country, facility_code"""
 
 _CACHE = """SELECT concat_ws(', ', facility_name, admin1, country) AS query,
- CASE WHEN source_row % 68 = 0 THEN NULL ELSE CAST(source_row % 10 AS DOUBLE) + 0.5 END AS result_lat,
- CASE WHEN source_row % 68 = 0 THEN NULL ELSE CAST(source_row % 40 AS DOUBLE) + 0.25 END AS result_lon
- FROM fac WHERE source_row % 34 = 0"""
+ CASE WHEN source_row % 2 = 0 THEN NULL ELSE CAST(source_row % 10 AS DOUBLE) + 0.5 END AS result_lat,
+ CASE WHEN source_row % 2 = 0 THEN NULL ELSE CAST(source_row % 40 AS DOUBLE) + 0.25 END AS result_lon
+ FROM fac WHERE latitude IS NULL AND balance < 6000"""
 
 _EDGES = "SELECT * FROM (VALUES " + ", ".join(
     f"('{c}', {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for c, x1, y1, x2, y2 in EDGES

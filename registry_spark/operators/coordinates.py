@@ -103,3 +103,8 @@ def fill_from_cache(df: DataFrame, cache: DataFrame, *, method: str = "auto") ->
 
 def geocode_failures(df: DataFrame) -> DataFrame:
     return df.filter(F.col("geocode_status") == "failed")
+
+
+def geocode_pending(df: DataFrame) -> DataFrame:
+    """Queries to look up outside, each once."""
+    return df.filter(F.col("geocode_status") == "pending").select("geocode_query").distinct()

@@ -19,6 +19,16 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BY
     return seen["n"] <= rows and (seen["b"] or 0) <= size
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly when there are fewer input splits than cores, else unchanged.
+
+    For steps that cost much per row over a small table in few files; a large
+    table has more splits than cores and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -30,7 +40,7 @@ def lookup_join(
 ) -> DataFrame:
     """Add the lookup's other columns to every fact row; no match leaves them NULL.
 
-    ``on`` pairs fact columns with lookup columns. With ``null_safe`` a NULL key
+    ``on`` pairs fact columns with lookup columns; the lookup has one row per key. With ``null_safe`` a NULL key
     matches a NULL key. Methods:
 
     * ``broadcast`` - the lookup is bounded by construction; facts are not shuffled;

@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.functions.measures import count_true, percent_half_even, percent_half_up
-from registry_spark.operators.lookups import lookup_join
 
 
-def completeness(df: DataFrame) -> DataFrame:
-    """Share of non-NULL values per column, all counters in one pass."""
-    columns = df.columns
-    counted = df.agg(
+def completeness(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Share of non-NULL values per column, all counters in one pass, optionally per ``by`` value."""
+    columns = [c for c in df.columns if c != by]
+    groups = [] if by is None else [F.col(f"`{by}`")]
+    counted = df.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)],
+        *[F.count(F.col(f"`{c}`")).alias(f"__c{i}") for i, c in enumerate(columns)],
     )
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null")) for i, c in enumerate(columns)
+        F.struct(F.lit(c).alias("column_name"), F.col(f"__c{i}").alias("non_null")) for i, c in enumerate(columns)
     ])
     missing = percent_half_even(F.col("n_rows") - F.col("non_null"), F.col("n_rows"))
-    return counted.select(F.col("__n").alias("n_rows"), F.inline(rows)).select(
-        "column_name", "non_null", "n_rows", F.bround(F.lit(100.0) - missing, 1).alias("pct_non_null")
+    return counted.select(*groups, F.col("__n").alias("n_rows"), F.inline(rows)).select(
+        *groups, "column_name", "non_null", "n_rows", F.bround(F.lit(100.0) - missing, 1).alias("pct_non_null")
     )
 
 
@@ -100,17 +100,19 @@ def malaria_counts(df: DataFrame) -> DataFrame:
     return counts_by(malaria_services(df), "country_name", "service_group", "service_name", name="facilities")
 
 
-def facilities_with_services(facilities: DataFrame, services: DataFrame, *, method: str = "auto") -> DataFrame:
+def facilities_with_services(facilities: DataFrame, services: DataFrame) -> DataFrame:
     """Service rows joined to their facility by identifier, inner.
 
-    Services are the long side: a facility with very many of them is looked up
-    without shuffling its rows.
+    Rows without an identifier go before the shuffle, and only the columns asked
+    for travel. A facility may have several rows, so nothing bounds a broadcast
+    here: the size check and the split of a facility with very many services are
+    left to adaptive execution.
     """
     f = facilities.filter(F.col("uid").isNotNull()).select(
-        "uid", "facility_name", "latitude", "longitude", "country", F.lit(True).alias("found")
+        F.col("uid").alias("facility_uid"), "facility_name", "latitude", "longitude", "country"
     )
     s = services.filter(F.col("facility_uid").isNotNull()).select("facility_uid", "service_name", "service_domain")
-    return lookup_join(s, f, [("facility_uid", "uid")], method=method).filter("found").select(
+    return s.join(f, "facility_uid").select(
         "facility_name", "latitude", "longitude", "country", "service_name", "service_domain"
     )
 

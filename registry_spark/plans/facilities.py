@@ -170,11 +170,11 @@ def export_lake(
     table: str = "health_facilities",
     log: RunLog | None = None,
 ) -> DataFrame:
-    """Snapshot the merged table, replace the lake table from it, summarise it."""
+    """Snapshot the merged table, put the lake table over it, summarise it."""
     run_date = run_date or dt.date.today()
     log = log or RunLog(spark, paths.log)
     written = lake.write_snapshot(merged, paths.snapshots, run_date)
-    lake.replace_table(spark.read.parquet(written), table)
+    lake.point_table(spark, table, written)
     log.add("GLOBAL", "data_lake", "SUCCESS", f"snapshot: {written}, table: {table}")
     log.flush()
     return quality_by_country(spark.table(table))

@@ -38,6 +38,12 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
+def point_table(spark: SparkSession, name: str, path: str) -> None:
+    """Replace a table by one over files that are already written: no second copy."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
 def write_slim_services(df: DataFrame, path: str) -> None:
     write_partitions(df.select(*SLIM_SERVICE_COLUMNS), path, "country_iso")
 

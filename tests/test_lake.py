@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry_spark.plans.everything import run_all
+from registry_spark.plans.extracts import located_list
 from registry_spark.plans.facilities import LakePaths, run_facilities
+from registry_spark.plans.reports import facility_reports, service_reports
 from registry_spark.schema import FACILITY_FIELDS, UID_REGISTRY
 from registry_spark.sources import lake, readers
 from registry_spark.sources.runlog import RunLog, failed_steps
@@ -126,6 +128,12 @@ def test_whole_run_twice(spark, inputs, tmp_path):
     summary = {(r.country, r.data_quality_flag): (r.n_facilities, r.pct_of_country) for r in out["summary"].collect()}
     assert summary == {("Kenya", "high"): (4, 80.0), ("Kenya", "low"): (1, 20.0), ("Malawi", "high"): (1, 100.0)}
 
+    for name, report in {**facility_reports(fac), **service_reports(out["services"])}.items():
+        assert report.count() > 0, name
+    broken = {(r.column_name, r.rule): r.violations for r in facility_reports(fac)["contract"].collect()}
+    assert broken["facility_code", "unique"] == 1 and broken["facility_code", "required"] == 1
+    assert broken["country", "allowed"] == 0 and broken["latitude", "range"] == 0
+
     svc = out["services"].collect()
     assert len(svc) == 4 and sum(r.facility_uid is not None for r in svc) == 3
     assert spark.read.parquet(LakePaths(root).slim_services).count() == 4
@@ -165,3 +173,14 @@ def test_nothing_readable_is_an_error(spark, tmp_path):
 def test_payload_lines(spark, tmp_path):
     (tmp_path / "lines.json").write_text("\n".join(json.dumps({"id": str(i)}) for i in range(3)))
     assert readers.read_payload(spark, str(tmp_path / "lines.json"), multi_line=False).count() == 3
+
+
+def test_located_list(frame):
+    names = ("Facility ID", "Facility Name", "Facility Type", "Ownership", "Region", "Zone", "Woreda", "Operational Status")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    source = frame([("1", "B", "t", "o", "r", "z", "w", "s"), ("1", "A", "t", "o", "r", "z", "w", "s"),
+                    ("2", "C", "t", "o", "r", "z", "w", "s")], schema)
+    points = frame([(1, -1.5, 36.5), (1, -1.6, 36.5), (3, 0.0, 0.0)], "Id int, Latitude double, Longitude double")
+    out = {r.facility_code: r for r in located_list(source, points, order_by=["facility_name"]).collect()}
+    assert len(out) == 2 and out["1"].facility_name == "A" and out["1"].latitude == -1.6
+    assert out["2"].latitude is None and out["2"].admin3 == "w" and out["2"].facility_ownership == "o"
