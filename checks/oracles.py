@@ -9,7 +9,6 @@ from registry_spark.vocabularies import CATEGORY_DEFAULTS, CATEGORY_RULES, MALAR
 
 DEEP = "' ' || chr(9) || chr(10) || chr(13)"
 YEAR = "CASE WHEN year(open_date) BETWEEN 1900 AND 2026 THEN CAST(year(open_date) AS INTEGER) END"
-MD5 = "substr(md5({}), 1, 3)"
 
 
 def quote(text: str) -> str:
@@ -95,16 +94,19 @@ def contract(table: str, fields, present: set[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-INSIDE = """SELECT v.source_row,
- count(CASE WHEN (y1 <= latitude) <> (y2 <= latitude) AND side <> 0 AND (side > 0) = (y2 > y1) THEN 1 END) % 2 = 1 AS odd,
- coalesce(bool_or(side = 0 AND latitude BETWEEN least(y1, y2) AND greatest(y1, y2)
- AND longitude BETWEEN least(x1, x2) AND greatest(x1, x2)), FALSE) AS touching
- FROM (SELECT v.*, e.x1, e.y1, e.x2, e.y2, (latitude - y1) * (x2 - x1) - (longitude - x1) * (y2 - y1) AS side
- FROM valid v JOIN edges e ON e.country = v.country) v GROUP BY v.source_row"""
+SIDE = "((v.latitude - y1) * (x2 - x1) - (v.longitude - x1) * (y2 - y1))"
+INSIDE = f"""SELECT v.*, v.country IN (SELECT country FROM edges) AS covered,
+ (SELECT count(*) FROM edges e WHERE e.country = v.country AND (y1 <= v.latitude) <> (y2 <= v.latitude)
+ AND {SIDE} <> 0 AND ({SIDE} > 0) = (y2 > y1)) % 2 = 1 AS odd,
+ EXISTS (SELECT 1 FROM edges e WHERE e.country = v.country AND {SIDE} = 0
+ AND v.latitude BETWEEN least(y1, y2) AND greatest(y1, y2)
+ AND v.longitude BETWEEN least(x1, x2) AND greatest(x1, x2)) AS touching FROM valid v"""
 
-# Numbering: bucket by hash, then the order columns.
-SERVICE_NUMBER = """row_number() OVER (ORDER BY substr(md5(l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|'
- || l_linenumber || '|0'), 1, 3), l_orderkey, l_partkey, l_suppkey, l_linenumber)"""
+# Numbering: bucket by hash of the order columns and the chunk of copies, then the order columns.
+NUMBERED = """SELECT *, row_number() OVER (ORDER BY substr(md5(l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|'
+ || l_linenumber || '|' || chunk), 1, 3), l_orderkey, l_partkey, l_suppkey, l_linenumber, chunk) AS number
+ FROM (SELECT *, (row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1) // 10000 AS chunk
+ FROM svc)"""
 
 TOP = "SELECT country, max(CAST(regexp_extract(uid, '(\\d+)$', 1) AS BIGINT)) AS highest FROM reg GROUP BY country"
 
@@ -128,14 +130,12 @@ SERVICE_COLUMNS = "service_domain, service_group, service_name"
 FLAG_COLUMNS = "is_clinical, is_malaria_related, include_in_analysis, needs_review"
 ORDER = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 
-PLAN = f"""SELECT f.source_row, nullif(facility_code, '') AS facility_code FROM fac f"""
-
-SERVICES = f"""SELECT printf('%s-%06d', 'TZA-SVC', {SERVICE_NUMBER}) AS uid,
+SERVICES = f"""SELECT printf('%s-%06d', 'TZA-SVC', number) AS uid,
  CASE WHEN r.country = 'TZA' THEN r.uid END AS facility_uid, 'TZA' AS country_iso, 'Tanzania' AS country_name,
  {SERVICE_COLUMNS}, CAST(l_partkey AS VARCHAR) AS source_service_id, CAST(NULL AS VARCHAR) AS source_type_id,
  service_category AS source_category_id, s.service_detail AS source_service_name, {FLAG_COLUMNS},
  CAST(NULL AS DATE) AS extracted_date, 'services.csv' AS source_url, '2.0' AS pipeline_version, s.facility_code
- FROM svc s LEFT JOIN cw c ON s.service_category IS NOT DISTINCT FROM c.source_category
+ FROM ({NUMBERED}) s LEFT JOIN cw c ON s.service_category IS NOT DISTINCT FROM c.source_category
  AND trim(s.service_detail, {DEEP}) IS NOT DISTINCT FROM c.source_detail
  LEFT JOIN reg1 r ON r.country = 'TZA' AND r.facility_code = s.facility_code"""
 
@@ -181,15 +181,13 @@ ORACLES = {
         f"""SELECT data_quality_flag, count(*) AS n,
  round_even({percent('count(*)', 'sum(count(*)) OVER ()')}, 1) AS pct FROM quality GROUP BY 1""", "quality"),
     "within_filter": sql(
-        f"""SELECT v.source_row, v.country, v.latitude, v.longitude, v.coordinate_valid
- FROM valid v LEFT JOIN ({INSIDE}) i ON i.source_row = v.source_row
- WHERE v.latitude IS NOT NULL AND v.longitude IS NOT NULL AND (v.country NOT IN (SELECT country FROM edges)
- OR (v.coordinate_valid AND (i.odd OR i.touching)))""", "valid", "edges"),
+        f"""SELECT source_row, country, latitude, longitude, coordinate_valid FROM ({INSIDE})
+ WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+ AND (NOT covered OR (coordinate_valid AND (odd OR touching)))""", "valid", "edges"),
     "within_flag": sql(
-        f"""SELECT v.source_row, v.country, CASE WHEN v.latitude IS NULL OR v.longitude IS NULL THEN NULL
- WHEN v.country NOT IN (SELECT country FROM edges) THEN v.coordinate_valid
- ELSE v.coordinate_valid AND i.odd AND NOT i.touching END AS coordinate_valid
- FROM valid v LEFT JOIN ({INSIDE}) i ON i.source_row = v.source_row""", "valid", "edges"),
+        f"""SELECT source_row, country, CASE WHEN latitude IS NULL OR longitude IS NULL THEN NULL
+ WHEN NOT covered THEN coordinate_valid ELSE coordinate_valid AND odd AND NOT touching END AS coordinate_valid
+ FROM ({INSIDE})""", "valid", "edges"),
     "geocode_cache": sql(
         f"""SELECT source_row, geocode_query, CASE WHEN geocode_query IS NULL THEN NULL WHEN NOT known THEN 'pending'
  WHEN result_lat IS NULL THEN 'failed' ELSE 'cached' END AS geocode_status,
@@ -206,7 +204,9 @@ ORACLES = {
  o.o_orderkey AS admin3, k.latitude, k.longitude, 'Open' AS status
  FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
  ORDER BY o_orderkey, o_orderpriority, o_orderstatus) = 1) o
- LEFT JOIN coord k ON k.source_row = o.o_custkey AND k.balance < 7000""", "coord"),
+ LEFT JOIN (SELECT source_row, first(latitude ORDER BY latitude NULLS FIRST, longitude NULLS FIRST) AS latitude,
+ first(longitude ORDER BY latitude NULLS FIRST, longitude NULLS FIRST) AS longitude FROM coord WHERE balance < 7000
+ GROUP BY source_row) k ON k.source_row = o.o_custkey""", "coord"),
     "completeness_by_country": sql(
         " UNION ALL ".join(
             f"""SELECT country, '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows,
@@ -225,11 +225,11 @@ ORACLES = {
  DATE '2026-01-31' AS extraction_date FROM fac WHERE balance >= 4000""", "fac"),
     "completeness": sql(completeness(), "fac"),
     "step_counters": sql(
-        f"""SELECT count(*) AS rows, {count_if('v.latitude IS NULL OR v.longitude IS NULL')} AS missing,
- {count_if('v.coordinate_valid')} AS valid, {count_if('NOT v.coordinate_valid')} AS invalid,
- count(open_date) AS dated, {count_if('open_date IS NULL')} AS undated, count(v.facility_code) AS assigned,
- {count_if('v.facility_code IS NULL')} AS skipped
- FROM valid v JOIN dated d ON d.source_row = v.source_row""", "valid", "dated"),
+        f"""SELECT count(*) AS rows, {count_if('latitude IS NULL OR longitude IS NULL')} AS missing,
+ {count_if('coordinate_valid')} AS valid, {count_if('NOT coordinate_valid')} AS invalid,
+ count(open_date) AS dated, {count_if('open_date IS NULL')} AS undated, count(facility_code) AS assigned,
+ {count_if('facility_code IS NULL')} AS skipped
+ FROM (SELECT *, {t.OPEN_DATE} AS open_date FROM valid)""", "valid"),
     "contract_facilities": sql(
         contract("typed", FACILITY_FIELDS, {f.name for f in FACILITY_FIELDS}).replace(
             "FROM typed", """FROM (SELECT *, CAST(NULL AS VARCHAR) AS uid, CAST(NULL AS VARCHAR) AS data_source
@@ -242,7 +242,7 @@ ORACLES = {
  LEFT JOIN reg1 r ON r.country = f.iso AND r.facility_code = f.facility_code
  LEFT JOIN ({MINTED}) m ON m.country = f.iso AND m.facility_code = f.facility_code""", "reg1"),
     "service_uid": sql(
-        f"SELECT {ORDER}, facility_code, printf('%s-%06d', 'TZA-SVC', {SERVICE_NUMBER}) AS uid FROM svc", "svc"),
+        f"SELECT {ORDER}, facility_code, printf('%s-%06d', 'TZA-SVC', number) AS uid FROM ({NUMBERED})", "svc"),
     "facility_uid_join": sql(
         f"SELECT {ORDER}, facility_code, country_iso, facility_uid FROM joined", "joined"),
     "facility_uid_join_skewed": sql(
@@ -356,16 +356,14 @@ ORACLES = {
  UNION ALL SELECT code, 'infrastructure', 'Bed', CASE WHEN turn % 2 = 1 THEN 0 END, TRUE FROM ({PAYLOAD})
  WHERE conv_id % 3 = 0 AND conv_id % 2 = 1) WHERE service_name <> ''""",
     "facilities_plan": sql(
-        f"""SELECT c.source_row, c.facility_code, c.facility_name, 'Tanzania' AS country, c.admin1, c.latitude, c.longitude,
- v.valid AS coordinate_valid, c.facility_type, c.ownership, c.status, d.open_date,
- CASE WHEN year(d.open_date) BETWEEN 1900 AND 2026 THEN CAST(year(d.open_date) AS INTEGER) END AS open_year,
- TRY_CAST(trunc({t.number('c.catchment_population')}) AS INTEGER) AS catchment_population,
- coalesce(upper(c.inpatient) IN ('TRUE', 'YES', '1', 'Y'), FALSE) AS inpatient, 'Customer registry' AS data_source,
- CASE WHEN NOT v.valid OR c.facility_name IS NULL THEN 'low' WHEN c.facility_type IS NOT NULL THEN 'high'
+        f"""SELECT source_row, facility_code, facility_name, 'Tanzania' AS country, admin1, latitude, longitude,
+ inside AS coordinate_valid, facility_type, ownership, status, open_date, {YEAR} AS open_year,
+ TRY_CAST(trunc({t.number('catchment_population')}) AS INTEGER) AS catchment_population,
+ coalesce(upper(inpatient) IN ('TRUE', 'YES', '1', 'Y'), FALSE) AS inpatient, 'Customer registry' AS data_source,
+ CASE WHEN NOT inside OR facility_name IS NULL THEN 'low' WHEN facility_type IS NOT NULL THEN 'high'
  ELSE 'medium' END AS data_quality_flag
- FROM coord c JOIN dated d ON d.source_row = c.source_row JOIN (SELECT source_row,
- latitude BETWEEN -12 AND 0 AND longitude BETWEEN 28 AND 41 AS valid FROM coord) v ON v.source_row = c.source_row
- WHERE c.latitude IS NOT NULL AND c.longitude IS NOT NULL""", "coord", "dated"),
+ FROM (SELECT *, {t.OPEN_DATE} AS open_date, latitude BETWEEN -12 AND 0 AND longitude BETWEEN 28 AND 41 AS inside
+ FROM coord) WHERE latitude IS NOT NULL AND longitude IS NOT NULL""", "coord"),
     "services_plan": sql(SERVICES, "svc", "cw", "reg1"),
     "services_slim": sql(
         f"""SELECT facility_uid, facility_code, country_iso, country_name, {SERVICE_COLUMNS}, source_category_id,

@@ -7,6 +7,7 @@ projections for the other engine.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,7 +172,8 @@ EDGES = (
 
 
 def boundary_edges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EDGES, "country string, x1 double, y1 double, x2 double, y2 double")
+    names = ("country", "x1", "y1", "x2", "y2")
+    return spark.createDataFrame(pa.table({n: [e[i] for e in EDGES] for i, n in enumerate(names)}))
 
 
 def _with(name: str, body: str) -> str:
@@ -213,8 +215,10 @@ _QUALITY = """SELECT *, CASE WHEN latitude IS NULL OR longitude IS NULL THEN 'lo
  WHEN coordinate_valid AND facility_type IS NOT NULL AND ownership IS NOT NULL THEN 'high'
  WHEN coordinate_valid THEN 'medium' ELSE 'unknown' END AS data_quality_flag FROM valid"""
 
-_DATES = """SELECT *, nullif(coalesce(CAST(try_strptime(open_date_raw, '%d%b%Y') AS DATE),
- CAST(try_strptime(substr(open_date_raw, 1, 10), '%Y-%m-%d') AS DATE)), DATE '1970-01-01') AS open_date FROM fac"""
+OPEN_DATE = """nullif(coalesce(CAST(try_strptime(open_date_raw, '%d%b%Y') AS DATE),
+ CAST(try_strptime(substr(open_date_raw, 1, 10), '%Y-%m-%d') AS DATE)), DATE '1970-01-01')"""
+
+_DATES = f"SELECT *, {OPEN_DATE} AS open_date FROM fac"
 
 _SVC = f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(o_custkey AS VARCHAR) AS facility_code,
  {ISO_CASE.format(k='o_custkey')} AS country_iso, p_type AS service_category,

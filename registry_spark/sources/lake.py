@@ -10,18 +10,16 @@ from pyspark.sql import functions as F
 from registry_spark.schema import SLIM_SERVICE_COLUMNS
 
 
-def write_partitions(df: DataFrame, path: str, column: str) -> None:
+def write_partitions(df: DataFrame, path: str, column: str, file_format: str = "parquet") -> None:
     """Replace the partitions present in ``df`` and leave the others alone."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+    if file_format == "csv":
+        writer = writer.option("header", True).option("escape", '"')
+    writer.format(file_format).save(path)
 
 
-def write_country_tables(df: DataFrame, path: str) -> None:
-    write_partitions(df, path, "country")
+def write_country_tables(df: DataFrame, path: str, file_format: str = "parquet") -> None:
+    write_partitions(df, path, "country", file_format)
 
 
 def write_snapshot(df: DataFrame, path: str, month: dt.date) -> str:
