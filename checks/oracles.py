@@ -364,6 +364,14 @@ ORACLES = {
  ELSE 'medium' END AS data_quality_flag
  FROM (SELECT *, {t.OPEN_DATE} AS open_date, latitude BETWEEN -12 AND 0 AND longitude BETWEEN 28 AND 41 AS inside
  FROM coord) WHERE latitude IS NOT NULL AND longitude IS NOT NULL""", "coord"),
+    "csv_registry": sql(
+        """SELECT source_row, nullif(facility_code, '') AS facility_code, nullif(latitude, '') AS latitude, ownership_raw
+ FROM fac""", "fac"),
+    "lake_tables": sql(
+        """SELECT source_row, facility_name, CASE WHEN country = 'Kenya' THEN 'unknown' ELSE data_quality_flag END
+ AS data_quality_flag, country, DATE '2026-01-31' AS extraction_date FROM quality""", "quality"),
+    "uid_registry": sql(
+        f"SELECT country, facility_code, uid, created_date FROM reg UNION ALL BY NAME SELECT * FROM ({MINTED})", "reg"),
     "services_plan": sql(SERVICES, "svc", "cw", "reg1"),
     "services_slim": sql(
         f"""SELECT facility_uid, facility_code, country_iso, country_name, {SERVICE_COLUMNS}, source_category_id,

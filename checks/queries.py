@@ -16,6 +16,8 @@ from registry_spark.plans import extracts
 from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
+from registry_spark.sources import lake, readers
+from registry_spark.sources.shared import shared_folder
 
 THIS_YEAR = 2026
 RUN_DATE = dt.date(2026, 1, 31)
@@ -480,6 +482,37 @@ def services_slim(spark, d):
     return services_plan(spark, d).select(*SLIM_SERVICE_COLUMNS)
 
 
+# -- sources and sinks --------------------------------------------------------
+
+def csv_registry(spark, d):
+    """Registry written as CSV text and read back: codes and irregular values stay as written."""
+    path = f"{shared_folder(spark)}/registry.csv"
+    raw = t.raw_facilities(spark, d).select("source_row", "facility_code", "latitude", "ownership_raw")
+    raw.write.options(**lake.CSV).csv(path)
+    out = columns.trim_column_names(readers.read_registry(spark, path))
+    return out.select(F.col("source_row").cast("bigint"), "facility_code", "latitude", "ownership_raw")
+
+
+def lake_tables(spark, d):
+    """Country partitions, one of them replaced, then a monthly snapshot and the table over it."""
+    root = shared_folder(spark)
+    fac = flagged(spark, d).select("source_row", "facility_name", "data_quality_flag", "country")
+    lake.write_country_tables(fac, f"{root}/countries")
+    kenya = fac.filter("country = 'Kenya'").withColumn("data_quality_flag", F.lit("unknown"))
+    lake.write_country_tables(kenya, f"{root}/countries")
+    merged = merging.stamp(readers.read_standardized(spark, f"{root}/countries"), RUN_DATE)
+    month = lake.write_snapshot(merged, f"{root}/snapshots", RUN_DATE)
+    lake.point_table(spark, "health_facilities", month)
+    return spark.table("health_facilities")
+
+
+def uid_registry(spark, d):
+    """Registry on disk: known codes appended first, then the new ones, then read as written."""
+    path = shared_folder(spark)
+    lake.append_rows(t.registry(spark, d), path)
+    return facility_plan.register_new(spark, t.raw_facilities(spark, d), path, RUN_DATE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -493,6 +526,6 @@ QUERIES = {
         service_report, domain_distribution, domain_counts, malaria_counts, source_profile, category_counts,
         table_rows, contract_services, facility_service_join, facility_service_top,
         split_explode, split_lists, json_props, payload_facilities, payload_services,
-        facilities_plan, services_plan, services_slim,
+        facilities_plan, services_plan, services_slim, csv_registry, lake_tables, uid_registry,
     )
 }

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from registry_spark.schema import SLIM_SERVICE_COLUMNS
 
+# Text as it is: a header, doubled quotes, blanks around values kept.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_partitions(df: DataFrame, path: str, column: str, file_format: str = "parquet") -> None:
     """Replace the partitions present in ``df`` and leave the others alone."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
     if file_format == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**CSV)
     writer.format(file_format).save(path)
 
 

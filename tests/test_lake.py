@@ -11,6 +11,7 @@ from registry_spark.plans.reports import facility_reports, service_reports
 from registry_spark.schema import FACILITY_FIELDS, UID_REGISTRY
 from registry_spark.sources import lake, readers
 from registry_spark.sources.runlog import RunLog, failed_steps
+from registry_spark.sources.shared import shared_folder, written
 
 
 def test_text_csv(spark, tmp_path):
@@ -44,6 +45,19 @@ def test_partitions_are_replaced_one_by_one(spark, frame, tmp_path):
     assert out == [("Kenya", "c"), ("Malawi", "b")]
 
 
+def test_csv_partitions(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    lake.write_country_tables(frame([(' a "b"', "Kenya")], "v string, country string"), path, "csv")
+    assert [r.v for r in readers.read_text_csv(spark, f"{path}/country=Kenya").collect()] == [' a "b"']
+
+
+def test_written_table(spark, frame):
+    df = frame([("a", 1), (None, 2)], "k string, n int")
+    kept = written(df)
+    assert kept.schema == df.schema and sorted(r.n for r in kept.collect()) == [1, 2]
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_snapshots_keep_earlier_months(spark, frame, tmp_path):
     path = str(tmp_path / "s")
     lake.write_snapshot(frame([("old",)], "v string"), path, dt.date(2026, 4, 3))
