@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from registry_spark.countries import ISO3, SOURCES, check_known
+from registry_spark.operators.merging import stamp
 from registry_spark.plans.facilities import LakePaths, export_lake, run_facilities
 from registry_spark.plans.services import run_services
+from registry_spark.session import small_methods
 from registry_spark.sources import readers
 from registry_spark.sources.runlog import RunLog
-from registry_spark.operators.merging import stamp
 
 
 def run_all(
@@ -33,17 +34,18 @@ def run_all(
     log = RunLog(spark, paths.log)
     wanted = check_known(countries, SOURCES)
     out: dict[str, DataFrame] = {}
-    if with_facilities:
-        merged = run_facilities(
-            spark, raw_paths, paths, countries=wanted, run_date=run_date, log=log, **options
-        )
-    else:
-        merged = stamp(readers.read_standardized(spark, paths.countries), run_date)
-    out["facilities"] = merged
-    if with_export:
-        out["summary"] = export_lake(spark, merged, paths, run_date=run_date, log=log)
-    if with_services:
-        codes = [ISO3[c] for c in wanted]
-        out["services"] = run_services(spark, service_inputs, paths, countries=codes, log=log)
+    with small_methods(spark):
+        if with_facilities:
+            merged = run_facilities(
+                spark, raw_paths, paths, countries=wanted, run_date=run_date, log=log, **options
+            )
+        else:
+            merged = stamp(readers.read_standardized(spark, paths.countries), run_date)
+        out["facilities"] = merged
+        if with_export:
+            out["summary"] = export_lake(spark, merged, paths, run_date=run_date, log=log)
+        if with_services:
+            codes = [ISO3[c] for c in wanted]
+            out["services"] = run_services(spark, service_inputs, paths, countries=codes, log=log)
     out["log"] = log.table()
     return out

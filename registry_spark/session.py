@@ -3,10 +3,28 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+# The JVM never compiles methods above this size; rows then run interpreted, several
+# times slower. With the limit Spark generates many small methods for such plans.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Run wide projections as compiled code; the session's setting is restored after."""
+    key, limit = METHOD_LIMIT
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(
     name: str = "registry_spark",
     cores: str | int = "*",
@@ -20,6 +38,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
         .config("spark.sql.adaptive.enabled", "true")
+        .config(*METHOD_LIMIT)
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "8g"))
     )
     if checkpoint_dir:
