@@ -302,7 +302,7 @@ def rule_exact(spark, d):
 
 def rule_first_match(spark, d):
     """Ordered name rules over whole document texts."""
-    docs = t.read(spark, d, "documents")
+    docs = lookups.spread(t.read(spark, d, "documents").select("doc_id", "text"))
     category = F.expr("""CASE doc_id % 5 WHEN 0 THEN 'clinical_services' WHEN 1 THEN 'support_services'
         WHEN 2 THEN 'diagnostic_services' WHEN 3 THEN 'twenty_four_hour' ELSE 'other' END""")
     out = crosswalks.with_name_rules(docs.select("doc_id", "text", category.alias("category")), "category", "text")

@@ -10,22 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.operators.coordinates import has_coordinates
-from registry_spark.operators.lookups import lookup_join
+from registry_spark.operators.lookups import choose, lookup_join
 
 BAND_DEGREES = 0.05
 
 
-def bands(edges: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
-    """One row per (country, latitude band) with the edges that touch the band."""
+def band_edges(edges: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
+    """One row per edge and latitude band it touches."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    return edges.select(
+        F.col("country").alias("edge_country"),
+        F.explode(F.sequence(F.floor(low / width), F.floor(high / width))).alias("edge_band"),
+        F.struct("x1", "y1", "x2", "y2").alias("edge"),
+    )
+
+
+def bands(edges: DataFrame, width: float = BAND_DEGREES) -> DataFrame:
+    """One row per (country, latitude band) with its edges; narrower bands hold fewer."""
     return (
-        edges.select(
-            F.col("country").alias("edge_country"),
-            F.explode(F.sequence(F.floor(low / width), F.floor(high / width))).alias("edge_band"),
-            F.struct("x1", "y1", "x2", "y2").alias("edge"),
-        )
-        .groupBy("edge_country", "edge_band")
-        .agg(F.collect_list("edge").alias("edges"))
+        band_edges(edges, width).groupBy("edge_country", "edge_band").agg(F.collect_list("edge").alias("edges"))
     )
 
 
@@ -59,6 +62,7 @@ def with_verdict(
     A point meets one row, its own band's edges, so no point is multiplied and
     nothing is regrouped per point.
     """
+    method = choose(method, band_edges(edges, width))
     banded = df.withColumn("__band", F.floor(F.col("latitude") / width))
     covered = edges.select(F.col("country").alias("covered_country"), F.lit(True).alias("covered")).distinct()
     joined = lookup_join(banded, covered, [(country, "covered_country")], method=method)

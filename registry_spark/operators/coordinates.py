@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.countries import BOXES, Box
 from registry_spark.functions.text import to_double, trim_ws
-from registry_spark.operators.lookups import first_per_key, lookup_join
+from registry_spark.operators.lookups import choose, first_per_key, lookup_join
 
 
 def coerce_coordinates(df: DataFrame) -> DataFrame:
@@ -80,6 +80,7 @@ def fill_from_cache(df: DataFrame, cache: DataFrame, *, method: str = "auto") ->
     asked = df.withColumn("geocode_query", F.when(~has_coordinates(), query))
 
     known = cache.select("query", F.col("result_lat").isNull().alias("unresolved"), "result_lat", "result_lon")
+    method = choose(method, known)
     known = first_per_key(known, ["query"], ["unresolved", "result_lat", "result_lon"])
     found = lookup_join(asked, known, [("geocode_query", "query")], method=method)
 

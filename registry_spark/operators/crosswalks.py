@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.functions.rules import first_match, matches
 from registry_spark.functions.text import trim_ws
-from registry_spark.operators.lookups import first_per_key, lookup_join, spread
+from registry_spark.operators.lookups import choose, first_per_key, lookup_join
 from registry_spark.vocabularies import (
     CATEGORY_DEFAULTS,
     CATEGORY_RULES,
@@ -44,8 +44,7 @@ def with_name_rules(
     """Add domain, group, clinical and include of the first name rule, else of the category.
 
     A rule into the support domain turns both flags off, any other rule on. Also
-    adds ``lowered``, the lower-case name the rules were tried on. Trying the rules
-    is heavy work per row, so a table in a few files is spread over the cores first.
+    adds ``lowered``, the lower-case name the rules were tried on.
     """
 
     def attributes(domain: str, group: str, clinical: bool, include: bool) -> Column:
@@ -62,7 +61,7 @@ def with_name_rules(
         for part in (F.lit(d.category), attributes(d.domain, d.group, d.is_clinical, d.include_in_analysis))
     ])
     cases = [(r.pattern, attributes(r.domain, r.group, r.domain != SUPPORT, r.domain != SUPPORT)) for r in rules]
-    lowered = spread(df).withColumn("lowered", F.lower(F.col(name)))
+    lowered = df.withColumn("lowered", F.lower(F.col(name)))
     matched = lowered.withColumn(
         "__a", first_match(F.col("lowered"), cases, F.element_at(by_category, F.col(category)))
     )
@@ -150,6 +149,7 @@ def translate(
         *[trim_ws(F.col(f"`{k}`").cast("string")).alias(f"cw_{k}") for _, k in keys],
         *[(trim_ws(F.col(c)) if c in HIERARCHY else F.col(c)).alias(f"std_{c}") for c in columns],
     )
+    method = choose(method, standard)
     standard = first_per_key(standard, [f"cw_{k}" for _, k in keys], [])
     trimmed = trim_text(facts, [f for f, _ in keys])
     joined = lookup_join(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registry_spark.operators.lookups import first_per_key, lookup_join
+from registry_spark.operators.lookups import choose, first_per_key, lookup_join
 from registry_spark.operators.numbering import number_rows
 
 
@@ -80,7 +80,9 @@ def assign_uids(
     method: str = "auto",
 ) -> DataFrame:
     """Add each row's registered identifier; NULL without a code or a registry row."""
-    lookup = one_uid_per_code(registry.filter(F.col("facility_code") != "")).withColumnRenamed("uid", name)
+    coded = registry.filter(F.col("facility_code") != "").select("country", "facility_code", "uid")
+    method = choose(method, coded)
+    lookup = one_uid_per_code(coded).withColumnRenamed("uid", name)
     return lookup_join(
         facilities, lookup, [(country, "country"), (code, "facility_code")], method=method
     )

@@ -19,11 +19,21 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BY
     return seen["n"] <= rows and (seen["b"] or 0) <= size
 
 
+def choose(method: str, source: DataFrame) -> str:
+    """Settle ``auto`` by measuring the table a lookup is reduced from, before it is reduced."""
+    if method not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown join method: {method}")
+    if method != "auto":
+        return method
+    return "broadcast" if is_small(source) else "shuffle"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out evenly when there are fewer input splits than cores, else unchanged.
 
     For steps that cost much per row over a small table in few files; a large
-    table has more splits than cores and is not shuffled.
+    table has more splits than cores and is not shuffled. Use it on a table as read,
+    before any shuffle: asking a shuffled plan for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -68,9 +78,7 @@ def lookup_join(
     def looked_up(left: DataFrame, right: DataFrame, safe: bool) -> DataFrame:
         return left.join(right, match(safe), "left").drop(*keys)
 
-    if method == "auto":
-        method = "broadcast" if is_small(table) else "shuffle"
-    if method == "broadcast":
+    if choose(method, table) == "broadcast":
         return looked_up(facts, F.broadcast(table), null_safe)
 
     has_null = reduce(lambda x, y: x | y, [F.col(f"`{f}`").isNull() for f in fact_keys])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry_spark.operators.lookups import first_per_key, lookup_join
+from registry_spark.operators.lookups import choose, first_per_key, lookup_join
 
 # Export column -> registry column.
 LOCATED_COLUMNS = {
@@ -38,6 +38,7 @@ def located_list(
     result, default all) is kept; codes are reduced before the lookup.
     """
     known = points.select(F.col("Id").cast("string").alias("Id"), "Latitude", "Longitude")
+    method = choose(method, known)
     known = first_per_key(known, ["Id"], ["Latitude", "Longitude"])
     plain = source.withColumn(code, F.col(f"`{code}`").cast("string")).select(
         *[F.col(f"`{raw}`").alias(name) for raw, name in columns.items() if raw not in ("Latitude", "Longitude")]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from registry_spark.operators.lookups import first_per_key, is_small, lookup_join
+from registry_spark.operators.lookups import choose, first_per_key, is_small, lookup_join
 
 METHODS = ["broadcast", "shuffle", "auto"]
 
@@ -60,6 +60,13 @@ def test_size_check(frame):
     assert is_small(df.limit(0))
 
 
+def test_unknown_method(frame):
+    df = frame([("a",)], "k string")
+    with pytest.raises(ValueError, match="magic"):
+        choose("magic", df)
+    assert choose("shuffle", df) == "shuffle" and choose("auto", df) == "broadcast"
+
+
 def test_hot_rows_are_not_shuffled_to_one_task(spark, frame):
     """The plan of the shuffle method joins heavy keys against a broadcast only."""
     _, facts, lookup = skewed(frame)
