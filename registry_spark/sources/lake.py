@@ -33,7 +33,7 @@ def write_snapshot(df: DataFrame, path: str, month: dt.date) -> str:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    writer = df.write.mode("overwrite").option("overwriteSchema", True)
+    writer = df.write.mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
