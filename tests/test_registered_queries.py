@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, connect
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -22,10 +24,11 @@ def test_flagship(spark):
 
 
 def test_keys_agree():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, engine, name):
     good, note = compare(spark, engine, SF, name)
     assert good, note
