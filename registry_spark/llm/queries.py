@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from registry_spark.llm.bpe import round_trip
 from registry_spark.llm.language import identify, train
+from registry_spark.llm.mixing import Mix
 from registry_spark.llm.tasks import id_remainder
 from registry_spark.llm.token_files import read_token_files, write_token_files
+from registry_spark.llm.top_k import top_k
 from registry_spark.sources.shared import shared_folder, written
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    taken = Mix(table(spark, sf_dir, "documents")).taken()
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written to seekable zstandard files in doc_id order and read back."""
     folder = shared_folder(spark)
@@ -34,6 +42,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest vectors of every twentieth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, F.col("vec_id") % 20 == 0, 20, transform=lambda x: F.floor(64 * x))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     documents = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
@@ -42,9 +56,27 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
+    "op7_top_k": op7_top_k,
     "op9_language": op9_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_top_k": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
