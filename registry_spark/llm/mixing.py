@@ -205,7 +205,7 @@ class Mix:
         """The mix: every piece with each slot that takes words of it; slot NULL where none does."""
         joined = self.pieces().join(self.slots.select("slot", "source", "block", "n"), ["source", "block"], "left")
         words = F.greatest(F.least("last", "n") - F.col("first"), F.lit(0))
-        return joined.withColumn("words", F.coalesce(words, F.lit(0)))
+        return joined.withColumn("words", F.when(F.col("slot").isNull(), F.lit(0)).otherwise(words))
 
     def taken(self) -> DataFrame:
         """Per document: id, size, source_size, target, hash, taken."""
