@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from registry_spark.llm.bpe import round_trip
 from registry_spark.llm.language import identify, train
 from registry_spark.llm.mixing import Mix
+from registry_spark.llm.quality import judged
 from registry_spark.llm.tasks import id_remainder
 from registry_spark.llm.token_files import read_token_files, write_token_files
 from registry_spark.llm.top_k import top_k
@@ -42,6 +43,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict on every document."""
+    rows, _ = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rows.select(*base, "score")
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest vectors of every twentieth one."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -59,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
+    "op6_quality": op6_quality,
     "op7_top_k": op7_top_k,
     "op9_language": op9_language,
 }
