@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from registry_spark.llm.bpe import round_trip
 from registry_spark.llm.language import identify, train
 from registry_spark.llm.mixing import Mix
+from registry_spark.llm.neural import scored
 from registry_spark.llm.quality import judged
 from registry_spark.llm.tasks import id_remainder
 from registry_spark.llm.token_files import read_token_files, write_token_files
@@ -24,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a unigram and a log-bilinear model of nine tenths of them."""
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(F.col("doc_id"), 10) == 0)
+    return scored(documents, documents.filter("NOT held_out"), keep=["doc_id", "held_out"])
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     taken = Mix(table(spark, sf_dir, "documents")).taken()
@@ -64,6 +71,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_scoring": op1_scoring,
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
