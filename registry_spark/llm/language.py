@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registry_spark.llm.tasks import arrow, byte_texts, chunked, loaded, record, segments, ship
+from registry_spark.llm.tasks import Numbers, arrow, byte_texts, chunked, loaded, numbered_words, record, ship
 from registry_spark.sources.shared import written
 
 UNDETERMINED = "und"
@@ -178,20 +178,11 @@ def train(labelled: DataFrame) -> Model:
 class Scorer:
     """Scores texts; the row of each distinct token is worked out once, up to ``capacity`` tokens."""
 
-    def __init__(self, model: Model, capacity: int = 1_000_000):
+    def __init__(self, model: Model, capacity: int = 500_000):
         self.model, self.capacity = model, capacity
         self.clear()
 
     def clear(self) -> None:
-        scorer = self
-
-        class Numbers(dict):
-            def __missing__(self, token):
-                number = self[token] = len(self)
-                scorer.pending.append(token)
-                return number
-
-        self.pending: list[bytes] = []
         self.numbers = Numbers()
         self.rows = np.zeros((0, len(self.model.languages)), np.float32)
 
@@ -199,19 +190,13 @@ class Scorer:
         """Per text: sum of its tokens' scores by language, and the number of tokens that tell anything."""
         if len(self.numbers) > self.capacity:
             self.clear()
-        found = [t.split() for t in texts]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.empty(int(sizes.sum()), np.int64)
-        bounds = segments(sizes)
-        for k, tokens in enumerate(found):
-            flat[bounds[k] : bounds[k + 1]] = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
-        if self.pending:
-            self.rows = np.concatenate((self.rows, self.model.word_scores([normal(t) for t in self.pending])))
-            self.pending.clear()
+        flat, bounds = numbered_words(texts, self.numbers)
+        if new := self.numbers.new():
+            self.rows = np.concatenate((self.rows, self.model.word_scores([normal(t) for t in new])))
         told = (self.rows != 0).any(axis=1) if self.rows.size else np.zeros(len(self.rows), bool)
         out = np.zeros((len(texts), len(self.model.languages)))
         known = np.zeros(len(texts))
-        full = np.flatnonzero(sizes)
+        full = np.flatnonzero(np.diff(bounds))
         if len(full):
             for j in range(out.shape[1]):
                 out[full, j] = np.add.reduceat(self.rows[flat, j].astype(float), bounds[full])
@@ -229,10 +214,10 @@ def identify(documents: DataFrame, model: Model, *, id: str = "doc_id", text: st
     """
     spark = ship(documents.sparkSession)
     shared = spark.sparkContext.broadcast((model.languages, model.words, model.grams))
-    key = f"language {uuid.uuid4().hex}"
+    key = uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        scorer = loaded(key, lambda: Scorer(Model(*shared.value)))
+        scorer = loaded("language scorer", key, lambda: Scorer(Model(*shared.value)))
         languages = scorer.model.languages
         for part in chunked(batch, "__text"):
             texts = byte_texts(part, "__text")

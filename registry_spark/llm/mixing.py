@@ -22,7 +22,7 @@ from registry_spark.sources.shared import written
 
 WEIGHTS, SHARE, LIMIT = (5.0, 2.0, 1.0), 1.5, 2.0
 BLOCK = 4_096
-BUCKET_ROWS = 2_000
+BUCKET_ROWS = 500
 SLOTS_PER_TASK = 1 << 20
 # A mix is configured by source, so the list of sources is small; more are refused.
 MAX_SOURCES = 100_000

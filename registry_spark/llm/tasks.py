@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,7 +54,7 @@ def byte_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def chunked(batch: pa.RecordBatch, name: str = "text", size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def chunked(batch: pa.RecordBatch, name: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``size`` bytes of text, one row at least, so that work space stays bounded."""
     column = batch.column(batch.schema.get_field_index(name))
     lengths = np.array([x or 0 for x in pc.binary_length(column).to_pylist()], np.int64)
@@ -95,14 +94,38 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - bounds[:-1], lengths) + np.arange(bounds[-1])
 
 
-_LOADED: OrderedDict = OrderedDict()
+_LOADED: dict[str, tuple[str, object]] = {}
 
 
-def loaded(key: str, make: Callable[[], object]):
-    """One object per worker process and key, kept between tasks; the eight used last stay."""
-    if key not in _LOADED:
-        _LOADED[key] = make()
-    _LOADED.move_to_end(key)
-    while len(_LOADED) > 8:
-        _LOADED.popitem(last=False)
-    return _LOADED[key]
+def loaded(kind: str, key: str, make: Callable[[], object]):
+    """The worker process's object of a kind, kept between tasks; another key replaces it."""
+    if _LOADED.get(kind, ("",))[0] != key:
+        _LOADED.pop(kind, None)
+        _LOADED[kind] = (key, make())
+    return _LOADED[kind][1]
+
+
+class Numbers(dict):
+    """Numbers distinct keys in the order they are met; keys since the last look are in ``pending``."""
+
+    def __init__(self):
+        self.pending: list = []
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        self.pending.append(key)
+        return number
+
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def new(self) -> list:
+        found, self.pending = self.pending, []
+        return found
+
+
+def numbered_words(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all words of all texts in one array, and where each text begins."""
+    found = [numbers.of(t.split()) for t in texts]
+    bounds = segments(np.fromiter(map(len, found), np.int64, len(found)))
+    return np.concatenate(found) if found else np.zeros(0, np.int64), bounds

@@ -13,6 +13,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -146,12 +147,12 @@ class LibraryEncoder:
         def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             encoded = [e.ids for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
             sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            return np.fromiter((i for ids in encoded for i in ids), np.int32, int(sizes.sum())), sizes
+            return np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum())), sizes
 
         return chunks
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return loaded(f"library {self.key}", lambda: Encoder(self.library())).encode(texts)
+        return loaded("library encoder", self.key, lambda: Encoder(self.library())).encode(texts)
 
 
 def write_token_files(

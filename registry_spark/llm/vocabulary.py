@@ -9,7 +9,7 @@ import json
 import numpy as np
 import regex
 
-from registry_spark.llm.tasks import ragged, segments
+from registry_spark.llm.tasks import Numbers, ragged, segments
 
 # Fixed value: the pattern that cuts a text before byte-level merges.
 PRETOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -17,6 +17,9 @@ PRETOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 # White space and what follows it up to the next white space; white space at the end.
 PART = regex.compile(r"\s*\S+|\s+")
 
+# Marks that end a word; they are no letters, digits, white space or part of a special string's end.
+MARKS = b".,;:!?"
+
 NO_MERGE = np.int32(2**31 - 1)
 LONG_WORD = 1_000
 
@@ -103,7 +106,10 @@ class Vocabulary:
             keep[at + 1] = False
             symbols, word, rank = symbols[keep], word[keep], rank[keep]
             now = at - np.arange(len(at))
-            touched = np.unique(np.concatenate((now, now[now > 0] - 1)))
+            beside = np.zeros(len(symbols), bool)
+            beside[now] = True
+            beside[now[now > 0] - 1] = True
+            touched = np.flatnonzero(beside)
             rank[touched] = NO_MERGE
             inside = touched[touched + 1 < len(symbols)]
             inside = inside[word[inside] == word[inside + 1]]
@@ -186,20 +192,11 @@ class Encoder:
     place is cut by the full pattern instead. ``encode_chunks`` gives the ids of new pieces.
     """
 
-    def __init__(self, encode_chunks, capacity: int = 1_000_000):
+    def __init__(self, encode_chunks, capacity: int = 700_000):
         self.encode_chunks, self.capacity = encode_chunks, capacity
         self.clear()
 
     def clear(self) -> None:
-        encoder = self
-        self.pending: list[bytes] = []
-
-        class Numbers(dict):
-            def __missing__(self, piece):
-                number = self[piece] = len(self)
-                encoder.pending.append(piece)
-                return number
-
         self.numbers = Numbers()
         self.ids = np.zeros(1 << 16, np.int32)
         self.end = 0
@@ -217,29 +214,50 @@ class Encoder:
             return None
         return piece if text[0] == "\n" else b" " + piece
 
+    @staticmethod
+    def parts(piece: bytes) -> list[bytes]:
+        """A piece cut once more where a pre-token surely starts: after a leading line break, before closing marks."""
+        before = [b" \n"] if piece[:1] == b"\n" else []
+        body = b" " + piece[1:] if before else piece
+        core = body.rstrip(MARKS)
+        if core != body and core[-1:].isalnum():
+            return [*before, core, b" " + body[len(core) :]]
+        return [*before, body]
+
     def learn(self) -> None:
-        """Encode the pieces met since the last call."""
-        if not self.pending:
+        """Ids of the pieces met since the last call; pieces made of known parts need no encoding."""
+        base, pieces, plans = len(self.starts), [], []
+        while new := self.numbers.new():
+            pieces += new
+            for piece in new:
+                text = self.chunk(piece)
+                parts = self.parts(piece) if text else []
+                plans.append(text if len(parts) < 2 else [self.numbers[part] for part in parts])
+        if not pieces:
             return
-        chunks = [self.chunk(p) for p in self.pending]
-        ids, sizes = self.encode_chunks([c for c in chunks if c is not None])
-        all_sizes = np.full(len(chunks), -1, np.int64)
-        all_sizes[[i for i, c in enumerate(chunks) if c is not None]] = sizes
-        starts = self.end + segments(np.maximum(all_sizes, 0))[:-1]
+        whole = [k for k, plan in enumerate(plans) if isinstance(plan, bytes)]
+        made = [k for k, plan in enumerate(plans) if isinstance(plan, list)]
+        self.starts = np.concatenate((self.starts, np.zeros(len(pieces), np.int64)))
+        self.sizes = np.concatenate((self.sizes, np.full(len(pieces), -1, np.int64)))
+        ids, sizes = self.encode_chunks([plans[k] for k in whole])
+        self.keep(base + np.array(whole, np.int64), ids, sizes)
+        if made:
+            numbers = np.array([n for k in made for n in plans[k]], np.int64)
+            owners = np.repeat(np.arange(len(made)), [len(plans[k]) for k in made])
+            sizes = self.sizes[numbers]
+            self.keep(base + np.array(made, np.int64), self.ids[ragged(self.starts[numbers], sizes)], np.bincount(owners, sizes).astype(np.int64))
+
+    def keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         if self.end + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids[: self.end], np.zeros(self.end + 2 * len(ids), np.int32)))
         self.ids[self.end : self.end + len(ids)] = ids
+        self.starts[numbers] = self.end + segments(sizes)[:-1]
+        self.sizes[numbers] = sizes
         self.end += len(ids)
-        self.starts = np.concatenate((self.starts, starts))
-        self.sizes = np.concatenate((self.sizes, all_sizes))
-        self.pending.clear()
-
-    def number(self, pieces: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
 
     def full_cut(self, text: bytes) -> np.ndarray:
         """Piece numbers of a text cut after every non-space character that white space follows."""
-        return self.number([b" " + part.encode() for part in PART.findall(text.decode())])
+        return self.numbers.of([b" " + part.encode() for part in PART.findall(text.decode())])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts and the number of ids of each."""
@@ -251,7 +269,7 @@ class Encoder:
             first = pieces[0]
             if first and (len(pieces) == 1 or not first.decode()[-1].isspace()):
                 pieces[0] = b" " + first
-                found.append(self.number(pieces))
+                found.append(self.numbers.of(pieces))
             else:
                 found.append(np.full(1 if text else 0, -1))
         self.learn()
