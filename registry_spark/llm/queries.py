@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from registry_spark.llm.bpe import round_trip
 from registry_spark.llm.language import identify, train
 from registry_spark.llm.mixing import Mix
+from registry_spark.llm.near_duplicates import near_duplicates
 from registry_spark.llm.neural import scored
 from registry_spark.llm.quality import judged
 from registry_spark.llm.tasks import id_remainder
@@ -63,6 +64,11 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 20 == 0, 20, transform=lambda x: F.floor(64 * x))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     documents = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_quality": op6_quality,
     "op7_top_k": op7_top_k,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
 }
 
