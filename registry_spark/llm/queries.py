@@ -14,6 +14,7 @@ from registry_spark.llm.mixing import Mix
 from registry_spark.llm.near_duplicates import near_duplicates
 from registry_spark.llm.neural import scored
 from registry_spark.llm.quality import judged
+from registry_spark.llm.repeats import Repeats
 from registry_spark.llm.tasks import id_remainder
 from registry_spark.llm.token_files import read_token_files, write_token_files
 from registry_spark.llm.top_k import top_k
@@ -76,6 +77,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents, model, keep=["doc_id", "held_out"])
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 200-byte strings met more than once leave of every document."""
+    return Repeats(table(spark, sf_dir, "documents"), length=200).result()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
     "op2_mixing": op2_mixing,
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_top_k": op7_top_k,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {
