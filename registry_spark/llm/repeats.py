@@ -3,7 +3,7 @@
 Any two places of the corpus have a common distance of less than PERIOD at which both are
 sampled, so two equal strings of ``length`` bytes hold equal sampled substrings of
 ``length - PERIOD + 1`` bytes at the same distance. Step one names the sampled substrings and sorts the names;
-only places all of whose samples have a name met elsewhere stay. Step two sorts the
+only places with a sample at less than PERIOD whose name is met elsewhere stay. Step two sorts the
 remaining suffixes by their first ``length`` bytes and compares neighbours. Names are hashes of the bytes,
 not ranks: only equality of bounded prefixes is asked for, so no recursion for a total order is needed.
 
@@ -102,16 +102,16 @@ class Block:
         return names
 
     def candidates(self, length: int, named_elsewhere: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Starts of ``length`` bytes of one text all of whose sampled substrings have names met elsewhere."""
+        """Starts of ``length`` bytes of one text with a sampled substring in their first PERIOD places whose name is met elsewhere."""
         n = len(self.data)
         if n < length:
             return np.zeros(0, np.int64)
-        unlike = np.zeros(n + 1, np.int32)
-        unlike[places[~named_elsewhere] + 1] = 1
-        before = np.cumsum(unlike, dtype=np.int32)
+        alike = np.zeros(n + 1, np.int32)
+        alike[places[named_elsewhere] + 1] = 1
+        before = np.cumsum(alike, dtype=np.int32)
         starts = np.arange(n - length + 1)
         fits = starts + length <= self.ends[: len(starts)]
-        return starts[fits & (before[starts + min(PERIOD, length)] == before[starts])]
+        return starts[fits & (before[starts + PERIOD] > before[starts])]
 
     def many(self, places: np.ndarray) -> np.ndarray:
         """Whether each place lies in a text that stands for several rows."""
