@@ -14,6 +14,7 @@ from registry_spark.llm.mixing import Mix
 from registry_spark.llm.near_duplicates import near_duplicates
 from registry_spark.llm.neural import scored
 from registry_spark.llm.quality import judged
+from registry_spark.llm.quotations import reply_order
 from registry_spark.llm.repeats import Repeats
 from registry_spark.llm.tasks import id_remainder
 from registry_spark.llm.token_files import read_token_files, write_token_files
@@ -52,6 +53,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages without quotations, placed among the replies."""
+    return reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict on every document."""
     rows, _ = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_bpe": op4_bpe,
+    "op5_quotations": op5_quotations,
     "op6_quality": op6_quality,
     "op7_top_k": op7_top_k,
     "op8_near_duplicates": op8_near_duplicates,
@@ -95,6 +102,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_quotations": r"""
+        WITH RECURSIVE m AS (
+            SELECT *, md5(coalesce(text, '')) AS k, coalesce(regexp_matches(text, '(?m)^[ \t>]*>'), FALSE) AS quoting FROM conversations
+        ), d AS (
+            SELECT DISTINCT conv_id, turn, k, text FROM m
+            WHERE turn IS NOT NULL AND text IS NOT NULL AND conv_id IN (SELECT conv_id FROM m WHERE quoting AND turn IS NOT NULL)
+        ), lines AS (
+            SELECT conv_id, turn, k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d
+        ), parsed AS (
+            SELECT conv_id, turn, k, pos, len(replace(regexp_extract(line, '^[ \t>]*>'), ' ', '')) - len(replace(replace(regexp_extract(line, '^[ \t>]*>'), ' ', ''), '>', '')) AS depth,
+                   trim(regexp_replace(lower(regexp_replace(line, '^[ \t>]*>', '')), '[ \t\r]+', ' ', 'g')) AS words
+            FROM lines
+        ), turned AS (
+            SELECT *, CASE WHEN depth = lag(depth) OVER (PARTITION BY conv_id, turn, k ORDER BY pos) THEN 0 ELSE 1 END AS changed FROM parsed
+        ), runs AS (
+            SELECT *, sum(changed) OVER (PARTITION BY conv_id, turn, k ORDER BY pos) AS run FROM turned
+        ), units AS (
+            SELECT conv_id, turn, k, run, depth, 0 AS kind, 0 AS pos, string_agg(words, ' ' ORDER BY pos) AS words
+            FROM runs WHERE words <> '' GROUP BY conv_id, turn, k, run, depth
+            UNION ALL
+            SELECT conv_id, turn, k, run, depth, 1, pos, words FROM runs WHERE len(string_split(words, ' ')) >= 4
+        ), origins AS (
+            SELECT conv_id, words, min(turn) AS origin FROM units WHERE depth = 0 GROUP BY conv_id, words
+        ), links AS (
+            SELECT u.conv_id, u.turn, u.k, run, depth, arg_min(origin, kind * 1000000000 + pos) FILTER (origin < u.turn) AS origin
+            FROM units AS u LEFT JOIN origins AS o ON u.conv_id = o.conv_id AND u.words = o.words
+            WHERE depth > 0 GROUP BY u.conv_id, u.turn, u.k, run, depth
+        ), message AS (
+            SELECT conv_id, turn, k, count(*) AS n_quotes, count(origin) AS n_linked, max(depth) AS max_depth,
+                   arg_min(origin, depth * 1000000000 + run) FILTER (origin IS NOT NULL) AS parent
+            FROM links GROUP BY conv_id, turn, k
+        ), parents AS (
+            SELECT conv_id, turn, min(parent) AS parent FROM message GROUP BY conv_id, turn HAVING min(parent) IS NOT NULL
+        ), chain AS (
+            SELECT conv_id, turn, parent AS top, 1 AS steps FROM parents
+            UNION ALL
+            SELECT c.conv_id, c.turn, p.parent, steps + 1 FROM chain AS c JOIN parents AS p ON c.conv_id = p.conv_id AND c.top = p.turn
+        ), tops AS (
+            SELECT conv_id, turn, min(top) AS top, max(steps) AS steps FROM chain GROUP BY conv_id, turn
+        )
+        SELECT m.conv_id, m.turn, m.role, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+               CAST(coalesce(max_depth, 0) AS BIGINT) AS max_depth, p.parent AS parent_turn, coalesce(t.top, m.turn) AS thread_turn,
+               CAST(coalesce(t.steps, 0) AS BIGINT) AS reply_depth,
+               CASE WHEN quoting THEN trim(regexp_replace(m.text, '(?m)^[ \t>]*>[^\n]*(?:\n|$)', '', 'g'), chr(10)) ELSE m.text END AS text
+        FROM m LEFT JOIN message AS q ON m.conv_id = q.conv_id AND m.turn = q.turn AND m.k = q.k
+        LEFT JOIN parents AS p ON m.conv_id = p.conv_id AND m.turn = p.turn
+        LEFT JOIN tops AS t ON m.conv_id = t.conv_id AND m.turn = t.turn
+    """,
     "op7_top_k": """
         WITH v AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
