@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.llm.tasks import Numbers, arrow, byte_texts, chunked, loaded, numbered_words, record, ship
@@ -215,12 +215,14 @@ def identify(documents: DataFrame, model: Model, *, id: str = "doc_id", text: st
     spark = ship(documents.sparkSession)
     shared = spark.sparkContext.broadcast((model.languages, model.words, model.grams))
     key = uuid.uuid4().hex
+    kept = [*keep] or [id]
+    place = f"__k{kept.index(text)}" if text in kept else "__text"
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         scorer = loaded("language scorer", key, lambda: Scorer(Model(*shared.value)))
         languages = scorer.model.languages
-        for part in chunked(batch, "__text"):
-            texts = byte_texts(part, "__text")
+        for part in chunked(batch, place):
+            texts = byte_texts(part, place)
             sums, known = scorer.sums(texts)
             mean = sums / np.maximum(known, 1)[:, None]
             some = np.array([LETTER.search(t.decode()) is not None for t in texts]) & bool(languages)
@@ -229,17 +231,19 @@ def identify(documents: DataFrame, model: Model, *, id: str = "doc_id", text: st
                 share = 1 / np.exp(mean - mean[np.arange(len(mean)), best][:, None]).sum(axis=1)
             else:
                 best, share = np.zeros(len(texts), int), np.zeros(len(texts))
-            columns = dict(zip(part.schema.names[:-1], part.columns[:-1]))
+            columns = dict(zip(part.schema.names[: len(kept)], part.columns))
             names = [languages[b] if s else UNDETERMINED for b, s in zip(best, some)]
             yield record(**columns, __lang=pa.array(names, pa.string()), __score=np.where(some, share, 0.0))
 
-    kept = [*keep] or [id]
     fields = ", ".join(f"`__k{i}` {documents.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    rows = documents.select(*[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").alias("__text"))
+    rows = documents.select(*[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(kept)], *[F.col(f"`{text}`").alias("__text")] * (text not in kept))
     out = arrow(rows, run, f"{fields}, __lang string, __score double")
     return out.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(kept)], F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
-def accepted(predicted: Column) -> Column:
-    """Documents with a recognised language."""
-    return predicted != UNDETERMINED
+def recognised(documents: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """The documents, all columns, whose language is recognised."""
+    names = [f"__c{i}" for i in range(len(documents.columns))]
+    renamed = documents.toDF(*names)
+    told = identify(renamed, model, text=names[documents.columns.index(text)], keep=names)
+    return told.filter(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").toDF(*documents.columns)

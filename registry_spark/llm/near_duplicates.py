@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.llm.components import components
@@ -148,8 +148,18 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
+def text_key(id: int | None, text: bytes) -> bytes:
+    """Key of an id and a text; ``key_of`` is the same as a column."""
+    return hashlib.md5((b"" if id is None else b"%d" % id) + b"|" + text).digest()
+
+
+def key_of(id: Column, text: Column) -> Column:
+    parts = F.concat(F.coalesce(id.cast("long").cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit("")))
+    return F.unhex(F.md5(parts.cast("binary")))
+
+
 def sketched(documents: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """Per row: row (its number), id, key of its text, n_shingles, digest of its set, bands (once per set and task)."""
+    """Per row: row (its number), id, key of id and text, n_shingles, digest of its set, bands (once per set and task)."""
     name = uuid.uuid4().hex
     ship(documents.sparkSession)
 
@@ -162,6 +172,7 @@ def sketched(documents: DataFrame, id: str, text: str, words: int) -> DataFrame:
                 texts = byte_texts(part)
                 flat, bounds = shingles.sets(texts)
                 digests, new = [], []
+                ids = part.column(0).to_pylist()
                 for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     digest = hashlib.blake2b(flat[a:b], digest_size=16).digest() if b > a else None
                     digests.append(digest)
@@ -175,7 +186,7 @@ def sketched(documents: DataFrame, id: str, text: str, words: int) -> DataFrame:
                     for k, value in zip(new, bands(sketch(own, segments(sizes)))):
                         keys[k] = value.tobytes()
                 yield record(
-                    row=np.arange(row, row + len(texts)), id=part.column(0), key=[hashlib.md5(t).digest() for t in texts],
+                    row=np.arange(row, row + len(texts)), id=part.column(0), key=[text_key(i, t) for i, t in zip(ids, texts)],
                     n=np.diff(bounds), digest=pa.array(digests, pa.binary()), bands=pa.array(keys, pa.binary()),
                 )
                 row += len(texts)
@@ -197,7 +208,7 @@ def band_rows(rows: DataFrame) -> DataFrame:
 
 
 def candidate_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """Full sets and registers of the wanted rows (row, id, key), from their whole texts: row, n, set, registers."""
+    """Full sets and registers of the wanted rows (row, key), from their whole texts: row, n, set, registers."""
     name = uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -211,9 +222,8 @@ def candidate_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str,
                 registers=pa.array([r.tobytes() for r in registers], pa.binary()),
             )
 
-    texts = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), F.col(f"`{text}`").alias("text"))
-    texts = texts.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    found = texts.join(wanted, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key")))
+    texts = documents.select(key_of(F.col(f"`{id}`"), F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
+    found = texts.join(wanted.select("row", "key"), "key")
     return arrow(found.select("row", "text"), run, "row long, n long, set binary, registers binary")
 
 
@@ -258,13 +268,8 @@ def cross_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: ``id``, n_shingles, component_id, kept.
-
-    Rows are linked when they share at least ``percent`` percent of the union of their sets of ``words``-word shingles;
-    component_id is the smallest id reachable, and one row has it as its own id. NULL and empty texts are linked with
-    nothing. Equal sets count as one in the search; a NULL id is larger than none, and stays NULL only where no
-    other is reached. Repeated rows form a component whose rows are all ``kept``. Other columns are not read.
+def classes(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: row, id, key, n, component (smallest row number linked with it), component_id.
 
     Candidates are rows that agree in a band. Each is first compared with the smallest row of its bands; then
     rows that share a band and are in different components by now are all compared, so no link that a band shows is lost.
@@ -276,21 +281,38 @@ def near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "te
     shared = all_bands.groupBy("band").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     members = written(all_bands.join(shared.drop("rows"), "band"))
     stars = members.groupBy("row").agg(F.min("least").alias("least"))
-    wanted = rows.join(stars, "row").select("row", "id", "key")
+    wanted = rows.join(stars, "row").select("row", "key")
     sets = written(candidate_sets(documents, wanted, id, text, words))
-    first = written(confirmed(stars.filter("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b")), sets, percent))
-    links = first.unionByName(equal)
-    found = components(links)
+    pairs = stars.filter("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b"))
+    found = components(written(confirmed(pairs, sets, percent)).unionByName(equal))
     more = written(confirmed(written(cross_pairs(members.select("band", "row"), found)), sets, percent))
-    if more.isEmpty():
-        whole = found
-    else:
-        whole = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    own = rows.select("row", "id", "n").join(whole, F.col("row") == F.col("node"), "left").select(
-        "row", "id", "n", F.coalesce("component", "row").alias("component")
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    own = rows.select("row", "id", "key", "n").join(found, F.col("row") == F.col("node"), "left").select(
+        "row", "id", "key", "n", F.coalesce("component", "row").alias("component")
     )
-    least = own.groupBy("component").agg(F.min("id").alias("component_id"))
-    return own.join(least, "component").select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    return own.join(own.groupBy("component").agg(F.min("id").alias("component_id")), "component")
+
+
+def near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: ``id``, n_shingles, component_id, kept.
+
+    Rows are linked when they share at least ``percent`` percent of the union of their sets of ``words``-word shingles;
+    component_id is the smallest id reachable, and ``kept`` marks rows that have it as their own id. NULL and empty texts
+    are linked with nothing. A NULL id is larger than any other, and stays NULL only where no other is reached. Repeated
+    rows form a component of which all are ``kept``; ``one_of_each`` leaves one. Other columns are not read.
+    """
+    found = classes(documents, id=id, text=text, words=words, percent=percent)
+    return found.select(
+        F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+def one_of_each(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """Documents, all columns, with one row left of each component: one with the smallest id."""
+    found = classes(documents, id=id, text=text, words=words, percent=percent).filter(F.col("id").eqNullSafe(F.col("component_id")))
+    best = found.groupBy("component").agg(F.min(F.struct("row", "key")).alias("best")).select(F.col("best.key").alias("__key"))
+    keyed = documents.withColumn("__key", key_of(F.col(f"`{id}`"), F.col(f"`{text}`"))).join(best, "__key", "left_semi")
+    # Rows equal in id and text; partitioned and sorted by the join already.
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return keyed.withColumn("__number", number).filter("__number = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
