@@ -128,7 +128,7 @@ class TokenFile:
             start, end = int(self.frame_starts[k]), int(self.frame_starts[k + 1])
             parts.append(self.frame(k)[a - start : min(b, end) - start])
             a, k = min(b, end), k + 1
-        return np.concatenate(parts) if len(parts) != 1 else parts[0]
+        return np.concatenate([np.zeros(0, "<u4"), *parts])
 
 
 class LibraryEncoder:
