@@ -90,7 +90,8 @@ def contract(table: str, fields, present: set[str]) -> str:
         if f.low is not None:
             row(f.name, "range", count_if(f"{f.name} NOT BETWEEN {f.low} AND {f.high}"))
         if f.unique:
-            row(f.name, "unique", f"count({f.name}) - count(DISTINCT {f.name})")
+            key = f.name if f.within not in present else f"CASE WHEN {f.name} IS NOT NULL THEN ({f.within}, {f.name}) END"
+            row(f.name, "unique", f"count({f.name}) - count(DISTINCT {key})")
     return " UNION ALL ".join(parts)
 
 
@@ -102,9 +103,9 @@ INSIDE = f"""SELECT v.*, v.country IN (SELECT country FROM edges) AS covered,
  AND v.latitude BETWEEN least(y1, y2) AND greatest(y1, y2)
  AND v.longitude BETWEEN least(x1, x2) AND greatest(x1, x2)) AS touching FROM valid v"""
 
-# Numbering: bucket by hash of the order columns and the chunk of copies, then the order columns.
-NUMBERED = """SELECT *, row_number() OVER (ORDER BY substr(md5(l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|'
- || l_linenumber || '|' || chunk), 1, 3), l_orderkey, l_partkey, l_suppkey, l_linenumber, chunk) AS number
+# Numbering: hash of the order columns and the chunk of copies, then the order columns.
+NUMBERED = """SELECT *, row_number() OVER (ORDER BY md5(l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|'
+ || l_linenumber || '|' || chunk), l_orderkey, l_partkey, l_suppkey, l_linenumber, chunk) AS number
  FROM (SELECT *, (row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1) // 10000 AS chunk
  FROM svc)"""
 
@@ -112,7 +113,7 @@ TOP = "SELECT country, max(CAST(regexp_extract(uid, '(\\d+)$', 1) AS BIGINT)) AS
 
 MINTED = f"""SELECT n.country, n.facility_code,
  printf('%s-%06d', n.country, coalesce(highest, 0) + row_number() OVER (PARTITION BY n.country
- ORDER BY substr(md5(n.facility_code || '|0'), 1, 3), n.facility_code)) AS uid, DATE '2026-01-31' AS created_date
+ ORDER BY md5(n.facility_code || '|0'), n.facility_code)) AS uid, DATE '2026-01-31' AS created_date
  FROM (SELECT DISTINCT iso AS country, facility_code FROM fac WHERE facility_code <> '') n
  LEFT JOIN ({TOP}) top ON top.country = n.country
  WHERE NOT EXISTS (SELECT 1 FROM reg r WHERE r.country = n.country AND r.facility_code = n.facility_code)"""
@@ -148,7 +149,43 @@ PAIRED = f"""SELECT l.facility_name, l.latitude, l.longitude, l.country, j.servi
 PAYLOAD = """SELECT conv_id, turn, role, text, CASE WHEN turn % 3 = 1 THEN 'N' || conv_id || '-' || turn
  ELSE 'c' || conv_id || '-' || turn END AS code FROM conversations"""
 
+# A name with a line break and quotes on every fifth facility.
+WRITTEN_NAME = """CASE WHEN source_row % 5 = 0 THEN facility_name || chr(10) || '"Annex, ' || source_row || '"' ELSE facility_name END"""
+
+# Two-letter codes in lower case and upper case, as some registries use.
+ANY_CODE = """(SELECT * REPLACE (CASE WHEN {c} < 'M' THEN lower(substr({c}, 1, 2)) ELSE substr({c}, 1, 2) END AS {c}) FROM {t})"""
+ANY_REG = ANY_CODE.format(c="country", t="reg")
+ANY_MINTED = f"""SELECT n.country, n.facility_code, printf('%s-%06d', n.country, coalesce(highest, 0) + row_number() OVER (
+ PARTITION BY n.country ORDER BY md5(n.facility_code || '|0'), n.facility_code)) AS uid
+ FROM (SELECT DISTINCT iso AS country, facility_code FROM {ANY_CODE.format(c="iso", t="fac")} WHERE facility_code <> '') n
+ LEFT JOIN (SELECT country, max(CAST(regexp_extract(uid, '(\\d+)$', 1) AS BIGINT)) AS highest FROM {ANY_REG} GROUP BY country) top
+ ON top.country = n.country
+ WHERE NOT EXISTS (SELECT 1 FROM {ANY_REG} r WHERE r.country = n.country AND r.facility_code = n.facility_code)"""
+
+# One facility holds a third of the services.
+HOT = """SELECT f.facility_name, f.latitude, f.longitude, f.country, s.service_detail AS service_name,
+ s.service_category AS service_domain FROM coord f
+ JOIN (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN '7' ELSE facility_code END AS code FROM svc) s
+ ON s.code = f.facility_code WHERE f.facility_code <> ''"""
+
 ORACLES = {
+    "uid_reuse_mint_any_code": sql(
+        f"""SELECT f.source_row, f.iso, f.facility_code, coalesce(r.uid, m.uid) AS uid FROM {ANY_CODE.format(c="iso", t="fac")} f
+ LEFT JOIN (SELECT country, facility_code, min_by(uid, (length(uid), uid)) AS uid FROM {ANY_REG} GROUP BY 1, 2) r
+ ON r.country = f.iso AND r.facility_code = f.facility_code
+ LEFT JOIN ({ANY_MINTED}) m ON m.country = f.iso AND m.facility_code = f.facility_code""", "reg"),
+    "facility_service_hot": sql(HOT, "coord", "svc"),
+    "services_plan_large": sql(SERVICES, "svc", "cw", "reg1"),
+    "services_table": sql(f"SELECT * FROM ({SERVICES})", "svc", "cw", "reg1"),
+    "within_flag_large": sql(
+        f"""SELECT source_row, country, CASE WHEN latitude IS NULL OR longitude IS NULL THEN NULL
+ WHEN NOT covered THEN coordinate_valid ELSE coordinate_valid AND odd AND NOT touching END AS coordinate_valid
+ FROM ({INSIDE})""", "valid", "edges"),
+    "run_report": sql(
+        f"""SELECT country, data_quality_flag, n_facilities, pct_of_country FROM (SELECT country,
+ coalesce(data_quality_flag, '(null)') AS data_quality_flag, count(*) AS n_facilities,
+ round({percent('count(*)', 'sum(count(*)) OVER (PARTITION BY country)')}, 1) AS pct_of_country
+ FROM quality GROUP BY country, data_quality_flag)""", "quality"),
     "lake_summary": sql(
         f"""SELECT country, coalesce(data_quality_flag, '(null)') AS data_quality_flag, count(*) AS n_facilities,
  round({percent('count(*)', 'sum(count(*)) OVER (PARTITION BY country)')}, 1) AS pct_of_country
@@ -205,8 +242,7 @@ ORACLES = {
  FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
  ORDER BY o_orderkey, o_orderpriority, o_orderstatus) = 1) o
  LEFT JOIN (SELECT source_row, first(latitude ORDER BY latitude NULLS FIRST, longitude NULLS FIRST) AS latitude,
- first(longitude ORDER BY latitude NULLS FIRST, longitude NULLS FIRST) AS longitude FROM coord WHERE balance < 7000
- GROUP BY source_row) k ON k.source_row = o.o_custkey""", "coord"),
+ first(longitude ORDER BY latitude NULLS FIRST, longitude NULLS FIRST) AS longitude FROM coord GROUP BY source_row) k ON k.source_row = o.o_custkey""", "coord"),
     "completeness_by_country": sql(
         " UNION ALL ".join(
             f"""SELECT country, '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows,
@@ -215,7 +251,7 @@ ORACLES = {
     "coord_lookup": sql(
         f"""SELECT CAST(o.o_custkey AS VARCHAR) AS facility_code, o.o_orderkey, o.o_orderstatus, k.latitude, k.longitude
  FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_orderstatus) = 1) o
- LEFT JOIN coord k ON k.source_row = o.o_custkey AND k.balance < 7000""", "coord"),
+ LEFT JOIN coord k ON k.source_row = o.o_custkey""", "coord"),
     "union_merge": sql(
         f"""SELECT source_row, facility_code, facility_name, 'Nigeria' AS country,
  CAST(NULL AS INTEGER) AS catchment_population, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS BOOLEAN) AS inpatient,
@@ -255,8 +291,10 @@ ORACLES = {
     "crosswalk_one_key": sql(
         f"""SELECT {ORDER}, c.service_domain, c.service_group,
  coalesce(c.service_name, trim(s.service_detail, ' ')) AS service_name FROM svc s
- LEFT JOIN (SELECT * FROM cw WHERE source_category = 'SMALL' AND source_detail IS NOT NULL) c
- ON trim(s.service_detail, {DEEP}) = c.source_detail""", "svc", "cw"),
+ LEFT JOIN (SELECT * FROM cw QUALIFY row_number() OVER (PARTITION BY source_detail ORDER BY service_domain NULLS FIRST,
+ service_group NULLS FIRST, service_name NULLS FIRST, is_clinical NULLS FIRST, is_malaria_related NULLS FIRST,
+ include_in_analysis NULLS FIRST, needs_review NULLS FIRST) = 1) c
+ ON trim(s.service_detail, {DEEP}) IS NOT DISTINCT FROM c.source_detail""", "svc", "cw"),
     "crosswalk_unmatched": sql(
         "SELECT DISTINCT facility_code, source_service_name FROM joined WHERE service_domain IS NULL", "joined"),
     "unmatched_report": sql(
@@ -291,14 +329,16 @@ ORACLES = {
         """SELECT DISTINCT service_category, service_detail FROM svc
  WHERE service_category IS NOT NULL AND service_detail IS NOT NULL""", "svc"),
     "vocab_union": sql(
-        """SELECT *, CAST(NULL AS VARCHAR) AS source_group, 'TZA' AS country_iso FROM cw WHERE source_category <> 'PROMO'
+        """SELECT *, CAST(NULL AS VARCHAR) AS source_group, 'TZA' AS country_iso FROM cw
  UNION ALL BY NAME SELECT * EXCLUDE (needs_review), service_group AS source_group, 'KEN' AS country_iso FROM cw""",
         "cw"),
     "crosswalk_qa": sql(
         """SELECT 'domain' AS measure, coalesce(service_domain, '(null)') AS value, count(*) AS n FROM cw GROUP BY 2
  UNION ALL SELECT 'include_in_analysis', coalesce(CAST(include_in_analysis AS VARCHAR), '(null)'), count(*) FROM cw GROUP BY 2
  UNION ALL SELECT 'needs_review', 'true', count(*) FROM cw WHERE needs_review HAVING count(*) > 0
- UNION ALL SELECT 'without_rule', coalesce(source_category, '(null)'), count(*) FROM cw WHERE service_domain IS NULL GROUP BY 2""",
+ UNION ALL SELECT 'without_rule', coalesce(source_category, '(null)'), count(*) FROM cw WHERE service_domain IS NULL GROUP BY 2
+ UNION ALL SELECT 'conflicting_keys', 'all', count(*) FROM (SELECT source_detail FROM (SELECT DISTINCT * FROM cw)
+ GROUP BY source_detail HAVING count(*) > 1)""",
         "cw"),
     "service_report": sql(
         f"""SELECT count(*) AS total_records, count(DISTINCT coalesce(facility_code, '(none)')) AS unique_facilities,
@@ -345,7 +385,11 @@ ORACLES = {
     "payload_facilities": f"""SELECT CASE WHEN turn % 5 <> 4 THEN role END AS facility_name, code AS new_facility_code,
  CASE WHEN turn % 2 = 0 THEN role END AS district, role AS sub_district, role AS facility_owner,
  CAST((conv_id % 90) || '.5' AS DOUBLE) AS latitude, CASE WHEN turn % 2 = 1 THEN 30.0::DOUBLE END AS longitude,
- turn % 3 = 0 AS always_open FROM ({PAYLOAD})""",
+ turn % 3 = 0 AS always_open, 'old ' || role AS old_facility_code, 'c' || conv_id AS constituency,
+ CASE WHEN turn % 2 = 1 THEN 'type ' || turn END AS service_delivery_type, '+' || conv_id AS telephone,
+ CASE turn % 3 WHEN 0 THEN 'Urban' WHEN 1 THEN 'Rural' END AS urban_or_rural, 'open' AS facility_status,
+ 'published ' || turn AS publication_status, CAST(conv_id AS VARCHAR) AS catchment_area, '2026-01-0' || (1 + turn % 9) AS updated
+ FROM ({PAYLOAD})""",
     "payload_services": f"""SELECT * FROM (
  SELECT code AS facility_code, 'clinical_services' AS service_category, unnest(string_split(text, chr(10))) AS service_name,
  CAST(NULL AS INTEGER) AS quantity, TRUE AS is_available FROM ({PAYLOAD})
@@ -365,8 +409,9 @@ ORACLES = {
  FROM (SELECT *, {t.OPEN_DATE} AS open_date, latitude BETWEEN -12 AND 0 AND longitude BETWEEN 28 AND 41 AS inside
  FROM coord) WHERE latitude IS NOT NULL AND longitude IS NOT NULL""", "coord"),
     "csv_registry": sql(
-        """SELECT source_row, nullif(facility_code, '') AS facility_code, nullif(latitude, '') AS latitude, ownership_raw
- FROM fac""", "fac"),
+        f"""SELECT CAST(source_row AS VARCHAR) AS source_row, nullif(facility_code, '') AS facility_code, iso, country,
+ {WRITTEN_NAME} AS facility_name, admin1, admin2, facility_type, ownership_raw, nullif(latitude, '') AS latitude,
+ longitude, open_date_raw, status, catchment_population, inpatient FROM fac""", "fac"),
     "lake_tables": sql(
         """SELECT source_row, facility_name, CASE WHEN country = 'Kenya' THEN 'unknown' ELSE data_quality_flag END
  AS data_quality_flag, country, DATE '2026-01-31' AS extraction_date FROM quality""", "quality"),

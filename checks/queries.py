@@ -13,10 +13,11 @@ from registry_spark.operators import boundaries, columns, coordinates, crosswalk
 from registry_spark.operators import identifiers, lookups, merging, profiles, quality, typing
 from registry_spark.plans import extracts
 from registry_spark.plans import facilities as facility_plan
+from registry_spark.plans import reports
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
 from registry_spark.sources import lake, readers
-from registry_spark.sources.shared import shared_folder
+from registry_spark.sources.shared import shared_folder, written
 
 THIS_YEAR = 2026
 RUN_DATE = dt.date(2026, 1, 31)
@@ -125,6 +126,12 @@ def within_filter(spark, d):
     return out.select("source_row", "country", "latitude", "longitude", "coordinate_valid")
 
 
+def within_flag_large(spark, d):
+    """Boundaries too large to broadcast."""
+    out = boundaries.flag_within(valid(spark, d), t.boundary_edges(spark), method="shuffle")
+    return out.select("source_row", "country", "coordinate_valid")
+
+
 def within_flag(spark, d):
     out = boundaries.flag_within(valid(spark, d), t.boundary_edges(spark), method="broadcast")
     return out.select("source_row", "country", "coordinate_valid")
@@ -148,7 +155,7 @@ def coord_lookup(spark, d):
         t.read(spark, d, "orders").select(
             F.col("o_custkey").cast("string").alias("facility_code"), "o_orderkey", "o_orderstatus"),
         ["facility_code"], ["o_orderkey"])
-    known = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).filter("balance < 7000").select(
+    known = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).select(
         F.col("source_row").cast("string").alias("Id"), "latitude", "longitude")
     return lookups.lookup_join(first, known, [("facility_code", "Id")])
 
@@ -167,8 +174,7 @@ def located_list(spark, d):
         F.lit("R").alias("Region"), F.lit("Z").alias("Zone"), F.col("o_orderkey").alias("Woreda"),
         F.lit("Open").alias("Operational Status"))
     points = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).select(
-        F.col("source_row").alias("Id"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"),
-        "balance").filter("balance < 7000")
+        F.col("source_row").alias("Id"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"))
     return extracts.located_list(export, points, order_by=["admin3"])
 
 
@@ -194,7 +200,7 @@ def step_counters(spark, d):
 
 def contract_facilities(spark, d):
     out = typing.enforce_schema(flagged(spark, d).drop("ownership_raw"), FACILITY_FIELDS)
-    return typing.check_contract(out, FACILITY_FIELDS)
+    return typing.check_contract(written(out), FACILITY_FIELDS)
 
 
 def completeness_by_country(spark, d):
@@ -222,6 +228,19 @@ def uid_reuse_mint(spark, d):
     return out.select("source_row", "iso", "facility_code", "uid")
 
 
+def any_code(column):
+    return F.expr(f"CASE WHEN {column} < 'M' THEN lower(substr({column}, 1, 2)) ELSE substr({column}, 1, 2) END")
+
+
+def uid_reuse_mint_any_code(spark, d):
+    """Codes of two letters, some in lower case, with numbers given out before."""
+    fac = t.raw_facilities(spark, d).withColumn("iso", any_code("iso"))
+    path = shared_folder(spark)
+    lake.append_rows(t.registry(spark, d).withColumn("country", any_code("country")), path)
+    known = facility_plan.register_new(spark, fac, path, RUN_DATE, country="iso")
+    return identifiers.assign_uids(fac, known).select("source_row", "iso", "facility_code", "uid")
+
+
 def service_uid(spark, d):
     out = identifiers.service_uids(t.raw_services(spark, d), "TZA", t.SERVICE_ORDER)
     return out.select(*t.SERVICE_ORDER, "facility_code", "uid")
@@ -269,8 +288,7 @@ def crosswalk_two_key_skewed(spark, d):
 
 def crosswalk_one_key(spark, d):
     """Single-key crosswalk by name, the source name standing in where it has none."""
-    names = t.crosswalk(spark, d).filter("source_category = 'SMALL' AND source_detail IS NOT NULL")
-    names = names.drop("source_category")
+    names = t.crosswalk(spark, d).drop("source_category")
     out = crosswalks.translate(
         t.raw_services(spark, d).withColumn("raw_name", F.trim("service_detail")), names,
         (("service_detail", "source_detail"),), fallback_to_source="raw_name")
@@ -328,13 +346,13 @@ def vocab_inventory(spark, d):
 def vocab_union(spark, d):
     cw = t.crosswalk(spark, d)
     return crosswalks.union_crosswalks({
-        "TZA": cw.filter("source_category <> 'PROMO'"),
+        "TZA": cw,
         "KEN": cw.drop("needs_review").withColumn("source_group", F.col("service_group")),
     })
 
 
 def crosswalk_qa(spark, d):
-    return profiles.crosswalk_quality(t.crosswalk(spark, d))
+    return profiles.crosswalk_quality(t.crosswalk(spark, d), ["source_detail"])
 
 
 def service_report(spark, d):
@@ -371,7 +389,7 @@ def table_rows(spark, d):
 
 def contract_services(spark, d):
     facts = joined(spark, d).withColumn("uid", F.col("l_orderkey").cast("string"))
-    return typing.check_contract(facts, SERVICE_FIELDS)
+    return typing.check_contract(written(facts.select(*[f.name for f in SERVICE_FIELDS if f.name in facts.columns])), SERVICE_FIELDS)
 
 
 def located(spark, d):
@@ -385,6 +403,16 @@ def facility_service_join(spark, d):
         located(spark, d), profiles.malaria_services(joined(spark, d)))
 
 
+def facility_service_hot(spark, d):
+    """Services of which one facility holds a third."""
+    fac = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).filter("facility_code <> ''").withColumnRenamed("facility_code", "uid")
+    code = F.when(F.col("l_orderkey") % 3 == 0, F.lit("7")).otherwise(F.col("facility_code"))
+    services = t.raw_services(spark, d).select(
+        *t.SERVICE_ORDER, code.alias("facility_uid"), F.col("service_detail").alias("service_name"),
+        F.col("service_category").alias("service_domain"))
+    return profiles.facilities_with_services(fac, services)
+
+
 def facility_service_top(spark, d):
     """The first 20 malaria services with their facility."""
     return profiles.facilities_with_services(
@@ -419,6 +447,11 @@ def json_props(spark, d):
 PAYLOAD_TEXT = """to_json(named_struct(
   'id', concat('c', conv_id, '-', turn),
   'newFacilityCode', CASE WHEN turn % 3 = 0 THEN '' WHEN turn % 3 = 1 THEN concat('N', conv_id, '-', turn) END,
+  'oldFacilityCode', concat('old ', role), 'constituency', named_struct('name', concat('c', conv_id)),
+  'facilityType', CASE WHEN turn % 2 = 1 THEN named_struct('name', concat('type ', turn)) END,
+  'telephone', concat('+', conv_id), 'isUrbanOrRural', CASE turn % 3 WHEN 0 THEN 'Urban' WHEN 1 THEN 'Rural' END,
+  'status', 'open', 'facilityStatus', concat('published ', turn), 'catchmentArea', CAST(conv_id AS STRING),
+  'updated', concat('2026-01-0', 1 + turn % 9),
   'facilityName', CASE WHEN turn % 5 <> 4 THEN role END,
   'district', CASE WHEN turn % 2 = 0 THEN named_struct('name', role) END,
   'physicalAddress', named_struct('district', named_struct('name', role)),
@@ -445,9 +478,7 @@ def payload(spark, d):
 def payload_facilities(spark, d):
     out = generators.payload_facilities(payload(spark, d))
     names = {c: c.lower().replace(" ", "_").replace("-", "_") for c in out.columns}
-    return out.withColumnsRenamed(names).drop(
-        "old_facility_code", "constituency", "service_delivery_type", "telephone", "urban_or_rural",
-        "facility_status", "publication_status", "catchment_area", "updated")
+    return out.withColumnsRenamed(names)
 
 
 def payload_services(spark, d):
@@ -477,6 +508,13 @@ def services_plan(spark, d):
         source_url="services.csv", order_by=t.SERVICE_ORDER)
 
 
+def services_plan_large(spark, d):
+    """The same with lookups too large to broadcast."""
+    return service_plan.standardize_services(
+        t.raw_services(spark, d), "TZA", FEED, t.crosswalk(spark, d), t.registry(spark, d),
+        source_url="services.csv", order_by=t.SERVICE_ORDER, method="shuffle")
+
+
 def services_slim(spark, d):
     return services_plan(spark, d).select(*SLIM_SERVICE_COLUMNS)
 
@@ -484,12 +522,11 @@ def services_slim(spark, d):
 # -- sources and sinks --------------------------------------------------------
 
 def csv_registry(spark, d):
-    """Registry written as CSV text and read back: codes and irregular values stay as written."""
+    """Registry written as CSV text, with line breaks and quotes in names, and read back: every value stays as written."""
     path = f"{shared_folder(spark)}/registry.csv"
-    raw = t.raw_facilities(spark, d).select("source_row", "facility_code", "latitude", "ownership_raw")
-    raw.write.options(**lake.CSV).csv(path)
-    out = columns.trim_column_names(readers.read_registry(spark, path))
-    return out.select(F.col("source_row").cast("bigint"), "facility_code", "latitude", "ownership_raw")
+    annex = F.expr("""CASE WHEN source_row % 5 = 0 THEN facility_name || '\\n"Annex, ' || source_row || '"' ELSE facility_name END""")
+    t.raw_facilities(spark, d).drop("balance").withColumn("facility_name", annex).write.options(**lake.CSV).csv(path)
+    return columns.trim_column_names(readers.read_registry(spark, path, multi_line=True))
 
 
 def lake_tables(spark, d):
@@ -505,11 +542,25 @@ def lake_tables(spark, d):
     return spark.table("health_facilities")
 
 
+def services_table(spark, d):
+    """Services written as the published table, partitioned by country, and read back."""
+    lake.replace_table(services_plan(spark, d), "facility_services", f"{shared_folder(spark)}/services", partition_by="country_iso")
+    return spark.table("facility_services")
+
+
+def run_report(spark, d):
+    """Reports of a table written and one of them read back."""
+    fac = written(typing.enforce_schema(flagged(spark, d).drop("ownership_raw"), FACILITY_FIELDS))
+    folder = shared_folder(spark)
+    reports.write_reports(reports.facility_reports(fac), folder)
+    return spark.read.parquet(f"{folder}/quality")
+
+
 def uid_registry(spark, d):
     """Registry on disk: known codes appended first, then the new ones, then read as written."""
     path = shared_folder(spark)
     lake.append_rows(t.registry(spark, d), path)
-    return facility_plan.register_new(spark, t.raw_facilities(spark, d), path, RUN_DATE)
+    return facility_plan.register_new(spark, t.raw_facilities(spark, d), path, RUN_DATE, country="iso")
 
 
 QUERIES = {
@@ -526,5 +577,6 @@ QUERIES = {
         table_rows, contract_services, facility_service_join, facility_service_top,
         split_explode, split_lists, json_props, payload_facilities, payload_services,
         facilities_plan, services_plan, services_slim, csv_registry, lake_tables, uid_registry,
+        uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
     )
 }

@@ -44,13 +44,23 @@ def to_integer(c: Column, dtype: T.DataType = T.StringType()) -> Column:
 def to_boolean(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """TRUE for the affirmative words, FALSE for everything else including NULL.
 
-    A column that is already boolean keeps its NULLs.
+    A column that is already boolean keeps its NULLs; of a numeric one only 1 is TRUE.
     """
     if isinstance(dtype, T.BooleanType):
         return c
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(c == 1, F.lit(False))
     return F.coalesce(F.upper(c.cast("string")).isin(*TRUE_WORDS), F.lit(False))
 
 
+def to_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """Text; whole numbers of a fractional type are written without a fraction, as codes are."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(2.0**53))
+        return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
 def to_date(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Date; text must be year-month-day with '-' or '/', anything else is NULL."""
     if isinstance(dtype, T.StringType):

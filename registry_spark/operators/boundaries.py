@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.operators.coordinates import has_coordinates
-from registry_spark.operators.lookups import choose, lookup_join
+from registry_spark.operators.lookups import lookup_join
 
 BAND_DEGREES = 0.05
 
@@ -62,7 +62,6 @@ def with_verdict(
     A point meets one row, its own band's edges, so no point is multiplied and
     nothing is regrouped per point.
     """
-    method = choose(method, band_edges(edges, width))
     banded = df.withColumn("__band", F.floor(F.col("latitude") / width))
     covered = edges.select(F.col("country").alias("covered_country"), F.lit(True).alias("covered")).distinct()
     joined = lookup_join(banded, covered, [(country, "covered_country")], method=method)
@@ -81,8 +80,7 @@ def filter_within(df: DataFrame, edges: DataFrame, **options) -> DataFrame:
 
     Rows of countries without a boundary stay as they are.
     """
-    known = F.col("in_interior").isNotNull()
-    keep = ~known | (F.col("coordinate_valid") & (F.col("in_interior") | F.col("on_boundary")))
+    keep = F.col("in_interior").isNull() | (F.col("coordinate_valid") & (F.col("in_interior") | F.col("on_boundary")))
     return with_verdict(df, edges, **options).filter(keep).drop("in_interior", "on_boundary")
 
 

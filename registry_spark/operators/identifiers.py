@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registry_spark.operators.lookups import choose, first_per_key, lookup_join
+from registry_spark.operators.lookups import first_per_key, lookup_join
 from registry_spark.operators.numbering import number_rows
 
 
@@ -21,11 +21,7 @@ def uid_text(prefix: Column, number: Column) -> Column:
 def highest_numbers(registry: DataFrame) -> DataFrame:
     """Largest number already given out, per country code."""
     number = F.regexp_extract("uid", r"(\d+)$", 1).try_cast("bigint")
-    return (
-        registry.filter(F.col("country").rlike("^[A-Z]{3}$"))
-        .groupBy("country")
-        .agg(F.max(number).alias("highest"))
-    )
+    return registry.groupBy("country").agg(F.max(number).alias("highest"))
 
 
 def new_registry_rows(
@@ -51,8 +47,7 @@ def new_registry_rows(
     numbered = number_rows(
         unseen, ["facility_code"], within=["country"], name="n", digits=digits, collapse=False
     )
-    # At most one row per three-letter code.
-    highest = F.broadcast(highest_numbers(registry))
+    highest = highest_numbers(registry)
     created = created if isinstance(created, Column) else F.lit(created)
     return numbered.join(highest, "country", "left").select(
         "country",
@@ -81,14 +76,15 @@ def assign_uids(
 ) -> DataFrame:
     """Add each row's registered identifier; NULL without a code or a registry row."""
     coded = registry.filter(F.col("facility_code") != "").select("country", "facility_code", "uid")
-    method = choose(method, coded)
     lookup = one_uid_per_code(coded).withColumnRenamed("uid", name)
     return lookup_join(
         facilities, lookup, [(country, "country"), (code, "facility_code")], method=method
     )
 
 
-def service_uids(df: DataFrame, iso: str, order_by: list[str] | None = None, digits: int = 3) -> DataFrame:
+def service_uids(
+    df: DataFrame, iso: str, order_by: list[str] | None = None, digits: int = 3, *, collapse: bool = True
+) -> DataFrame:
     """Add ``uid`` = ``{iso}-SVC-{number}`` to every row of one service list."""
-    numbered = number_rows(df, order_by or df.columns, name="__number", digits=digits)
+    numbered = number_rows(df, order_by or df.columns, name="__number", digits=digits, collapse=collapse)
     return numbered.withColumn("uid", uid_text(F.lit(f"{iso}-SVC"), F.col("__number"))).drop("__number")

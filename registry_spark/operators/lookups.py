@@ -7,36 +7,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-HEAVY_KEYS = 1_000
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` against the broadcast bounds, reading at most ``rows`` + 1 rows of it."""
-    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
-    return seen["n"] <= rows and (seen["b"] or 0) <= size
-
-
-def choose(method: str, source: DataFrame) -> str:
-    """Settle ``auto`` by measuring the table a lookup is reduced from, before it is reduced."""
-    if method not in ("auto", "broadcast", "shuffle"):
-        raise ValueError(f"unknown join method: {method}")
-    if method != "auto":
-        return method
-    return "broadcast" if is_small(source) else "shuffle"
+METHODS = ("auto", "broadcast", "shuffle")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out evenly when there are fewer input splits than cores, else unchanged.
+    """Rows of a table as read dealt out evenly when it has fewer files than cores, else unchanged.
 
     For steps that cost much per row over a small table in few files; a large
-    table has more splits than cores and is not shuffled. Use it on a table as read,
-    before any shuffle: asking a shuffled plan for its partitions would run it.
+    table has more files than cores and is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def lookup_join(
@@ -46,20 +27,19 @@ def lookup_join(
     *,
     null_safe: bool = False,
     method: str = "auto",
-    heavy_keys: int = HEAVY_KEYS,
 ) -> DataFrame:
     """Add the lookup's other columns to every fact row; no match leaves them NULL.
 
     ``on`` pairs fact columns with lookup columns; the lookup has one row per key. With ``null_safe`` a NULL key
-    matches a NULL key. Methods:
+    matches a NULL key. Facts are read once and no job runs while the plan is built. Methods:
 
+    * ``auto`` - the optimizer decides by its statistics, and again by the sizes seen when the join runs;
     * ``broadcast`` - the lookup is bounded by construction; facts are not shuffled;
-    * ``shuffle`` - the lookup may be large. Facts on the ``heavy_keys`` most
-      frequent keys meet a broadcast of at most that many lookup rows and are not
-      shuffled; so are facts with a NULL key. The rest, of which no key holds more
-      than one part in ``heavy_keys``, go through a shuffle join;
-    * ``auto`` - measure the lookup, then one of the two.
+    * ``shuffle`` - the lookup is known to be large: a merge join. Partitions that a frequent
+      key or NULL keys make large are split by adaptive execution, with the few lookup rows that go with them repeated.
     """
+    if method not in METHODS:
+        raise ValueError(f"unknown join method: {method}")
     fact_keys = [f for f, _ in on]
     keys = [f"__key{i}" for i in range(len(on))]
     payload = [c for c in lookup.columns if c not in {l for _, l in on}]
@@ -75,31 +55,9 @@ def lookup_join(
         tests = [(F.col(f"`{f}`"), F.col(k)) for f, k in zip(fact_keys, keys)]
         return reduce(lambda x, y: x & y, [a.eqNullSafe(b) if safe else a == b for a, b in tests])
 
-    def looked_up(left: DataFrame, right: DataFrame, safe: bool) -> DataFrame:
-        return left.join(right, match(safe), "left").drop(*keys)
-
-    if choose(method, table) == "broadcast":
-        return looked_up(facts, F.broadcast(table), null_safe)
-
-    has_null = reduce(lambda x, y: x | y, [F.col(f"`{f}`").isNull() for f in fact_keys])
-    keyed = facts if null_safe else facts.filter(~has_null)
-    heavy = F.broadcast(
-        keyed.groupBy(*[F.col(f"`{f}`").alias(k) for f, k in zip(fact_keys, keys)])
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .orderBy(F.desc("__rows"), *keys)
-        .limit(heavy_keys)
-        .drop("__rows")
-    )
-    same_key = reduce(lambda x, y: x & y, [F.col(f"table.{k}").eqNullSafe(F.col(f"heavy.{k}")) for k in keys])
-    heavy_rows = F.broadcast(table.alias("table").join(heavy.alias("heavy"), same_key, "left_semi"))
-    parts = [
-        looked_up(keyed.join(heavy, match(True), "left_semi"), heavy_rows, True),
-        looked_up(keyed.join(heavy, match(True), "left_anti"), table, null_safe),
-    ]
-    if not null_safe:
-        types = {f.name: f.dataType for f in table.schema.fields}
-        parts.append(facts.filter(has_null).withColumns({c: F.lit(None).cast(types[c]) for c in payload}))
-    return reduce(DataFrame.unionByName, parts)
+    if method != "auto":
+        table = table.hint("broadcast" if method == "broadcast" else "merge")
+    return facts.join(table, match(null_safe), "left").drop(*keys)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

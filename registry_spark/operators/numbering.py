@@ -19,10 +19,10 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows 1..n per ``within`` group.
 
-    Order: leading ``digits`` hexadecimal digits of the MD5 of the order columns'
-    text, then the order columns. The digits cut each group, however large, into
-    16**digits buckets of even size (use 4 or more for groups beyond some
-    terabytes). Bucket sizes are counted by a narrow aggregate, their running
+    Order: MD5 of the order columns' text, then the order columns. The first ``digits``
+    hexadecimal digits cut each group, however large, into 16**digits buckets of
+    even size; as they lead the order, their number changes no result (use 4 or more
+    for groups beyond some terabytes). Bucket sizes are counted by a narrow aggregate, their running
     total gives each bucket its first number, and rows are ranked inside their
     bucket. Every number is a function of the rows alone, so a task that runs
     twice gives the same numbers and nothing has to be pinned between passes.
@@ -52,7 +52,7 @@ def number_rows(
 
     text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in order_by],
                        F.col("__chunk").cast("string"))
-    rows = rows.withColumn("__bucket", F.substring(F.md5(text), 1, digits))
+    rows = rows.withColumn("__hash", F.md5(text)).withColumn("__bucket", F.substring("__hash", 1, digits))
 
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -60,7 +60,7 @@ def number_rows(
         .agg(F.sum("__size").alias("__in_bucket"))
         .select(*groups, "__bucket", F.coalesce(F.sum("__in_bucket").over(before), F.lit(0)).alias("__start"))
     )
-    order = [*[F.col(f"`{c}`") for c in order_by], F.col("__chunk")]
+    order = [F.col("__hash"), *[F.col(f"`{c}`") for c in order_by], F.col("__chunk")]
     inside = Window.partitionBy(*groups, "__bucket").orderBy(*order)
     if collapse:
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)

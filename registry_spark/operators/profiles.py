@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.functions.measures import count_true, percent_half_even, percent_half_up
@@ -28,11 +28,11 @@ def completeness(df: DataFrame, by: str | None = None) -> DataFrame:
 def distribution(df: DataFrame, column: str, *, digits: int = 1) -> DataFrame:
     """Count and share of all rows per value; NULL is in the total but not listed.
 
-    The window runs over the counts, one row per value.
+    The total is a scalar over the counts, which are computed once.
     """
     counts = df.groupBy(F.col(f"`{column}`")).agg(F.count(F.lit(1)).alias("n"))
-    shared = counts.withColumn("pct", percent_half_even(F.col("n"), F.sum("n").over(Window.partitionBy()), digits))
-    return shared.filter(F.col(f"`{column}`").isNotNull())
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    return counts.filter(F.col(f"`{column}`").isNotNull()).withColumn("pct", percent_half_even(F.col("n"), total, digits))
 
 
 def quality_by_country(df: DataFrame) -> DataFrame:
@@ -75,12 +75,19 @@ def unmatched_report(df: DataFrame, top: int = 50) -> DataFrame:
 
 
 def source_profile(df: DataFrame, id_column: str, distinct: dict[str, str], located: str | None = None) -> DataFrame:
-    """Rows, distinct values per named column, and the share with a location."""
+    """Rows, distinct values per named column, and the share with a location.
+
+    One narrow aggregate per distinct count, so that no row is multiplied by their number.
+    """
+
+    def values(column: str) -> Column:
+        return df.agg(F.count_distinct(F.col(f"`{column}`")).alias("n")).scalar()
+
     aggregates = [F.count(F.lit(1)).alias("n_rows")]
-    aggregates += [F.count_distinct(F.col(f"`{c}`")).alias(name) for name, c in distinct.items()]
     if located:
         aggregates.append(percent_half_even(F.count(F.col(f"`{located}`")), F.count(F.lit(1))).alias("pct_located"))
-    return df.agg(F.count_distinct(F.col(f"`{id_column}`")).alias("n_ids"), *aggregates)
+    counted = df.agg(*aggregates).withColumns({"n_ids": values(id_column)} | {name: values(c) for name, c in distinct.items()})
+    return counted.select("n_ids", "n_rows", *distinct, *["pct_located"] * bool(located))
 
 
 def counts_by(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:
@@ -100,19 +107,23 @@ def malaria_counts(df: DataFrame) -> DataFrame:
     return counts_by(malaria_services(df), "country_name", "service_group", "service_name", name="facilities")
 
 
-def facilities_with_services(facilities: DataFrame, services: DataFrame) -> DataFrame:
+def facilities_with_services(facilities: DataFrame, services: DataFrame, *, salt: int = 8) -> DataFrame:
     """Service rows joined to their facility by identifier, inner.
 
     Rows without an identifier go before the shuffle, and only the columns asked
     for travel. A facility may have several rows, so nothing bounds a broadcast
-    here: the size check and the split of a facility with very many services are
-    left to adaptive execution.
+    here. Services of one facility are dealt out by a hash of the row to ``salt`` parts, each of
+    which meets the facility's rows, so a facility with very many services is shared by several tasks.
     """
     f = facilities.filter(F.col("uid").isNotNull()).select(
-        F.col("uid").alias("facility_uid"), "facility_name", "latitude", "longitude", "country"
+        F.col("uid").alias("facility_uid"), "facility_name", "latitude", "longitude", "country",
+        F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__salt"),
     )
-    s = services.filter(F.col("facility_uid").isNotNull()).select("facility_uid", "service_name", "service_domain")
-    return s.join(f, "facility_uid").select(
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in services.columns])
+    s = services.filter(F.col("facility_uid").isNotNull()).select(
+        "facility_uid", "service_name", "service_domain", F.pmod(row, F.lit(salt)).cast("int").alias("__salt")
+    )
+    return s.join(f, ["facility_uid", "__salt"]).select(
         "facility_name", "latitude", "longitude", "country", "service_name", "service_domain"
     )
 
@@ -124,8 +135,13 @@ def orphan_codes(services: DataFrame, registry: DataFrame, *, country: str = "co
     return used.join(known, [country, "facility_code"], "left_anti")
 
 
-def crosswalk_quality(crosswalk: DataFrame) -> DataFrame:
-    """Rows per domain and per include flag, rows to review, rows without a domain."""
+def conflicting_keys(crosswalk: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys listed with different translations, of which ``translate`` uses the smallest: the keys and how many rows."""
+    return crosswalk.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def crosswalk_quality(crosswalk: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Rows per domain and per include flag, rows to review, rows without a domain; with ``keys`` also keys in conflict."""
     flag = F.coalesce(F.col("include_in_analysis").cast("string"), F.lit("(null)"))
     facts = F.array(
         F.struct(F.lit("domain").alias("measure"), F.coalesce("service_domain", F.lit("(null)")).alias("value")),
@@ -134,12 +150,16 @@ def crosswalk_quality(crosswalk: DataFrame) -> DataFrame:
         F.when(F.col("service_domain").isNull(), F.struct(
             F.lit("without_rule").alias("measure"), F.coalesce("source_category", F.lit("(null)")).alias("value"))),
     )
-    return (
+    counted = (
         crosswalk.select(F.explode(facts).alias("fact"))
         .filter(F.col("fact").isNotNull())
         .groupBy(F.col("fact.measure"), F.col("fact.value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if not keys:
+        return counted
+    conflicts = conflicting_keys(crosswalk, [*keys]).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(conflicts.select(F.lit("conflicting_keys").alias("measure"), F.lit("all").alias("value"), "n"))
 
 
 def step_counters() -> dict[str, list]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.functions.measures import count_true
-from registry_spark.functions.text import to_boolean, to_date, to_double, to_integer
+from registry_spark.functions.text import to_boolean, to_date, to_double, to_integer, to_text
 from registry_spark.schema import BOOLEAN, DATE, FLOAT, INTEGER, STRING, Field
 
 COERCE = {FLOAT: to_double, INTEGER: to_integer, BOOLEAN: to_boolean, DATE: to_date}
@@ -23,7 +23,7 @@ def enforce_schema(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
         if f.name not in present:
             column = F.lit(None).cast(f.spark_type)
         elif f.type == STRING:
-            column = F.col(f.name).cast("string")
+            column = to_text(F.col(f.name), present[f.name])
         elif f.type in COERCE:
             column = COERCE[f.type](F.col(f.name), present[f.name])
         else:
@@ -55,7 +55,9 @@ def check_contract(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
 
     Required, allowed and range are counters of one pass. Uniqueness is one
     aggregate per unique column, combined on the map side, and counts the rows
-    beyond the first of each value. Only declared columns that are present count.
+    beyond the first of each value, within the field's ``within`` column if it has
+    one. Only declared columns that are present count. ``df`` is read once and
+    once more per unique column: give it a written table.
     """
     fields = [f for f in fields if f.name in df.columns]
     checks = []
@@ -78,7 +80,8 @@ def check_contract(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
         ]))))
     for f in fields:
         if f.unique:
-            copies = df.filter(F.col(f.name).isNotNull()).groupBy(f.name).agg(F.count(F.lit(1)).alias("n"))
+            keys = [c for c in (f.within, f.name) if c in df.columns]
+            copies = df.filter(F.col(f.name).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             parts.append(copies.agg(
                 F.lit(f.name).alias("column_name"),
                 F.lit("unique").alias("rule"),

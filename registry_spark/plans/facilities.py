@@ -16,15 +16,17 @@ from registry_spark.operators.coordinates import (
     coerce_coordinates,
     fill_from_cache,
     geocode_failures,
+    geocode_pending,
 )
 from registry_spark.operators.identifiers import assign_uids, new_registry_rows
-from registry_spark.operators.merging import stamp, union_all
+from registry_spark.operators.merging import stamp
 from registry_spark.operators.profiles import quality_by_country, step_counters
 from registry_spark.operators.quality import clean_dates, flag_data_quality
-from registry_spark.operators.typing import enforce_schema
+from registry_spark.operators.typing import count_rejects, enforce_schema
 from registry_spark.schema import FACILITY_FIELDS
 from registry_spark.sources import lake, readers
 from registry_spark.sources.runlog import RunLog
+from registry_spark.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,14 @@ class LakePaths:
     def geocode_failures(self) -> str:
         return f"{self.root}/geocode_failures"
 
+    @property
+    def geocode_pending(self) -> str:
+        return f"{self.root}/geocode_pending"
+
+    @property
+    def reports(self) -> str:
+        return f"{self.root}/reports"
+
     @property
     def slim_services(self) -> str:
         return f"{self.root}/services_slim"
@@ -58,12 +68,6 @@ class LakePaths:
         return f"{self.root}/run_log"
 
 
-def iso_of(country):
-    """Country code of a country name column."""
-    codes = F.create_map(*[F.lit(part) for name, iso in ISO3.items() for part in (name, iso)])
-    return F.element_at(codes, F.lower(country))
-
-
 def standardize_country(
     raw: DataFrame,
     country: str,
@@ -94,14 +98,18 @@ def standardize_country(
     return flag_data_quality(enforce_schema(df, FACILITY_FIELDS).drop("data_quality_flag"))
 
 
-def register_new(spark: SparkSession, facilities: DataFrame, path: str, created: dt.date) -> DataFrame:
+def register_new(
+    spark: SparkSession, facilities: DataFrame, path: str, created: dt.date, *, country: str = "iso", seen: Observation | None = None
+) -> DataFrame:
     """Append registry rows for new codes and return the registry as written.
 
     Identifiers are read back from the written table, never from the plan that
     minted them, so a lost task or a second run cannot give a code another one.
+    ``seen`` counts the new rows.
     """
     registry = readers.read_uid_registry(spark, path)
-    lake.append_rows(new_registry_rows(facilities, registry, created), path)
+    new = new_registry_rows(facilities, registry, created, country=country)
+    lake.append_rows(new if seen is None else new.observe(seen, F.count(F.lit(1)).alias("minted")), path)
     return readers.read_uid_registry(spark, path)
 
 
@@ -112,55 +120,80 @@ def run_facilities(
     *,
     countries: list[str] | None = None,
     sources: dict[str, Source] = SOURCES,
+    codes: dict[str, str] = ISO3,
     run_date: dt.date | None = None,
     log: RunLog | None = None,
     cache_path: str | None = None,
+    read_options: dict | None = None,
     **options,
 ) -> DataFrame:
     """All requested countries: standardise, register, write; returns the merged table.
 
-    A country whose input is missing or does not fit its mapping is logged as
-    FAILED and left out; the others go through one job together.
+    Each country is a job of its own: one whose input is missing, damaged or does not fit its
+    mapping, or that has no code in ``codes``, is logged as FAILED, and the others go on. Its prepared
+    table is written once and read by the steps that follow. ``read_options`` go to the CSV reader.
     """
     run_date = run_date or dt.date.today()
     log = log or RunLog(spark, paths.log)
     wanted = check_known(countries, sources)
     if cache_path:
         options["cache"] = readers.read_geocode_cache(spark, cache_path)
-
-    frames = {}
+    done = []
     for country in wanted:
         log.add(country, "pipeline", "START")
         try:
-            raw = readers.read_registry(spark, raw_paths[country])
-            frames[country] = standardize_country(
-                raw, country, sources[country], current_year=run_date.year, **options
-            )
-            log.add(country, "standardize", "SUCCESS", f"columns: {len(frames[country].columns)}")
+            iso = codes.get(country.lower())
+            if iso is None:
+                raise ValueError(f"no country code for '{country}'")
+            raw = readers.read_registry(spark, raw_paths[country], **(read_options or {}))
+            run_country(spark, raw, country, iso, sources[country], paths, run_date, log, options)
+            done.append(country)
         except Exception as error:  # one country must not stop the others
             log.add(country, "pipeline", "FAILED", error)
-    try:
-        if not frames:
-            raise ValueError("no country could be read")
-        # Row-level preparation is repeated by the two writes below rather than
-        # kept: it is one scan without a shuffle.
-        facilities = union_all(list(frames.values())).withColumn("iso", iso_of(F.col("country")))
-        registry = register_new(spark, facilities, paths.registry, run_date)
-        seen = Observation("facilities")
-        identified = assign_uids(facilities.drop("uid"), registry).drop("iso")
-        counters = [c for group in step_counters().values() for c in group]
-        lake.write_country_tables(identified.observe(seen, *counters), paths.countries)
-        log.add("GLOBAL", "save", "SUCCESS", seen.get)
-        if "geocode_status" in facilities.columns:
-            lake.append_rows(geocode_failures(identified), paths.geocode_failures)
-    except Exception as error:
-        log.add("GLOBAL", "pipeline", "FAILED", error)
-        raise
-    finally:
+    if not done:
+        log.add("GLOBAL", "pipeline", "FAILED", "no country could be read")
         log.flush()
+        raise ValueError("no country could be read")
+    log.add("GLOBAL", "save", "SUCCESS", f"countries: {len(done)}")
+    log.flush()
     return stamp(readers.read_standardized(spark, paths.countries), run_date)
 
 
+def run_country(
+    spark: SparkSession, raw: DataFrame, country: str, iso: str, source: Source, paths: LakePaths, run_date: dt.date, log: RunLog, options: dict
+) -> None:
+    """Prepare one country, register its new codes, write its partition and the geocode queries; log the counters."""
+    prepared = written(
+        standardize_country(raw, country, source, current_year=run_date.year, **options).withColumn("__iso", F.lit(iso))
+    )
+    log.add(country, "standardize", "SUCCESS", f"columns: {len(prepared.columns) - 1}")
+    minted, seen = Observation(f"minted {country}"), Observation(f"facilities {country}")
+    registry = register_new(spark, prepared, paths.registry, run_date, country="__iso", seen=minted)
+    identified = assign_uids(prepared.drop("uid"), registry, country="__iso").drop("__iso")
+    counters = [c for group in step_counters().values() for c in group]
+    lake.write_country_tables(identified.observe(seen, *counters), paths.countries)
+    if not seen.get["rows"]:
+        lake.empty_country(identified, paths.countries, title_of(country))
+    rejects = {r["column_name"]: r["rejected"] for r in raw_rejects(raw, source).collect()}
+    log.add(country, "save", "SUCCESS", {**seen.get, **minted.get, "rejected": rejects})
+    if "geocode_status" in prepared.columns:
+        lake.append_rows(geocode_failures(prepared.drop("__iso")), paths.geocode_failures)
+        lake.append_rows(geocode_pending(prepared), paths.geocode_pending)
+
+
+def title_of(country: str) -> str:
+    """Country name as it stands in the tables."""
+    return " ".join(word.capitalize() for word in country.split(" "))
+
+
+def raw_rejects(raw: DataFrame, source: Source) -> DataFrame:
+    """Per typed field of the source: non-blank raw values that do not parse."""
+    mapping = source.required | source.optional
+    known = {f.name: f for f in FACILITY_FIELDS}
+    typed = [f for f in known if f in mapping and mapping[f] in raw.columns]
+    return count_rejects(raw.select(*[F.col(f"`{mapping[f]}`").alias(f) for f in typed]), tuple(known[f] for f in typed))
+
+
 def export_lake(
     spark: SparkSession,
     merged: DataFrame,

@@ -10,6 +10,12 @@ from registry_spark.operators.typing import check_contract
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS
 
 
+def write_reports(reports: dict[str, DataFrame], path: str) -> None:
+    """One small table per report, replaced by every run."""
+    for name, table in reports.items():
+        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
 def facility_reports(facilities: DataFrame) -> dict[str, DataFrame]:
     """Rows, completeness and quality per country, and broken contracts."""
     return {

@@ -30,18 +30,21 @@ def standardize_services(
     order_by: list[str] | None = None,
     fallback_to_source: bool = False,
     method: str = "auto",
+    digits: int = 3,
+    distinct: bool = False,
 ) -> DataFrame:
     """Raw service list to the 19 published columns.
 
     Rows are numbered first, on the narrow raw list, since the lookups that follow
     keep the number of rows. ``order_by`` must tell different rows apart (default:
-    all raw columns).
+    all raw columns). ``distinct`` says that no row is repeated, which saves the count of copies;
+    ``digits`` sets the number of numbering buckets and changes no number.
     """
 
     def text(name: str | None):
         return F.lit(None).cast("string") if name is None else F.col(f"`{name}`").cast("string")
 
-    named = service_uids(raw, iso, order_by)
+    named = service_uids(raw, iso, order_by, digits, collapse=not distinct)
     prepared = named.select(
         "uid",
         F.col("facility_code").cast("string").alias("facility_code"),
@@ -102,9 +105,14 @@ def run_services(
         except Exception as error:  # one feed must not stop the others
             log.add("GLOBAL", f"services {iso}", "FAILED", error)
     try:
-        lake.replace_table(merge_services(frames), table)
+        if not frames:
+            raise ValueError("no service list could be read")
+        lake.replace_table(merge_services(frames), table, partition_by="country_iso")
         lake.write_slim_services(spark.table(table), paths.slim_services)
         log.add("GLOBAL", "services", "SUCCESS", f"table: {table}")
+    except Exception as error:
+        log.add("GLOBAL", "services", "FAILED", error)
+        raise
     finally:
         log.flush()
     return spark.table(table)

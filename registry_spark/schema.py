@@ -23,6 +23,7 @@ class Field:
     type: str = STRING
     required: bool = False
     unique: bool = False
+    within: str | None = None
     allowed: tuple[str, ...] = ()
     low: float | None = None
     high: float | None = None
@@ -51,7 +52,7 @@ SERVICE_DOMAINS = (
 
 FACILITY_FIELDS = (
     Field("uid", unique=True),
-    Field("facility_code", required=True, unique=True),
+    Field("facility_code", required=True, unique=True, within="country"),
     Field("facility_name", required=True),
     Field("country", required=True, allowed=COUNTRY_NAMES),
     Field("admin1", required=True),

@@ -32,16 +32,32 @@ def write_snapshot(df: DataFrame, path: str, month: dt.date) -> str:
     return f"{path}/snapshot_month={label}"
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+def empty_country(df: DataFrame, path: str, country: str) -> None:
+    """Leave a country's partition without rows; ``df`` gives the columns."""
+    df.limit(0).drop("country").write.mode("overwrite").parquet(f"{path}/country={country}")
+
+
+def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: str | None = None) -> None:
     writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
 def point_table(spark: SparkSession, name: str, path: str) -> None:
-    """Replace a table by one over files that are already written: no second copy."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Replace a table by one over files that are already written: no second copy.
+
+    A table that has these columns already is moved to the files in one step, so that readers never miss it.
+    """
+    columns = spark.read.parquet(path).schema.simpleString()
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == columns:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
 
 

@@ -16,12 +16,16 @@ from registry_spark.schema import GEOCODE_CACHE, UID_REGISTRY
 FLAG_COLUMNS = ("is_clinical", "is_malaria_related", "include_in_analysis", "needs_review")
 
 
-def read_text_csv(spark: SparkSession, path: str, *, encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+def read_text_csv(
+    spark: SparkSession, path: str, *, encoding: str = "UTF-8", multi_line: bool = False, mode: str = "FAILFAST"
+) -> DataFrame:
     """CSV with a header, every column text, ``NA`` and empty fields NULL.
 
     Types come later from the declared schema, so codes such as ``000123`` or
     ``100000`` stay as written. ``multi_line`` allows line breaks inside quoted
-    fields but reads each file in one task; leave it off for large files.
+    fields but reads each file in one task; leave it off for large files. A record
+    with too few or too many fields, as a line break in a quoted field makes without it, stops
+    the read; ``mode="PERMISSIVE"`` fills or cuts such records instead.
     """
     df = (
         spark.read.option("header", True)
@@ -29,6 +33,8 @@ def read_text_csv(spark: SparkSession, path: str, *, encoding: str = "UTF-8", mu
         .option("nullValue", "NA")
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", mode)
+        .option("columnPruning", False)
         .csv(path)
     )
     return df.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])

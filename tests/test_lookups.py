@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from registry_spark.operators.lookups import choose, first_per_key, is_small, lookup_join
+from registry_spark.operators.lookups import first_per_key, lookup_join
 
 METHODS = ["broadcast", "shuffle", "auto"]
 
@@ -25,12 +25,10 @@ def skewed(frame):
 
 @pytest.mark.parametrize("method", METHODS)
 @pytest.mark.parametrize("null_safe", [True, False])
-@pytest.mark.parametrize("heavy_keys", [1, 3, 1000])
-def test_left_join_by_any_method(frame, method, null_safe, heavy_keys):
+def test_left_join_by_any_method(frame, method, null_safe):
     rows, facts, lookup = skewed(frame)
     table = {(r.la, r.lb): r.value for r in lookup.collect()}
-    out = lookup_join(facts, lookup, [("a", "la"), ("b", "lb")], null_safe=null_safe, method=method,
-                      heavy_keys=heavy_keys)
+    out = lookup_join(facts, lookup, [("a", "la"), ("b", "lb")], null_safe=null_safe, method=method)
     assert out.columns == ["i", "a", "b", "value"]
     got = sorted((r.i, r.value) for r in out.collect())
     want = [(i, table.get((a, b)) if null_safe or (a and b) else None) for i, a, b in rows]
@@ -52,27 +50,19 @@ def test_payload_must_not_hide_fact_columns(frame):
         lookup_join(facts, lookup, [("code", "k")])
 
 
-def test_size_check(frame):
-    df = frame([(str(i),) for i in range(20)], "k string")
-    assert is_small(df) and is_small(df, rows=20)
-    assert not is_small(df, rows=19)
-    assert not is_small(df, size=10)
-    assert is_small(df.limit(0))
-
-
 def test_unknown_method(frame):
     df = frame([("a",)], "k string")
     with pytest.raises(ValueError, match="magic"):
-        choose("magic", df)
-    assert choose("shuffle", df) == "shuffle" and choose("auto", df) == "broadcast"
+        lookup_join(df, df, [("k", "k")], method="magic")
 
 
-def test_hot_rows_are_not_shuffled_to_one_task(spark, frame):
-    """The plan of the shuffle method joins heavy keys against a broadcast only."""
+def test_methods_in_the_plan(spark, frame):
+    """The shuffle method reads the facts once, in a merge join that adaptive execution can split."""
     _, facts, lookup = skewed(frame)
-    out = lookup_join(facts, lookup, [("a", "la"), ("b", "lb")], method="shuffle")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    for method, join in (("shuffle", "SortMergeJoin"), ("broadcast", "BroadcastHashJoin")):
+        out = lookup_join(facts, lookup, [("a", "la"), ("b", "lb")], method=method)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(join) == 1 and plan.count("Join") == 1
 
 
 def test_first_per_key(frame):
