@@ -21,9 +21,9 @@ HEADLINE = (
     "quality_flag", "within_filter", "within_flag", "geocode_cache", "coord_lookup", "union_merge", "completeness",
     "contract_facilities", "uid_new", "uid_reuse_mint", "service_uid", "facility_uid_join",
     "facility_uid_join_skewed", "crosswalk_two_key", "crosswalk_unmatched", "rule_exact", "rule_first_match",
-    "rule_names", "vocab_inventory", "service_report", "domain_distribution", "malaria_counts", "source_profile",
-    "contract_services", "facility_service_join", "split_explode", "split_lists", "payload_services",
-    "facilities_plan", "services_plan",
+    "rule_names", "vocab_inventory", "service_report", "domain_distribution", "malaria_counts", "source_profile", "csv_registry", "lake_tables", "uid_registry",
+    "contract_services", "facility_service_join", "facility_service_hot", "crosswalk_two_key_skewed", "split_explode", "split_lists", "payload_services",
+    "facilities_plan", "services_plan", "services_plan_large", "within_flag_large",
 )
 
 
