@@ -1,11 +1,12 @@
 """Passages that occur more than once, by difference-cover sampling (operator 10).
 
-Any two places of the corpus have a common distance of less than PERIOD at which both are
+Any two places of the corpus have a common distance of less than a period at which both are
 sampled, so two equal strings of ``length`` bytes hold equal sampled substrings of
-``length - PERIOD + 1`` bytes at the same distance. Step one names the sampled substrings and sorts the names;
-only places with a sample at less than PERIOD whose name is met elsewhere stay. Step two sorts the
-remaining suffixes by their first ``length`` bytes and compares neighbours. Names are hashes of the bytes,
-not ranks: only equality of bounded prefixes is asked for, so no recursion for a total order is needed.
+``length - period + 1`` bytes at the same distance. The sampled substrings are named and the names sorted;
+only places with a sample at less than the period whose name is met elsewhere stay. This is done with a long period,
+that samples few places, then for what is left with a short one. Last, the remaining suffixes are
+sorted by the names of their first ``length`` bytes and neighbours compared. Names are hashes of the bytes, not ranks:
+only equality of bounded prefixes is asked for, so names need no recursion to a total order.
 
 The text stays where it is, in block files in the shared folder; names travel to be
 sorted by ranges, packed by block, and one bit for each comes back.
@@ -29,12 +30,11 @@ from registry_spark.llm.tasks import arrow, byte_texts, record, segments, ship
 from registry_spark.llm.token_files import file_system
 from registry_spark.sources.shared import shared_folder, written
 
-# A perfect difference set: every number modulo PERIOD is a difference of two members.
-PERIOD = 133
-COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
+# Period and a perfect difference set of it: every number modulo the period is a difference of two members.
+LEVELS = ((133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)), (31, (1, 5, 11, 24, 25, 27)))
 BLOCK_BYTES = 4 << 20
 # Names sorted by one task; raise with the executors' memory.
-PART_NAMES = 4 << 20
+PART_NAMES = 1 << 20
 TILE = 1 << 15
 
 
@@ -62,13 +62,15 @@ class Block:
         self.data, self.bounds, self.copied = data, segments(lengths), copied
         self.ends = np.repeat(self.bounds[1:], lengths)
 
-    def sample_names(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sampled places followed by ``size`` bytes of their text, and the hash of those bytes."""
+    def sample_names(self, period: int, cover: tuple, size: int, starts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Sampled places followed by ``size`` bytes of their text, less than ``period`` after one of ``starts``, and the hash of those bytes."""
         n = len(self.data)
-        periods = np.arange(0, n, PERIOD)
-        places = (periods[:, None] + np.array(COVER)).ravel()
+        places = (np.arange(0, n, period)[:, None] + np.array(cover)).ravel()
         places = places[places < n]
         places = places[places + size <= self.ends[places]]
+        if starts is not None:
+            last = np.searchsorted(starts, places, "right") - 1
+            places = places[(last >= 0) & (places - starts[last] < period)] if len(starts) else places[:0]
         names = np.empty(len(places), np.uint64)
         codes, (power, inverse) = byte_codes(), powers(TILE + size)
         for start in range(0, n, TILE):
@@ -101,17 +103,17 @@ class Block:
                 names[a:b] = value
         return names
 
-    def candidates(self, length: int, named_elsewhere: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Starts of ``length`` bytes of one text with a sampled substring in their first PERIOD places whose name is met elsewhere."""
+    def candidates(self, length: int, period: int, met: np.ndarray, starts: np.ndarray | None) -> np.ndarray:
+        """Those ``starts`` (None: all with ``length`` bytes of their text) less than ``period`` before a place of ``met``."""
         n = len(self.data)
         if n < length:
             return np.zeros(0, np.int64)
-        alike = np.zeros(n + 1, np.int32)
-        alike[places[named_elsewhere] + 1] = 1
+        alike = np.zeros(n + period + 1, np.int32)
+        alike[met + 1] = 1
         before = np.cumsum(alike, dtype=np.int32)
-        starts = np.arange(n - length + 1)
-        fits = starts + length <= self.ends[: len(starts)]
-        return starts[fits & (before[starts + PERIOD] > before[starts])]
+        if starts is None:
+            starts = np.flatnonzero(np.arange(length, n + 1) <= self.ends[: n - length + 1])
+        return starts[before[starts + period] > before[starts]]
 
     def many(self, places: np.ndarray) -> np.ndarray:
         """Whether each place lies in a text that stands for several rows."""
@@ -239,6 +241,28 @@ def unpacked(flags: list[dict] | None, n: int) -> np.ndarray:
     return out
 
 
+def remaining(block: Block, flags: list, length: int, bits: int) -> tuple[np.ndarray, np.ndarray | None, tuple]:
+    """What the steps so far, of which ``flags`` tell the outcome, leave of a block.
+
+    Places to be named next and their ranked names; after the last step the places, and which of them are met elsewhere.
+    """
+    starts = None
+    for step in range(len(LEVELS) + 1):
+        if step < len(LEVELS):
+            period, cover = LEVELS[step]
+            places, names = block.sample_names(period, cover, length - period + 1, starts)
+            names = names >> np.uint64(32 - bits)
+        else:
+            places, names = starts, block.prefix_names(starts, length)
+        ranks = ranked(names, block.many(places))
+        if step == len(flags):
+            return places, None, ranks
+        met = unpacked(flags[step], len(ranks[0]))[ranks[2]]
+        if step < len(LEVELS):
+            starts = block.candidates(length, period, places[met], starts)
+    return places, met, ranks
+
+
 def removed_spans(block: Block, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """First and last byte (exclusive) of the maximal runs covered by ``length`` bytes from each start; starts ascend.
 
@@ -262,55 +286,38 @@ class Repeats:
 
     def __init__(self, documents: DataFrame, *, text: str = "text", length: int = 200, keep: list[str] = ("doc_id",), block_bytes: int = BLOCK_BYTES):
         self.spark, self.length = documents.sparkSession, length
-        if length < PERIOD:
-            raise ValueError(f"at least {PERIOD} bytes")
+        if length < LEVELS[0][0]:
+            raise ValueError(f"at least {LEVELS[0][0]} bytes")
         self.keep = [*keep]
         alias = [F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(self.keep)]
         rows = documents.select(*alias, F.col(f"`{text}`").alias("__text"))
         folder = shared_folder(self.spark)
         self.rows = written(stored(rows, "__text", f"{folder}/blocks", block_bytes))
         found = self.rows.agg(F.sum("__bytes").alias("b")).first()["b"] or 0
-        # Sampled places are a share of all bytes; candidates are mostly fewer.
-        self.bits = max(0, (int(found * len(COVER) / PERIOD) // PART_NAMES).bit_length())
+        # About a tenth of all places is sampled first; later steps have mostly as many names.
+        self.bits = max(0, (int(found) // 10 // PART_NAMES).bit_length())
         self.blocks = written(self.rows.select(F.col("__block").alias("block")).distinct())
-        self.sampled = written(met_elsewhere(self.sample(), wide=False))
-        self.repeated = written(met_elsewhere(self.suffixes(), wide=True))
+        self.flags: list[DataFrame] = []
+        for step in range(len(LEVELS) + 1):
+            self.flags.append(written(met_elsewhere(self.names(), wide=step == len(LEVELS))))
 
-    def sample(self) -> DataFrame:
-        size, bits = self.length - PERIOD + 1, self.bits
+    def with_flags(self) -> DataFrame:
+        """Blocks with the flags of all steps so far, few rows that each stand for much work, dealt out evenly."""
+        out = self.blocks
+        for step, flags in enumerate(self.flags):
+            out = out.join(flags.withColumnRenamed("flags", f"flags{step}"), "block", "left")
+        return out.repartition(4 * self.spark.sparkContext.defaultParallelism)
 
-        def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path in batch.column(0).to_pylist():
-                block = read_block(path)
-                places, names = block.sample_names(size)
-                distinct, often, _ = ranked(names >> np.uint64(32 - bits), block.many(places))
-                yield from packed_rows(path, distinct << np.uint64(32 - bits), often, bits, wide=False)
-
-        return arrow(self.spread(self.blocks), run, "part int, block string, names binary, often binary")
-
-    def spread(self, blocks: DataFrame) -> DataFrame:
-        """Rows, few and each standing for much work, dealt out evenly."""
-        return blocks.repartition(4 * self.spark.sparkContext.defaultParallelism)
-
-    @staticmethod
-    def remaining(path: str, flags: list[dict] | None, length: int, bits: int) -> tuple[Block, np.ndarray, tuple]:
-        """A block, the starts that the sample leaves, and their names' ranks."""
-        block = read_block(path)
-        places, names = block.sample_names(length - PERIOD + 1)
-        distinct, _, rank = ranked(names >> np.uint64(32 - bits), block.many(places))
-        starts = block.candidates(length, unpacked(flags, len(distinct))[rank], places)
-        return block, starts, ranked(block.prefix_names(starts, length), block.many(starts))
-
-    def suffixes(self) -> DataFrame:
-        length, bits = self.length, self.bits
+    def names(self) -> DataFrame:
+        """Names of the next step, packed."""
+        length, bits, wide = self.length, self.bits, len(self.flags) == len(LEVELS)
 
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path, flags in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, _, (distinct, often, _) = Repeats.remaining(path, flags, length, bits)
-                yield from packed_rows(path, distinct, often, bits, wide=True)
+            for path, *flags in zip(*(column.to_pylist() for column in batch.columns)):
+                _, _, (distinct, often, _) = remaining(read_block(path), flags, length, bits)
+                yield from packed_rows(path, distinct if wide else distinct << np.uint64(32 - bits), often, bits, wide)
 
-        with_flags = self.sampled.select("block", "flags")
-        return arrow(self.spread(with_flags), run, "part int, block string, names binary, often binary")
+        return arrow(self.with_flags(), run, "part int, block string, names binary, often binary")
 
     def kept(self, with_text: bool = False) -> DataFrame:
         """Per text of a block: place, n_removed, n_spans, kept_sha256 and, on request, the text that is left.
@@ -318,13 +325,11 @@ class Repeats:
         Without ``with_text``, only texts that lose something. Left text drops the rest of characters cut in two.
         """
         length, bits = self.length, self.bits
-        flags = self.repeated.withColumnRenamed("flags", "names")
-        both = self.blocks.join(self.sampled, "block", "left").join(flags, "block", "left").select("block", "flags", "names")
 
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for path, first, second in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                block, starts, (distinct, _, rank) = Repeats.remaining(path, first, length, bits)
-                again = unpacked(second, len(distinct))[rank]
+            for path, *flags in zip(*(column.to_pylist() for column in batch.columns)):
+                block = read_block(path)
+                starts, again, _ = remaining(block, flags, length, bits)
                 begin, end = removed_spans(block, starts[again], length)
                 owner = np.searchsorted(block.bounds, begin, "right") - 1
                 n_spans = np.bincount(owner, minlength=len(block.copied))
@@ -346,7 +351,7 @@ class Repeats:
                     yield record(**columns)
 
         schema = "block string, place long, n_removed long, n_spans long, kept_sha256 string" + ", left string" * with_text
-        return arrow(self.spread(both), run, schema)
+        return arrow(self.with_flags(), run, schema)
 
     def result(self, with_text: bool = False) -> DataFrame:
         """Per row: its ``keep`` columns, n_bytes, n_removed, n_spans, kept_sha256 and, on request, left (text)."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.llm.components import components
 from registry_spark.llm.near_duplicates import BANDS, alike, bands, may_be_alike, near_duplicates, one_of_each, sketch
-from registry_spark.llm.repeats import COVER, PERIOD, Repeats
+from registry_spark.llm.repeats import LEVELS, Repeats
 from registry_spark.llm.tasks import segments
 from registry_spark.llm.top_k import top_k
 
@@ -161,7 +161,8 @@ def slow_repeats(rows, length):
 
 
 def test_difference_cover():
-    assert {(a - b) % PERIOD for a in COVER for b in COVER} == set(range(PERIOD))
+    for period, cover in LEVELS:
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period))
 
 
 @pytest.mark.parametrize("block_bytes", [2_000, 1 << 20])
