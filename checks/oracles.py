@@ -422,3 +422,10 @@ ORACLES = {
         f"""SELECT facility_uid, facility_code, country_iso, country_name, {SERVICE_COLUMNS}, source_category_id,
  source_service_name, {FLAG_COLUMNS} FROM ({SERVICES})""", "svc", "cw", "reg1"),
 }
+
+# The same results by way of a table of rules or a written copy.
+ORACLES["rule_table"] = f"""SELECT doc_id, {name_rule_columns('category', 'text')} FROM (SELECT doc_id, text,
+ 'clinical_services' AS category FROM documents)"""
+ORACLES["crosswalk_built"] = ORACLES["rule_names"]
+ORACLES["payload_prepared"] = ORACLES["payload_facilities"]
+ORACLES["wide_prepared"] = ORACLES["split_lists"]

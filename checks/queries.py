@@ -18,6 +18,7 @@ from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
 from registry_spark.sources import lake, readers
 from registry_spark.sources.shared import shared_folder, written
+from registry_spark.vocabularies import NAME_RULES
 
 THIS_YEAR = 2026
 RUN_DATE = dt.date(2026, 1, 31)
@@ -337,6 +338,48 @@ def rule_names(spark, d):
         crosswalks.vocabulary(pairs, ["service_category", "service_name"]))
 
 
+def rule_table(spark, d):
+    """Name rules kept as a table."""
+    table = spark.createDataFrame(
+        [(i, r.pattern, r.domain, r.group) for i, r in enumerate(NAME_RULES)],
+        "rule_id int, pattern string, service_domain string, service_group string")
+    docs = lookups.spread(t.read(spark, d, "documents").select("doc_id", "text"))
+    out = crosswalks.with_name_rules(
+        docs.withColumn("category", F.lit("clinical_services")), "category", "text", rules=crosswalks.name_rules(table))
+    return out.select("doc_id", "service_domain", "service_group", "is_clinical", "include_in_analysis")
+
+
+def crosswalk_built(spark, d):
+    """Crosswalk of the service list's vocabulary, written and read back."""
+    services = t.read(spark, d, "part").select(
+        F.expr("CASE WHEN p_size % 2 = 0 THEN 'clinical_services' ELSE 'support_services' END").alias("service_category"),
+        F.expr("""CASE p_size % 6 WHEN 0 THEN p_name || ' Surgery' WHEN 1 THEN 'ANC ' || p_name
+            WHEN 2 THEN p_name || ' management' WHEN 3 THEN 'Malaria ' || p_name WHEN 4 THEN 'Error ' || p_name
+            ELSE p_name END""").alias("service_name"))
+    return extracts.build_crosswalk(services, f"{shared_folder(spark)}/crosswalk", category="service_category", name="service_name")
+
+
+def payload_prepared(spark, d):
+    """Payload to registry and service list on disk; the registry as read back."""
+    registry, _ = extracts.prepare_payload(payload(spark, d), shared_folder(spark))
+    return registry.withColumnsRenamed({c: c.lower().replace(" ", "_").replace("-", "_") for c in registry.columns})
+
+
+def wide_prepared(spark, d):
+    """Wide list to located registry and items on disk; the items as read back."""
+    wide = t.read(spark, d, "part").select(
+        F.col("p_partkey").alias("Facility ID"), F.col("p_name").alias("Facility Name"), F.col("p_type").alias("Facility Type"),
+        F.lit("Public").alias("Ownership"), F.lit("R").alias("Region"), F.lit("Z").alias("Zone"), F.col("p_brand").alias("Woreda"),
+        F.lit("Open").alias("Operational Status"), F.expr("p_name || ';' || p_type").alias("Clinical Services"),
+        F.expr("CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE ' ' || p_brand || '  x ;; ' || p_name || ';' END").alias("Support Services"),
+        F.expr("CASE WHEN p_size < 25 THEN '' ELSE p_type END").alias("Diagnostic Services"),
+        F.expr("'Open ' || p_size").alias("24Hr Services"))
+    points = coordinates.coerce_coordinates(t.raw_facilities(spark, d)).select(
+        F.col("source_row").alias("Id"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"))
+    _, items = extracts.prepare_wide_list(wide, points, shared_folder(spark))
+    return items
+
+
 def vocab_inventory(spark, d):
     return crosswalks.vocabulary(
         t.raw_services(spark, d), ["service_category", "service_detail"], drop_nulls=True
@@ -578,5 +621,6 @@ QUERIES = {
         split_explode, split_lists, json_props, payload_facilities, payload_services,
         facilities_plan, services_plan, services_slim, csv_registry, lake_tables, uid_registry,
         uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
+        rule_table, crosswalk_built, payload_prepared, wide_prepared,
     )
 }

@@ -68,6 +68,17 @@ def with_name_rules(
     return matched.select("*", "__a.*").drop("__a")
 
 
+def name_rules(table: DataFrame, limit: int = 5_000) -> tuple[NameRule, ...]:
+    """Rules kept as a table (rule_id, pattern, service_domain, service_group), in order of rule_id.
+
+    Rules become one expression, so a table of more than ``limit`` is refused.
+    """
+    rows = table.select("rule_id", "pattern", "service_domain", "service_group").orderBy("rule_id").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rules")
+    return tuple(NameRule(r["pattern"], r["service_domain"], r["service_group"]) for r in rows)
+
+
 def crosswalk_from_names(
     pairs: DataFrame, category: str = "service_category", name: str = "service_name", **tables
 ) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registry_spark.operators.crosswalks import crosswalk_from_categories, crosswalk_from_names, vocabulary
+from registry_spark.operators.generators import LIST_COLUMNS, payload_facilities, payload_services, split_lists
 from registry_spark.operators.lookups import first_per_key, lookup_join
 
 # Export column -> registry column.
@@ -46,3 +48,30 @@ def located_list(
     located = lookup_join(one, known, [(columns[code], "Id")], method=method)
     return located.select(*[F.col(raw if raw in ("Latitude", "Longitude") else name).alias(name)
                             for raw, name in columns.items()])
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def prepare_payload(payload: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Nested payload to a flat registry and its service list, both written and read back."""
+    return _written(payload_facilities(payload), f"{root}/registry"), _written(payload_services(payload), f"{root}/services")
+
+
+def prepare_wide_list(
+    source: DataFrame, points: DataFrame, root: str, *, code: str = "Facility ID", lists: dict[str, str] = LIST_COLUMNS, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Wide list to a located registry and one row per listed item, both written and read back."""
+    located = located_list(source, points, code=code, **options)
+    return _written(located, f"{root}/registry"), _written(split_lists(source, code, lists), f"{root}/services")
+
+
+def build_crosswalk(services: DataFrame, path: str, *, category: str, name: str, by: str = "names") -> DataFrame:
+    """Crosswalk of a service list's own vocabulary, by name rules or by categories, written and read back."""
+    pairs = vocabulary(services, [category, name], drop_nulls=True)
+    if by not in ("names", "categories"):
+        raise ValueError("by must be 'names' or 'categories'")
+    made = crosswalk_from_names(pairs, category, name) if by == "names" else crosswalk_from_categories(pairs, category, name)
+    return _written(made, path)
