@@ -102,6 +102,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op8_near_duplicates": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS shingle FROM d
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM pairs JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+        ), walk AS (
+            SELECT doc_id, doc_id AS reached FROM documents
+            UNION
+            SELECT doc_id, CASE WHEN a = reached THEN b ELSE a END FROM walk JOIN links ON a = reached OR b = reached
+        )
+        SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id, doc_id = min(reached) AS kept
+        FROM walk LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
     "op5_quotations": r"""
         WITH RECURSIVE m AS (
             SELECT *, md5(coalesce(text, '')) AS k, coalesce(regexp_matches(text, '(?m)^[ \t>]*>'), FALSE) AS quoting FROM conversations
