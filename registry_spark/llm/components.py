@@ -23,8 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    mark = None
-    while True:
+    while not settled(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.join(star(both), "a").filter("b > a").select(
             F.col("b").alias("a"), F.least("a", "least").alias("b")
@@ -32,7 +31,10 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(star(large), "a")
         hung = small.filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         edges = written(hung.unionByName(small.select("a", F.col("least").alias("b"))).distinct())
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        mark = seen
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none."""
+    hung = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    return edges.join(hung.select(F.col("a").alias("b")), "b", "left_semi").isEmpty() and hung.filter("n > 1").isEmpty()

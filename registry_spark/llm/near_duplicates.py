@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.llm.components import components
-from registry_spark.llm.quality import joined, mixed
+from registry_spark.llm.hashing import joined, mixed
 from registry_spark.llm.tasks import Numbers, arrow, byte_texts, chunked, loaded, numbered_words, record, segments, ship
 from registry_spark.sources.shared import written
 
@@ -32,7 +32,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 # Natural log of the odds at which a pair is discarded unseen.
 DISCARD = 20.0
-LIST = 512
+# Rows compared with each other in one task.
+TILE = 256
 
 
 class Shingles:
@@ -140,6 +141,13 @@ def may_be_alike(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
     return possible & (likelihood(np.zeros_like(most), floor) - likelihood(floor, most) <= DISCARD)
 
 
+def least_equal(similarity: float) -> int:
+    """Equal registers that two sets of this similarity have but for odds of exp(-DISCARD), by Chernoff's bound."""
+    share = np.arange(1, REGISTERS) / REGISTERS
+    tail = REGISTERS * (share * np.log(share / similarity) + (1 - share) * np.log((1 - share) / (1 - similarity)))
+    return int(np.count_nonzero((share < similarity) & (tail >= DISCARD)))
+
+
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets share at least ``percent`` of their union."""
     both = np.concatenate((a, b))
@@ -208,7 +216,7 @@ def band_rows(rows: DataFrame) -> DataFrame:
 
 
 def candidate_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """Full sets and registers of the wanted rows (row, key), from their whole texts: row, n, set, registers."""
+    """Full sets and registers of the wanted rows (row, key, least, centre), from their whole texts, beside row, least and centre."""
     name = uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -217,62 +225,121 @@ def candidate_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str,
             flat, bounds = shingles.sets(byte_texts(part))
             registers = sketch(flat, bounds)
             yield record(
-                row=part.column(0), n=np.diff(bounds),
+                row=part.column(0), least=part.column(1), centre=part.column(2), n=np.diff(bounds),
                 set=pa.array([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
                 registers=pa.array([r.tobytes() for r in registers], pa.binary()),
             )
 
     texts = documents.select(key_of(F.col(f"`{id}`"), F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
-    found = texts.join(wanted.select("row", "key"), "key")
-    return arrow(found.select("row", "text"), run, "row long, n long, set binary, registers binary")
+    found = texts.join(wanted, "key")
+    return arrow(found.select("row", "least", "centre", "text"), run, "row long, least long, centre boolean, n long, set binary, registers binary")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike."""
+def confirmed(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of rows with the row they name as ``least``, where the full sets are alike."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
             column = lambda i: part.column(i).to_pylist()
-            read = lambda i: np.frombuffer(b"".join(column(i)), np.uint16).reshape(-1, REGISTERS)
             n_a, n_b = np.array(part.column(2), float), np.array(part.column(3), float)
-            likely = np.flatnonzero(may_be_alike(read(4), read(5), n_a, n_b, percent / 100))
+            likely = np.flatnonzero(may_be_alike(registers_of(column(4)), registers_of(column(5)), n_a, n_b, percent / 100))
             left, right = column(6), column(7)
             good = [k for k in likely.tolist() if alike(np.frombuffer(left[k], np.uint64), np.frombuffer(right[k], np.uint64), percent)]
             yield record(a=np.array(part.column(0))[good], b=np.array(part.column(1))[good])
 
-    side = lambda s: sets.select(F.col("row").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "registers", "set")])
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    fields = [both[f"{c}_{s}"] for c in ("n", "registers", "set") for s in ("a", "b")]
-    return arrow(both.select("a", "b", *fields), run, "a long, b long")
+    wide = ("n", "registers", "set")
+    members = sets.filter("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b"), *[F.col(c).alias(f"{c}_a") for c in wide])
+    centres = sets.filter("centre").select(F.col("row").alias("b"), *[F.col(c).alias(f"{c}_b") for c in wide])
+    both = members.join(centres, "b")
+    return arrow(both.select("a", "b", *[f"{c}_{s}" for c in wide for s in ("a", "b")]), run, "a long, b long")
+
+
+def registers_of(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint16).reshape(-1, REGISTERS)
 
 
-def cross_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of rows that share a band but no component yet; members of one component are not paired.
+def tile_links(left: pa.Table, right: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Links between rows of different components of two lists, enough to tell which components meet.
 
-    Rows of a band and component travel as lists of about LIST, so a band that holds very
-    many rows of one component costs no more than its rows.
+    Pairs with the most equal registers come first; what they join need not be compared again.
     """
-    own = members.join(found, F.col("row") == F.col("node"), "left").select(
-        "band", "row", F.coalesce("component", "row").alias("component")
+    rows = [np.array(t.column("row")) for t in (left, right)]
+    part = [np.array(t.column("component")) for t in (left, right)]
+    n = [np.array(t.column("n"), float) for t in (left, right)]
+    registers = [registers_of(t.column("registers").to_pylist()) for t in (left, right)]
+    sets = [[np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()] for t in (left, right)]
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while top.get(x, x) != x:
+            x = top[x]
+        return x
+
+    least = least_equal(percent / 100)
+    pairs = []
+    for i in range(len(rows[0])):
+        other = np.flatnonzero((part[1] != part[0][i]) & (100 * np.minimum(n[1], n[0][i]) >= percent * np.maximum(n[1], n[0][i])))
+        if len(other):
+            equal = (registers[1][other] == registers[0][i]).sum(axis=1)
+            near = equal >= least
+            pairs.append(np.stack((equal[near], np.full(near.sum(), i), other[near])))
+    both = np.concatenate(pairs, axis=1) if pairs else np.zeros((3, 0), np.int64)
+    found = []
+    for first in range(0, both.shape[1], 4_096):
+        equal, i, j = both[:, first : first + 4_096]
+        likely = may_be_alike(registers[0][i], registers[1][j], n[0][i], n[1][j], percent / 100)
+        found += zip(equal[likely].tolist(), i[likely].tolist(), j[likely].tolist())
+    a, b = [], []
+    for _, i, j in sorted(found, reverse=True):
+        x, y = find(int(part[0][i])), find(int(part[1][j]))
+        if x != y and alike(sets[0][i], sets[1][j], percent):
+            top[max(x, y)] = min(x, y)
+            a.append(int(rows[0][i]))
+            b.append(int(rows[1][j]))
+    return a, b
+
+
+def cross_links(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between rows that share a band but no component yet.
+
+    Rows that hang together by bands of several components are a family. All of a family but its largest component is
+    compared with all of it, in tiles of TILE by TILE rows, each in one task; pairs of rows are not made.
+    """
+    own = written(members.join(found, F.col("row") == F.col("node"), "left").select("band", "row", F.coalesce("component", "row").alias("component")))
+    several = own.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("row").alias("head")).filter("x <> y")
+    some = written(own.join(several.select("band", "head"), "band").select("row", "component", "head").distinct())
+    family = components(some.select(F.col("row").alias("a"), F.col("head").alias("b")))
+    rows = some.select("row", "component").distinct().join(family.withColumnRenamed("component", "family"), F.col("row") == F.col("node"), "left")
+    rows = rows.select("row", "component", F.coalesce("family", "row").alias("family"))
+    sizes = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("family").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("largest")
+    )
+    parts = lambda n: F.ceil(n / F.lit(TILE)).cast("long")
+    sizes = sizes.select(
+        "family", F.col("largest.component").alias("largest"), parts(F.col("all")).alias("columns"),
+        parts(F.col("all") - F.col("largest.n")).alias("lines"),
     )
-    own = written(own)
-    mixed_bands = own.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band")
-    some = written(own.join(mixed_bands, "band"))
-    sizes = some.groupBy("band", "component").agg(F.count(F.lit(1)).alias("rows"))
-    salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("rows") / LIST)).alias("salt")
-    lists = some.join(sizes, ["band", "component"]).groupBy("band", "component", salt).agg(F.collect_list("row").alias("list"))
-    left = lists.select("band", F.col("component").alias("x"), F.col("list").alias("as"))
-    right = lists.select("band", F.col("component").alias("y"), F.col("list").alias("bs"))
-    pairs = left.join(right, "band").filter("x < y").select(F.explode("as").alias("a"), "bs").select("a", F.explode("bs").alias("b"))
-    return pairs.distinct()
+    wide = written(rows.join(sizes, "family").join(sets.select("row", "n", "registers", "set"), "row"))
+    place = lambda parts: F.pmod(F.xxhash64("row"), F.col(parts))
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    columns = ["row", "component", "n", "registers", "set", "family"]
+    left = wide.filter("component <> largest").select(*columns, place("lines").alias("line"), every("columns").alias("column"))
+    right = wide.select(*columns, every("lines").alias("line"), place("columns").alias("column"))
+
+    def tile(a, b):
+        x, y = tile_links(a, b, percent)
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+    cell = ["family", "line", "column"]
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(tile, "a long, b long")
 
 
 def classes(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: row, id, key, n, component (smallest row number linked with it), component_id.
 
     Candidates are rows that agree in a band. Each is first compared with the smallest row of its bands; then
-    rows that share a band and are in different components by now are all compared, so no link that a band shows is lost.
+    rows that share a band and are in different components by now are compared in tiles, so no link that a band shows is lost.
     """
     rows = written(sketched(documents, id, text, words))
     groups = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("first"))
@@ -281,11 +348,11 @@ def classes(documents: DataFrame, *, id: str = "doc_id", text: str = "text", wor
     shared = all_bands.groupBy("band").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     members = written(all_bands.join(shared.drop("rows"), "band"))
     stars = members.groupBy("row").agg(F.min("least").alias("least"))
-    wanted = rows.join(stars, "row").select("row", "key")
+    centres = stars.select(F.col("least").alias("row")).distinct().withColumn("centre", F.lit(True))
+    wanted = rows.select("row", "key").join(stars, "row").join(centres, "row", "left").withColumn("centre", F.coalesce("centre", F.lit(False)))
     sets = written(candidate_sets(documents, wanted, id, text, words))
-    pairs = stars.filter("row <> least").select(F.col("row").alias("a"), F.col("least").alias("b"))
-    found = components(written(confirmed(pairs, sets, percent)).unionByName(equal))
-    more = written(confirmed(written(cross_pairs(members.select("band", "row"), found)), sets, percent))
+    found = components(written(confirmed(sets, percent)).unionByName(equal))
+    more = written(cross_links(members.select("band", "row"), found, sets, percent))
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     own = rows.select("row", "id", "key", "n").join(found, F.col("row") == F.col("node"), "left").select(

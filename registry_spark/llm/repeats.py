@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry_spark.llm.quality import joined, mixed
+from registry_spark.llm.hashing import joined, mixed
 from registry_spark.llm.tasks import arrow, byte_texts, record, segments, ship
 from registry_spark.llm.token_files import file_system
 from registry_spark.sources.shared import shared_folder, written
