@@ -25,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_spark.llm.tasks import byte_texts, chunked, loaded, record, segments, ship
-from registry_spark.llm.vocabulary import Encoder, digest
+from registry_spark.llm.tasks import byte_texts, chunked, loaded, ragged, record, segments, ship
+from registry_spark.llm.vocabulary import Encoder, Vocabulary, digest
 
 # Fixed values of the public formats.
 SKIPPABLE_MAGIC, SEEK_TABLE_MAGIC, SEEKABLE_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
 FRAME, SPLIT, LEVEL = 256 << 10, 64 << 20, 1
+# Pieces of text that the library gets as one.
+GROUP = 2_000
 
 
 def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -143,11 +145,48 @@ class LibraryEncoder:
         tokenizer = tokenizers.Tokenizer.from_str(self.text.value)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        width = np.fromiter(map(len, Vocabulary(self.text.value).bytes_of), np.int64)
 
         def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            encoded = [e.ids for e in tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            return np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum())), sizes
+            """Ids of chunks; many go to the library as one text and are told apart by the bytes of their ids.
+
+            White space after another character starts a pre-token, and a line break between two is one by itself,
+            so chunks that begin and end with such characters may follow one another, others apart by a line break.
+            """
+            groups, alone = [], []
+            for k, text in enumerate(texts):
+                if len(text) > 2 and 32 < text[1] < 127 and 32 < text[-1] < 127:
+                    continue
+                plain = text.decode()
+                if plain[-1:].isspace() or plain[:2].isspace():
+                    alone.append(k)
+            odd = set(alone)
+            regular = [k for k in range(len(texts)) if k not in odd] if odd else range(len(texts))
+            sizes = np.zeros(len(texts), np.int64)
+            found: list[np.ndarray] = []
+            for first in range(0, len(regular), GROUP):
+                some = regular[first : first + GROUP]
+                pieces = []
+                for k in some:
+                    pieces += (b"", texts[k]) if texts[k][0] in (32, 10) else (b"\n", texts[k])
+                groups.append((some, pieces))
+            encoded = tokenizer.encode_batch_fast([b"".join(p).decode() for _, p in groups], add_special_tokens=False)
+            for (some, pieces), encoding in zip(groups, encoded):
+                ids = np.array(encoding.ids, np.int32)
+                ends = np.cumsum(width[ids])
+                bounds = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), "right")
+                counts = np.diff(bounds, prepend=0)
+                found.append(ids[np.repeat(np.arange(len(pieces)) % 2 == 1, counts)])
+                sizes[some] = counts[1::2]
+            rest = [e.ids for e in tokenizer.encode_batch_fast([texts[k].decode() for k in alone], add_special_tokens=False)]
+            sizes[alone] = [len(x) for x in rest]
+            if not alone:
+                return np.concatenate(found) if found else np.zeros(0, np.int32), sizes
+            order = np.concatenate((np.array(regular, np.int64), np.array(alone, np.int64)))
+            flat = np.concatenate([*found, np.fromiter(chain.from_iterable(rest), np.int32)])
+            starts = np.empty(len(texts), np.int64)
+            starts[order] = segments(sizes[order])[:-1]
+            return flat[ragged(starts, sizes)], sizes
 
         return chunks
 

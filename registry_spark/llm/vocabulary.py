@@ -227,12 +227,21 @@ class Encoder:
     def learn(self) -> None:
         """Ids of the pieces met since the last call; pieces made of known parts need no encoding."""
         base, pieces, plans = len(self.starts), [], []
-        while new := self.numbers.new():
+        numbers = self.numbers
+        while new := numbers.new():
             pieces += new
             for piece in new:
+                first, last = (piece[0], piece[-1]) if piece else (0, 0)
+                if 32 < first < 127 and 32 < last < 127:
+                    # The common case: ASCII characters at both ends, after a blank.
+                    if last in MARKS and (core := piece.rstrip(MARKS))[-1:].isalnum():
+                        plans.append([numbers[core], numbers[b" " + piece[len(core) :]]])
+                    else:
+                        plans.append(b" " + piece)
+                    continue
                 text = self.chunk(piece)
                 parts = self.parts(piece) if text else []
-                plans.append(text if len(parts) < 2 else [self.numbers[part] for part in parts])
+                plans.append(text if len(parts) < 2 else [numbers[part] for part in parts])
         if not pieces:
             return
         whole = [k for k, plan in enumerate(plans) if isinstance(plan, bytes)]

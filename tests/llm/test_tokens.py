@@ -13,7 +13,7 @@ import tokenizers
 from registry_spark.llm import token_files
 from registry_spark.llm.bpe import decode_documents, encode_documents, round_trip
 from registry_spark.llm.tasks import segments
-from registry_spark.llm.token_files import TokenFile, TokenFileWriter, read_token_files, write_token_files
+from registry_spark.llm.token_files import LibraryEncoder, TokenFile, TokenFileWriter, read_token_files, write_token_files
 from registry_spark.llm.vocabulary import Encoder, Vocabulary
 from registry_spark.sources.shared import shared_folder, written
 
@@ -32,7 +32,19 @@ def vocabulary():
 
 
 def agree(library, vocabulary, texts):
-    ids, sizes = Encoder(vocabulary.encode_chunks, capacity=1_000).encode([t.encode() for t in texts])
+    """Both encoders: by merge rounds, and by the library piece by piece."""
+
+    class Shared:
+        value = open(PATH, encoding="utf-8").read()
+
+    pieces = LibraryEncoder.__new__(LibraryEncoder)
+    pieces.text = Shared
+    for encode_chunks in (vocabulary.encode_chunks, pieces.library()):
+        agree_with(library, vocabulary, texts, encode_chunks)
+
+
+def agree_with(library, vocabulary, texts, encode_chunks):
+    ids, sizes = Encoder(encode_chunks, capacity=1_000).encode([t.encode() for t in texts])
     bounds = segments(sizes)
     for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
         want = library.encode(text, add_special_tokens=False).ids
@@ -44,6 +56,7 @@ def test_white_space_and_special_strings(library, vocabulary):
     agree(library, vocabulary, [
         "", " ", "  ", "a", "a  b", "a\n\nb", "a\n b", "a \nb", "\na", "a\n", "x<|endoftext|>y <|endoftext|> z,", "it's we'll\t\tx\xa0y　z",
         "aaaa" * 50, "a" * 3_000 + "b ab", "word.\r\nNext  line", "ünï 日本語 🙂🙂 a", "a, b.\nC! 12.5, (x), y.", "\x1c a\x85b", "<|endoftext|>", "<|endoftext|",
+        "x\xa0\xa0y", "\xa0\xa0y z", "a　　b\u2003\u2003", "\t\ty", "\x1c\x1cq", "z\u2028\u2028w",
     ])
 
 
@@ -55,7 +68,7 @@ def test_many_code_points(library, vocabulary):
 
 def test_random_texts(library, vocabulary):
     rng = random.Random(5)
-    alphabet = "ab '\n\t s.,1 é\x1c日!"
+    alphabet = "ab '\n\t s.,1 é\x1c日!\xa0\u2003"
     agree(library, vocabulary, ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(5_000)])
 
 
