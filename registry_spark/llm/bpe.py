@@ -25,10 +25,10 @@ class Codec:
         self.key, self.text = digest(text), spark.sparkContext.broadcast(text)
 
     def vocabulary(self) -> Vocabulary:
-        return loaded("vocabulary", self.key, lambda: Vocabulary(self.text.value))
+        return loaded("bpe vocabulary", self.key, lambda: Vocabulary(self.text.value))
 
     def encoder(self) -> Encoder:
-        return loaded("encoder", self.key, lambda: Encoder(self.vocabulary().encode_chunks))
+        return loaded("bpe encoder", self.key, lambda: Encoder(self.vocabulary().encode_chunks))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self.encoder().encode(texts)
@@ -78,7 +78,7 @@ def round_trip(documents: DataFrame, path: str, *, id: str = "doc_id", text: str
     codec = Codec(documents.sparkSession, path)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        decimals = loaded("decimals", codec.key, lambda: [str(i).encode() for i in range(codec.vocabulary().size)])
+        decimals = loaded("bpe decimals", codec.key, lambda: [str(i).encode() for i in range(codec.vocabulary().size)])
         for part in chunked(batch):
             ids, sizes = codec.encode(byte_texts(part))
             texts = codec.decode(ids, sizes)

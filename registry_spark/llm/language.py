@@ -158,6 +158,11 @@ def centred(rows: list[tuple[str, str, int]], languages: list[str], totals: dict
     return numbers, (share - share.mean(axis=1, keepdims=True) if languages else share).astype(np.float32)
 
 
+def tuples(df: DataFrame) -> list[tuple]:
+    """Rows of a small table, by way of Arrow, which takes less of the driver than Row objects."""
+    return list(zip(*(column.to_pylist() for column in df.toArrow().columns)))
+
+
 def train(labelled: DataFrame) -> Model:
     """Model of all labelled documents (columns lang, text); rows without a language or text are left out.
 
@@ -169,9 +174,10 @@ def train(labelled: DataFrame) -> Model:
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     each = max(1, len(languages))
-    frequent = most_frequent(words, ["lang"], max(1, WORD_ENTRIES // each)).select("lang", "word", "n").collect()
+    frequent = tuples(most_frequent(words, ["lang"], max(1, WORD_ENTRIES // each)).select("lang", "word", "n"))
     all_grams = written(counted_grams(words)).withColumn("length", F.length("gram"))
-    few = most_frequent(all_grams, ["lang", "length"], max(1, GRAM_ENTRIES // each)).select("lang", "gram", "n").collect()
+    few = most_frequent(all_grams, ["lang", "length"], max(1, GRAM_ENTRIES // each)).select("lang", "gram", "n")
+    few = tuples(few)
     return Model(languages, centred(frequent, languages, totals), centred(few, languages, totals))
 
 

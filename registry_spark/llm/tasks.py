@@ -98,9 +98,15 @@ _LOADED: dict[str, tuple[str, object]] = {}
 
 
 def loaded(kind: str, key: str, make: Callable[[], object]):
-    """The worker process's object of a kind, kept between tasks; another key replaces it."""
-    if _LOADED.get(kind, ("",))[0] != key:
-        _LOADED.pop(kind, None)
+    """The worker process's object of a kind, kept between tasks; another key replaces it.
+
+    The first word of a kind names the operator. Objects of other operators go, so that what a
+    worker holds does not add up over the steps of a pipeline.
+    """
+    operator = kind.split()[0]
+    for other in [k for k in _LOADED if k.split()[0] != operator or (k == kind and _LOADED[k][0] != key)]:
+        del _LOADED[other]
+    if kind not in _LOADED:
         _LOADED[kind] = (key, make())
     return _LOADED[kind][1]
 
