@@ -123,12 +123,14 @@ def may_be_alike(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
 
     With sizes known, a register of one set exceeds the other's with probability
     p(u - v J), where u and v are the shares of the sizes and p(x) = -log_BASE(1 - x (BASE - 1) / BASE).
+    ``similarity`` is whole percents; whether the sizes allow it is decided in whole numbers, as 4/5 is less than 0.8 in floats.
     """
+    possible = 100 * np.minimum(n_a, n_b) >= round(100 * similarity) * np.maximum(n_a, n_b)
     above, below = (a > b).sum(axis=1)[:, None], (a < b).sum(axis=1)[:, None]
     same = REGISTERS - above - below
     u = (n_a / (n_a + n_b))[:, None]
     v = 1 - u
-    most = np.minimum(u / v, v / u)
+    most = np.maximum(np.minimum(u / v, v / u), similarity)
     p = lambda x: np.maximum(-np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE), 1e-12)
 
     def likelihood(low, high):
@@ -136,8 +138,7 @@ def may_be_alike(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
         more, less = p(u - v * j), p(v - u * j)
         return (above * np.log(more) + below * np.log(less) + same * np.log(np.maximum(1 - more - less, 1e-12))).max(axis=1)
 
-    possible = (most >= similarity).ravel()
-    floor = np.minimum(similarity, most)
+    floor = np.full_like(most, similarity)
     return possible & (likelihood(np.zeros_like(most), floor) - likelihood(floor, most) <= DISCARD)
 
 

@@ -129,6 +129,27 @@ def test_registers_tell_similarity():
     assert bands(registers).shape == (3, BANDS)
 
 
+def test_contained_sets_of_sizes_four_to_five():
+    rng = np.random.default_rng(9)
+    for k in (1, 2, 7, 10, 100, 333):
+        large = np.sort(rng.integers(0, 2**63, 5 * k).astype(np.uint64))
+        small = np.sort(rng.permutation(large)[: 4 * k])
+        registers = sketch(np.concatenate((small, large)), segments(np.array([4 * k, 5 * k])))
+        n_small, n_large = np.array([4.0 * k]), np.array([5.0 * k])
+        assert alike(small, large, 80)
+        assert may_be_alike(registers[:1], registers[1:], n_small, n_large, 0.8)[0]
+        assert may_be_alike(registers[1:], registers[:1], n_large, n_small, 0.8)[0]
+        assert not may_be_alike(registers[:1], registers[1:], n_small - 0.5, n_large, 0.8)[0]
+
+
+def test_document_extended_by_a_quarter(documents):
+    words = [f"w{i}" for i in range(51)]
+    rows = [(1, " ".join(words[:41])), (2, " ".join(words)), (3, " ".join(f"v{i}" for i in range(51))), (4, " ".join(f"v{i}" for i in range(40)))]
+    df = documents([(*r, None, None) for r in rows])
+    assert near(df) == slow_classes(rows, 2, 80)
+    assert sorted(r["doc_id"] for r in one_of_each(df, words=2).collect()) == [1, 3, 4]
+
+
 def test_components(spark):
     random.seed(6)
     links = [(random.randrange(300), random.randrange(300)) for _ in range(220)] + [(1_000 + i, 1_001 + i) for i in range(70)] + [(5, 5), (0, 2_000)]
