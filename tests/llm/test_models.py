@@ -158,6 +158,30 @@ def test_unseen_words_use_shorter_strings(documents):
     assert [r["lang_pred"] for r in got] == ["de", "fr"]
 
 
+def test_words_beyond_the_table_keep_their_counts(documents, odd_rows, monkeypatch):
+    english = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100))
+    rows = [r if r[0] != 4 else (4, r[1][:20_000], *r[2:]) for r in odd_rows]
+    rows += [(100, f"{english} {english}", "en", "a"), (101, "wak wal " + english[:11], "es", "a"), (102, "zzz wak", None, "a"), (103, "wjt wit wat", None, "a")]
+    df = documents(rows)
+    whole = {r["doc_id"]: r for r in identify(df, train(df)).collect()}
+    monkeypatch.setattr("registry_spark.llm.language.WORD_ENTRIES", 7)
+    monkeypatch.setattr("registry_spark.llm.language.GRAM_ENTRIES", 5)
+    few = train(df)
+    assert len(few.words[0]) <= 7 and len(few.grams[0]) <= 25
+    got = {r["doc_id"]: r for r in identify(df, few).collect()}
+    assert {i: r["lang_pred"] for i, r in got.items()} == {i: r["lang_pred"] for i, r in whole.items()}
+    assert [got[i]["score"] for i in whole] == pytest.approx([whole[i]["score"] for i in whole], rel=1e-4)
+
+
+def test_word_of_two_languages_scores_by_both_counts(documents, monkeypatch):
+    rare = " ".join(f"x{'abcdefgh'[i % 8]}{'klmnopqr'[i // 8]}" for i in range(58))
+    df = documents([(1, "the " * 60 + "casa " * 30, "en", "a"), (2, "casa " * 3 + rare, "es", "a"), (3, "casa", None, "a")])
+    monkeypatch.setattr("registry_spark.llm.language.WORD_ENTRIES", 2)
+    got = {r["doc_id"]: r for r in identify(df, train(df)).collect()}
+    en, es = 30.5 / 90.5, 3.5 / 61.5
+    assert got[3]["lang_pred"] == "en" and got[3]["score"] == pytest.approx(en / (en + es), rel=1e-4)
+
+
 def test_crc_matches_python(documents):
     from registry_spark.llm.tasks import id_remainder
 
