@@ -24,8 +24,10 @@ WEIGHTS, SHARE, LIMIT = (5.0, 2.0, 1.0), 1.5, 2.0
 BLOCK = 4_096
 BUCKET_ROWS = 500
 SLOTS_PER_TASK = 1 << 20
-# A mix is configured by source, so the list of sources is small; more are refused.
+# Sources whose list goes through the driver (``Mix``); longer lists are worked out as tables (``TableMix``).
 MAX_SOURCES = 100_000
+# Points of a source that become slots at once.
+PIECE_POINTS = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -159,10 +161,13 @@ class Mix:
     an empty mix. Other columns are not read.
     """
 
-    def __init__(self, documents: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK):
+    def __init__(
+        self, documents: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK,
+        rows: DataFrame | None = None,
+    ):
         spark = documents.sparkSession
         self.block = block
-        rows = written(sized(documents, id=id, text=text, source=source))
+        rows = written(sized(documents, id=id, text=text, source=source)) if rows is None else rows
         totals = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()
         if len(totals) > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -215,6 +220,162 @@ class Mix:
         return with_words.select(*keys, "taken").unionByName(without.select(*keys, "taken"))
 
 
+def numbered_sources(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Sources in order of name, NULL last: name, size, rows, number, part; and how many rows there are.
+
+    Names are dealt by range and sorted; counts of those few parts give each its first number.
+    """
+    spark = rows.sparkSession
+    totals = rows.groupBy(F.col("source").alias("name")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    order = [F.col("name").isNull(), F.col("name")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = written(totals.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id()))
+    ordered = ordered.withColumn("part", F.shiftright("id", 33)).withColumn("inside", F.col("id").bitwiseAND((1 << 33) - 1))
+    counts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).orderBy("part").collect()
+    first = running(spark, [(r["part"], r["n"]) for r in counts])
+    out = ordered.join(F.broadcast(first), "part").withColumn("number", F.col("inside") + F.col("before")).drop("id", "inside", "before")
+    return out, sum(r["rows"] for r in counts)
+
+
+def running(spark: SparkSession, counts: list[tuple[int, int]]) -> DataFrame:
+    """part, and the sum of the counts of the parts before it."""
+    before, out = 0, []
+    for part, n in counts:
+        out.append((part, before))
+        before += n
+    return spark.createDataFrame(out, "part long, before long")
+
+
+def with_running(table: DataFrame, column: str, name: str) -> tuple[DataFrame, int]:
+    """The table with the sum of ``column`` over the sources of smaller number, and the sum of all."""
+    counts = [(r["part"], r["n"]) for r in table.groupBy("part").agg(F.sum(column).alias("n")).orderBy("part").collect()]
+    inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    out = table.join(F.broadcast(running(table.sparkSession, counts)), "part")
+    return out.withColumn(name, F.sum(column).over(inside) - F.col(column) + F.col("before")).drop("before"), sum(n for _, n in counts)
+
+
+def table_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+    """``sources`` with the target that ``source_targets`` gives; sums over open and full sources, round by round.
+
+    The unit of words a weight grows from round to round, so a source once full stays full.
+    """
+    wish = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("number") % len(weights) + 1).cast("int"))
+    some = sources.withColumn("wish", wish)
+    full = lambda unit: F.lit(unit) * F.col("wish") > F.lit(limit) * F.col("size")
+    sums = lambda closed: some.agg(
+        F.sum(F.when(~closed, F.col("wish"))).alias("wish"), F.sum(F.when(closed, F.col("size"))).alias("full"),
+        F.count(F.when(closed, 1)).alias("n"), F.sum("size").alias("all"),
+    ).first()
+    unit, closed, seen = 0.0, F.lit(False), -1
+    while True:
+        now = sums(closed)
+        if now["n"] == seen or not now["wish"]:
+            break
+        seen = now["n"]
+        unit = max(unit, (min(share, limit) * now["all"] - limit * (now["full"] or 0)) / now["wish"])
+        closed = full(unit)
+    open_target = F.greatest(F.lit(0.0), F.lit(unit) * F.col("wish"))
+    return some.withColumn("target", F.when(closed, F.lit(limit) * F.col("size")).otherwise(open_target)).drop("wish")
+
+
+def counts_below(n: np.ndarray, limits: np.ndarray, bits: int) -> np.ndarray:
+    """``count_below`` with an own number of points for each limit."""
+    out = np.zeros(len(limits), np.int64)
+    for b in range(bits, -1, -1):
+        some = (n >> b & 1).astype(bool)
+        step = 1 << (bits - b)
+        r = reverse_bits((n[some] >> (b + 1)) << (b + 1), bits) if b < bits else 0
+        out[some] += np.clip(-((r - limits[some]) // step), 0, 1 << b)
+    return out
+
+
+def table_schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
+    """What ``schedule`` gives, from a table of sources (number, size, target, part): every source says which slots its points are."""
+
+    def needs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = [Source(None, s, t) for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield record(
+            part=batch.column(0), number=batch.column(1), size=batch.column(2),
+            quota=pa.array([s.quota for s in rows], pa.int64()), need=pa.array([s.slots(block) for s in rows], pa.int64()),
+        )
+
+    columns = "part long, number long, size long, quota long, need long"
+    some, total = with_running(written(arrow(sources.select("part", "number", "size", "target"), needs, columns)), "need", "edge")
+    bits = max(1, (max(total, 1) - 1).bit_length())
+
+    def given(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        limit = lambda edges: np.array([(e << bits) // max(total, 1) for e in edges], np.int64)
+        edge, need = batch.column(5).to_pylist(), batch.column(4).to_pylist()
+        low, high = limit(edge), limit([e + n for e, n in zip(edge, need)])
+        own = count_below(total, high, bits) - count_below(total, low, bits)
+        yield record(
+            **dict(zip(batch.schema.names[:5], batch.columns)), low=low, high=high, given=own, missing=np.maximum(np.array(need, np.int64) - own, 0)
+        )
+
+    own = written(arrow(some.select("part", "number", "size", "quota", "need", "edge"), given, f"{columns}, low long, high long, given long, missing long"))
+    own, _ = with_running(own, "missing", "late")
+    # Points, then the slots appended at the end, in pieces.
+    things = F.col("high") - F.col("low") + F.col("missing")
+    pieces = own.filter("need > 0").withColumn("things", things).withColumn(
+        "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(things - 1) div {PIECE_POINTS}")))
+    )
+    names = ["number", "size", "quota", "need", "low", "high", "given", "late", "things", "piece"]
+    tasks = max(1, -(-total // SLOTS_PER_TASK))
+    pieces = pieces.select(*names).repartition(tasks, "number", "piece")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        column = {n: np.array(batch.column(i), np.int64) for i, n in enumerate(names)}
+        length = np.minimum(column["things"] - column["piece"] * PIECE_POINTS, PIECE_POINTS)
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(length) // (1 << 20))) + 1).tolist(), len(length)]
+        for a, b in zip(cuts, cuts[1:]):
+            n = length[a:b]
+            at = lambda name: np.repeat(column[name][a:b], n)  # noqa: B023,E731
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + at("piece") * PIECE_POINTS
+            point = at("low") + place
+            late = point - at("high")
+            by_point = late < 0
+            slot = np.where(by_point, reverse_bits(np.where(by_point, point, 0), bits), total + at("late") + late)
+            rank = at("given") + late
+            p, low, high = slot[by_point], at("low")[by_point], at("high")[by_point]
+            rank[by_point] = counts_below(p, high, bits) - counts_below(p, low, bits)
+            used = (rank < at("need")) & ((slot < total) | ~by_point)
+            source, slot, rank = at("number")[used], slot[used], rank[used]
+            size, quota = at("size")[used], at("quota")[used]
+            blocks = -(-size // block)
+            turn, number = rank // blocks, rank % blocks
+            start = number * block
+            yield record(slot=slot, source=source, rank=rank, block=number, n=np.minimum(np.minimum(block, size - start), quota - turn * size - start))
+
+    return arrow(pieces, run, "slot long, source long, rank long, block long, n long")
+
+
+class TableMix(Mix):
+    """The mix of a table of documents of any number of sources: what ``Mix`` gives, with sources and slots as tables."""
+
+    def __init__(
+        self, documents: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK,
+        rows: DataFrame | None = None,
+    ):
+        self.block = block
+        rows = written(sized(documents, id=id, text=text, source=source)) if rows is None else rows
+        numbered, n_rows = numbered_sources(rows)
+        listed = written(table_targets(written(numbered)))
+        bits = max(0, (n_rows // BUCKET_ROWS).bit_length())
+        own = listed.select("name", "number", F.col("size").alias("source_size"), "target")
+        self.rows = rows.join(own, F.col("source").eqNullSafe(F.col("name"))).select(
+            "id", F.col("number").alias("source"), "source_size", "target", "size", "hash",
+            (F.shiftright("hash", 64 - bits) if bits else F.lit(0).cast("long")).alias("bucket"),
+        )
+        self.slots = table_schedule(listed, block)
+
+
+def mix(documents: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK) -> Mix:
+    """The mix by way of the driver for a short list of sources, by tables for a longer one."""
+    rows = written(sized(documents, id=id, text=text, source=source))
+    few = rows.select("source").distinct().limit(MAX_SOURCES + 1).count() <= MAX_SOURCES
+    return (Mix if few else TableMix)(documents, id=id, text=text, source=source, block=block, rows=rows)
+
+
 def mixed_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Whole documents as often as the mix takes them: taken words by size, to the nearest whole number.
 
@@ -222,7 +383,7 @@ def mixed_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "te
     """
     key = [F.col("__id").eqNullSafe(F.col(f"`{id}`")), F.col("__hash") == shuffle_key(id, text)]
     times = (
-        Mix(documents, id=id, text=text, source=source).taken().filter("size > 0")
+        mix(documents, id=id, text=text, source=source).taken().filter("size > 0")
         .groupBy(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
         .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__times"))
         .filter("__times > 0")

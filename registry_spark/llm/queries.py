@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.llm.bpe import round_trip
 from registry_spark.llm.language import identify, train
-from registry_spark.llm.mixing import Mix
+from registry_spark.llm.mixing import mix
 from registry_spark.llm.near_duplicates import near_duplicates
 from registry_spark.llm.neural import scored
 from registry_spark.llm.quality import judged
@@ -36,7 +36,7 @@ def op1_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
-    taken = Mix(table(spark, sf_dir, "documents")).taken()
+    taken = mix(table(spark, sf_dir, "documents")).taken()
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

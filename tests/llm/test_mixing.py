@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from registry_spark.llm import mixing
 from registry_spark.llm.mixing import Mix, Source, count_below, mixed_documents, reverse_bits, schedule, source_targets
 
 
@@ -99,3 +100,21 @@ def test_too_many_sources(documents, monkeypatch):
     monkeypatch.setattr("registry_spark.llm.mixing.MAX_SOURCES", 2)
     with pytest.raises(ValueError):
         Mix(documents([(i, "a", None, str(i)) for i in range(3)]))
+
+
+def test_more_sources_than_the_driver_lists(documents, odd_rows, monkeypatch):
+    random.seed(5)
+    rows = odd_rows + [(1_000 + i, "w " * random.choice([0, 1, 9, 40, 900]), None, f"s{random.randrange(70)}") for i in range(300)]
+    df = documents(rows)
+    want = Mix(df, block=16)
+    slots = lambda m: sorted(map(tuple, m.slots.select("slot", "source", "rank", "block", "n").collect()))
+    taken = lambda m: sorted(m.taken().collect(), key=lambda r: (str(r["id"]), r["hash"], r["taken"]))
+    copies = sorted(str(r["doc_id"]) for r in mixed_documents(df).collect())
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    monkeypatch.setattr(mixing, "PIECE_POINTS", 8)
+    got = mixing.mix(df, block=16)
+    assert slots(got) == slots(want)
+    plain = lambda rows: [tuple(r[c] for c in ("id", "size", "source_size", "hash", "taken")) for r in rows]
+    assert plain(taken(got)) == plain(taken(want))
+    assert [r["target"] for r in taken(got)] == pytest.approx([r["target"] for r in taken(want)], abs=1e-6)
+    assert sorted(str(r["doc_id"]) for r in mixed_documents(df).collect()) == copies
