@@ -12,6 +12,8 @@ MARK = r"^[ \t>]*>"
 QUOTED_LINE = r"(?md)^[ \t>]*>[^\n]*(?:\n|$)"
 # A single line links two messages only when it has this many words; whole passages always do.
 LINE_WORDS = 4
+# Words of a passage quoted in part that must be found in a row; a paragraph of fewer must be found whole.
+WINDOW_WORDS = 8
 MESSAGE = ["conv", "turn", "key"]
 
 
@@ -50,12 +52,46 @@ def units(lines: DataFrame) -> DataFrame:
     )
 
 
+def windows(words: Column, size: Column) -> Column:
+    """Hash of every ``size`` words in a row of an array that has as many."""
+    starts = F.sequence(F.lit(1), F.size(words) - size + 1)
+    return F.transform(starts, lambda i: F.md5(F.array_join(F.slice(words, i, size), " ").cast("binary")))
+
+
+def partial_origins(messages: DataFrame, unlinked: DataFrame) -> DataFrame:
+    """Origins of quoted passages (MESSAGE, run) that are parts of messages, by words in a row wherever lines break.
+
+    Each paragraph of a passage is looked for, by WINDOW_WORDS words or whole if it has fewer, in what earlier
+    messages of the conversation say in their own words; the first that is found decides. Fewer than LINE_WORDS words
+    count only when a single earlier message says them.
+    """
+    lines = message_lines(messages.join(unlinked.select("conv").distinct(), "conv", "left_semi"))
+    blanks = F.sum(F.when(F.col("words") == "", 1).otherwise(0)).over(Window.partitionBy(*MESSAGE).orderBy("pos"))
+    entry = F.sort_array(F.collect_list(F.struct("pos", "words")))
+    words = F.split(F.array_join(F.transform(entry, lambda e: e["words"]), " "), " ").alias("words")
+    quoted = lines.withColumn("paragraph", blanks).filter("depth > 0 AND words <> ''").join(unlinked.select(*MESSAGE, "run"), [*MESSAGE, "run"], "left_semi")
+    quoted = quoted.groupBy(*MESSAGE, "run", "paragraph").agg(words).withColumn("size", F.least(F.size("words"), F.lit(WINDOW_WORDS)))
+    wanted = written(quoted.select(*MESSAGE, "run", "paragraph", "size", F.posexplode(windows(F.col("words"), F.col("size"))).alias("place", "hash")))
+    own = lines.filter("depth = 0 AND words <> ''").groupBy(*MESSAGE, "run").agg(words).select("conv", "turn", "words")
+    sizes = wanted.select("conv", "size").distinct()
+    said = own.join(sizes, "conv").filter(F.size("words") >= F.col("size"))
+    said = said.select("conv", "turn", "size", F.explode(F.array_distinct(windows(F.col("words"), F.col("size")))).alias("hash"))
+    same = ["conv", "size", "hash"]
+    said = written(said.join(wanted.select(*same).distinct(), same, "left_semi").distinct())
+    first = said.groupBy(*same).agg(F.min("turn").alias("origin"))
+    both = said.join(first, same).groupBy(*same, "origin").agg(F.min(F.when(F.col("turn") > F.col("origin"), F.col("turn"))).alias("next"))
+    alone = (F.col("size") >= LINE_WORDS) | F.col("next").isNull() | (F.col("next") >= F.col("turn"))
+    found = wanted.join(both, same).filter((F.col("origin") < F.col("turn")) & alone)
+    best = F.min(F.struct("paragraph", "place", "origin"))
+    return found.groupBy(*MESSAGE, "run").agg(best["origin"].alias("part_origin"))
+
+
 def quotation_links(conversations: DataFrame, *, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """One row per quoted passage: conv, turn, key (MD5 of the message's text), run, depth, origin (turn quoted, or NULL).
 
     The origin is the first message of the conversation that says the passage in its own words, and has a smaller turn.
-    The whole passage decides; failing that, its first line that is found. Messages without a conversation, turn
-    or text neither quote nor are quoted.
+    The whole passage decides; failing that, its first line that is found, then what ``partial_origins`` finds. Messages
+    without a conversation, turn or text neither quote nor are quoted.
     """
     known = conversations.select(F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.col(f"`{text}`").alias("text"))
     known = known.dropna()
@@ -66,9 +102,14 @@ def quotation_links(conversations: DataFrame, *, conv: str = "conv_id", turn: st
     found = written(units(message_lines(distinct)))
     origins = found.filter("depth = 0").groupBy("conv", "hash").agg(F.min("turn").alias("origin"))
     best = F.min(F.when(F.col("origin") < F.col("turn"), F.struct("kind", "pos", "origin"))).alias("best")
-    return found.filter("depth > 0").join(origins, ["conv", "hash"], "left").groupBy(*MESSAGE, "run", "depth").agg(best).select(
+    links = written(found.filter("depth > 0").join(origins, ["conv", "hash"], "left").groupBy(*MESSAGE, "run", "depth").agg(best).select(
         *MESSAGE, "run", "depth", F.col("best.origin").alias("origin")
-    )
+    ))
+    unlinked = links.filter("origin IS NULL")
+    if unlinked.isEmpty():
+        return links
+    parts = partial_origins(distinct, unlinked)
+    return links.join(parts, [*MESSAGE, "run"], "left").select(*MESSAGE, "run", "depth", F.coalesce("origin", "part_origin").alias("origin"))
 
 
 def thread_starts(parents: DataFrame) -> DataFrame:

@@ -75,3 +75,22 @@ def test_random_threads(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert reply_order(empty).collect() == [] and quotation_links(empty).collect() == []
+
+
+def test_part_of_a_message_quoted(spark):
+    rows = [
+        (1, 0, "user", "a b c d e f g\nh i j k l m n\n\nanother paragraph stands here\nwith more words, lovely ones"),
+        (1, 1, "user", "> a b c d e\n> f g h i j\n> k l m n\nre-wrapped paragraph"),
+        (1, 2, "user", "> d e f g h\n> i j k l\n> m n and some words of nobody\npart of it, changed at the end"),
+        (1, 3, "user", "> lovely ones\nshort and said once"),
+        (1, 4, "user", "we say lovely ones again"),
+        (1, 5, "user", "> lovely ones\nshort and said twice by now"),
+        (1, 6, "user", "> nothing like this was said\n> k l z\nno origin"),
+        (1, 7, "user", "> no such thing\n>\n> e f g h i\nsecond paragraph of the quotation"),
+        (2, 0, "user", "> a b c d e\n> f g h i j\n> k l m n\nanother conversation"),
+    ]
+    df = spark.createDataFrame([(*r, 1, "x", None) for r in rows], SCHEMA)
+    got = {(r["conv_id"], r["turn"]): r for r in reply_order(df).collect()}
+    assert [got[1, t]["parent_turn"] for t in range(8)] == [None, 0, 0, 0, None, None, None, 0]
+    assert [got[1, t]["n_linked"] for t in range(8)] == [0, 1, 1, 1, 0, 0, 0, 1]
+    assert got[1, 2]["thread_turn"] == 0 and got[2, 0]["parent_turn"] is None
