@@ -293,8 +293,11 @@ def other_words(rest: DataFrame, model: Model) -> DataFrame:
     return sums.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("lang", "value"))).alias("__more"))
 
 
-def told(documents: DataFrame, model: Model, keep: list[str], text: str) -> DataFrame:
-    """``keep`` columns as __k0, __k1, ..., and of every text: __letter (whether it has one), __known (number of words known), __mean (by language)."""
+def told(documents: DataFrame, model: Model, keep: list[str], text: str, settle: bool = False) -> DataFrame:
+    """``keep`` columns as __k0, __k1, ..., and of every text: __letter (whether it has one), __known (number of words known), __mean (by language).
+
+    ``settle`` is for whether any word is known: other words are then looked up only for texts without a listed one.
+    """
     spark = ship(documents.sparkSession)
     shared = spark.sparkContext.broadcast(model.words)
     key = uuid.uuid4().hex
@@ -305,6 +308,8 @@ def told(documents: DataFrame, model: Model, keep: list[str], text: str) -> Data
         for part in chunked(batch, place):
             texts = byte_texts(part, place)
             sums, known, rest = scorer.read(texts)
+            if settle:
+                rest = [Counter() if n else x for n, x in zip(known.tolist(), rest)]
             some = [LETTER.search(t.decode()) is not None for t in texts]
             ends = lambda sizes: pa.array(segments(np.array(sizes)).astype(np.int32))
             to = ends([len(x) for x in rest])
@@ -357,8 +362,9 @@ def identify(documents: DataFrame, model: Model, *, id: str = "doc_id", text: st
 
 
 def recognised(documents: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """The documents, all columns, whose language is recognised."""
+    """The documents, all columns, whose language is recognised: with a letter, and a word or n-gram that the model knows."""
+    if not model.languages:
+        return documents.limit(0)
     names = [f"__c{i}" for i in range(len(documents.columns))]
-    renamed = documents.toDF(*names)
-    told = identify(renamed, model, text=names[documents.columns.index(text)], keep=names)
-    return told.filter(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").toDF(*documents.columns)
+    found = told(documents.toDF(*names), model, names, names[documents.columns.index(text)], settle=True)
+    return found.filter("__letter AND __known > 0").drop("__letter", "__known", "__mean").toDF(*documents.columns)

@@ -182,6 +182,22 @@ def test_word_of_two_languages_scores_by_both_counts(documents, monkeypatch):
     assert got[3]["lang_pred"] == "en" and got[3]["score"] == pytest.approx(en / (en + es), rel=1e-4)
 
 
+def test_texts_of_which_nothing_is_known_are_not_recognised(documents, monkeypatch):
+    rows = [
+        (1, "the house of the sea the", "en", "a"), (2, "das haus am meer", "de", "a"), (3, "άλφα βήτα γάμμα", None, "a"), (4, "日本 語", None, "a"),
+        (5, "άλφα the", None, "a"), (6, "άλφα meer", None, "a"), (7, "άλφα hausmeer", None, "a"), (8, "12 !", None, "a"), (9, None, "en", "a"),
+    ]
+    df = documents(rows)
+    model = train(df)
+    assert {r["doc_id"] for r in recognised(df, model).collect()} == {1, 2, 5, 6, 7}
+    monkeypatch.setattr("registry_spark.llm.language.WORD_ENTRIES", 1)
+    monkeypatch.setattr("registry_spark.llm.language.GRAM_ENTRIES", 0)
+    left = recognised(df, train(df))
+    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {1, 2, 5, 6, 7}
+    assert recognised(df, train(df.limit(0))).collect() == []
+    assert {r["doc_id"]: r["score"] for r in identify(df, model).collect()}[3] == 0.5
+
+
 def test_crc_matches_python(documents):
     from registry_spark.llm.tasks import id_remainder
 
