@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry_spark.llm.bpe import round_trip
+from registry_spark.llm.collocations import Collocations
 from registry_spark.llm.language import identify, train
 from registry_spark.llm.mixing import mix
 from registry_spark.llm.near_duplicates import near_duplicates
 from registry_spark.llm.neural import scored
+from registry_spark.llm.packing import Packing
+from registry_spark.llm.prefix_trie import PrefixTrie
 from registry_spark.llm.quality import judged
 from registry_spark.llm.quotations import reply_order
 from registry_spark.llm.repeats import Repeats
@@ -21,7 +24,7 @@ from registry_spark.llm.token_files import read_token_files, write_token_files
 from registry_spark.llm.top_k import top_k
 from registry_spark.sources.shared import shared_folder, written
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +91,23 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Repeats(table(spark, sf_dir, "documents"), length=200).result()
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of conversations that begin with some turns of every twentieth one."""
+    conv = F.col("conv_id")
+    first = F.crc32(conv.cast("string").cast("binary")) % 4
+    return PrefixTrie(table(spark, sf_dir, "conversations"), shared=(conv - conv % 20, first)).with_digests()
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 ids."""
+    return Packing(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0).rows.withColumnRenamed("id", "doc_id")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language that hold together best."""
+    return Collocations(table(spark, sf_dir, "documents"), longest=4, least=30).top(2_000, share=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
     "op2_mixing": op2_mixing,
@@ -99,9 +119,82 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_packing": op12_packing,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+                       lambda acc, b: list_reduce([xor(acc, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                           lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 4 AS h
+            FROM t
+        ), r AS (
+            SELECT c.conv_id, 0 AS own, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+            UNION ALL
+            SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h
+        ), q AS (
+            SELECT c.conv_id, coalesce(list(md5(len(role) || ':' || role || text) ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS turns,
+                   coalesce(list(len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS words
+            FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id
+        ), m AS (
+            SELECT conv_id, len(turns) AS length, unnest(list_transform(range(len(turns) + 1), lambda d: {'depth': d, 'path': array_to_string(turns[1:d], ''), 'words': coalesce(words[d], 0)}), recursive := TRUE) FROM q
+        ), n AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+            FROM m GROUP BY path, depth
+        ), k AS (
+            SELECT path[1:32 * (depth - 1)] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+        ), u AS (
+            SELECT unnest(list_transform(range(depth + 1), lambda d: path[1:32 * d])) AS path, (n_convs - 1) * words AS saved, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf
+            FROM n LEFT JOIN k USING (path)
+        ), s AS (
+            SELECT path, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM u GROUP BY path
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM n JOIN s USING (path) LEFT JOIN k USING (path) LEFT JOIN n AS p ON n.depth > 0 AND p.path = n.path[1:32 * (n.depth - 1)]
+    """,
+    "op13_phrases": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+        ), pieces AS (
+            SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+        ), w AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), g AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(w) >= k
+        ), f AS (
+            SELECT lang, k, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM g GROUP BY 1, 2, 3
+        ), n AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+        ), c AS (
+            SELECT * FROM f WHERE k > 1 AND f >= 30
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, array_to_string(g[1:cut], ' ') AS left_part, array_to_string(g[cut + 1:], ' ') AS right_part, cut
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score, cut
+            FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = left_part JOIN f AS y ON y.lang = cuts.lang AND y.phrase = right_part
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inner_parts AS (
+            SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda n: list_transform(range(1, k - n + 2), lambda i: array_to_string(g[i:i + n - 1], ' '))))) AS phrase FROM c
+        ), most AS (
+            SELECT lang, phrase, max(f) AS most FROM inner_parts GROUP BY 1, 2
+        ), kept AS (
+            SELECT weakest.* FROM weakest LEFT JOIN most USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
     "op8_near_duplicates": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
