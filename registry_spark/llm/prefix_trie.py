@@ -29,6 +29,8 @@ from registry_spark.sources.shared import written
 SEGMENT = 64
 # Turns of distinct segments that one pair of arrays holds.
 SHARD = 1 << 18
+# Slots in which a place for several children is looked for before the end is taken.
+WINDOW = 1 << 12
 # Segments of a conversation that one window adds up.
 SPAN = 1 << 10
 # Characters of a text that take part in dealing out turns of equal number.
@@ -45,6 +47,7 @@ class DoubleArray:
     def __init__(self):
         self.base = np.zeros(1, np.int64)
         self.check = np.full(1, -2, np.int64)  # -1: free
+        self.free = 0  # no free slot lies before
 
     def grow(self, size: int) -> None:
         more = size - len(self.check)
@@ -73,17 +76,18 @@ class DoubleArray:
 
     def fit(self, parent: int, numbers: np.ndarray, tries: int = 256) -> np.ndarray:
         """First base among some at which every number meets a free slot, else one past the end."""
-        low, high = int(numbers.min()), int(numbers.max())
-        starts = np.flatnonzero(self.check == -1)[:tries]
-        bases = np.append(starts - low, max(len(self.check) - low, 0))
-        self.grow(int(bases.max()) + high + 1)
-        base = -1
-        for i in range(0, len(bases), 32):
-            some = bases[i : i + 32]
-            good = np.flatnonzero((self.check[some[:, None] + numbers] == -1).all(1))
+        low, end = int(numbers.min()), len(self.check)
+        free = np.flatnonzero(self.check[self.free : self.free + WINDOW] == -1)[:tries] + self.free
+        self.free = int(free[0]) if len(free) else min(self.free + WINDOW, end)
+        base = end - low
+        for i in range(0, len(free), 32):
+            some = free[i : i + 32] - low
+            to = some[:, None] + numbers
+            good = np.flatnonzero(((to >= end) | (self.check[np.minimum(to, end - 1)] == -1)).all(1))
             if len(good):
                 base = int(some[good[0]])
                 break
+        self.grow(base + int(numbers.max()) + 1)
         self.base[parent] = base
         self.check[base + numbers] = parent
         return base + numbers
