@@ -5,12 +5,13 @@
    sorted list a chunk. A partition merges its lists into a Misra-Gries summary whose capacity exceeds the
    partition's mass divided by the threshold, so an n-gram that reaches the threshold always survives.
    What survives goes back to the chunks that hold it.
-3. Every chunk counts the n-grams of its surviving hashes by their words. A hash may stand for several n-grams
-   or survive too often: that costs work and changes no result, as these counts are exact.
+3. Every chunk counts the n-grams of its surviving hashes by their words, and hash partitions add up the counts.
+   A hash may stand for several n-grams or survive too often: that costs work and changes no result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -257,21 +258,25 @@ def surviving(lists: DataFrame, least: int) -> DataFrame:
     return lists.groupBy("partition").applyInArrow(run, "chunk long, keys binary")
 
 
-def exact_counts(chunks: DataFrame, keys: DataFrame, longest: int, key_bits: int) -> DataFrame:
-    """lang, phrase, words, f of every chunk's n-grams with a surviving hash, told apart by their words."""
-    shift = np.uint64(64 - key_bits)
+def chunk_counts(chunks: DataFrame, keys: DataFrame, longest: int, key_bits: int, partition_bits: int) -> DataFrame:
+    """Counts of every chunk's n-grams with a surviving hash, told apart by their words: partition, lang, phrases, counts.
+
+    One row a chunk, language and hash partition; phrases are a compressed list with a line for each.
+    """
+    shift, partition = np.uint64(64 - key_bits), np.uint64(64 - partition_bits)
 
     def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
-        langs, phrases, lengths, counts = [], [], [], []
+        out: dict[str, list] = {"partition": [], "lang": [], "phrases": [], "counts": []}
         wanted = np.sort(np.concatenate([np.zeros(0, np.uint64), *map(unpack_sorted, lists.column("keys").to_pylist())]))
         known = words_of_worker()
+        compress = zstandard.ZstdCompressor(level=1).compress
         for lang, some in by_lang(texts).items() if len(wanted) else ():
             x = known.numbered(some)
             word = known.words.__getitem__
+            phrases, counts, places = [], [], []
             for n, at, value in grams(known, x, lang, longest):
-                at = at[positions(wanted, value >> shift)[1]]
-                if not len(at):
-                    continue
+                there = positions(wanted, value >> shift)[1]
+                at, value = at[there], value[there]
                 rows = [x[at + j] for j in range(n)]
                 order = np.lexsort(rows[::-1])
                 rows = [r[order] for r in rows]
@@ -279,16 +284,45 @@ def exact_counts(chunks: DataFrame, keys: DataFrame, longest: int, key_bits: int
                 new[1:] = np.logical_or.reduce([r[1:] != r[:-1] for r in rows])
                 first = np.flatnonzero(new)
                 counts.append(np.diff(np.append(first, len(at))))
+                places.append((value[order][first] >> partition).astype(np.int64))
                 phrases += map(b" ".join, zip(*(map(word, r[first].tolist()) for r in rows)))
-                lengths.append(np.full(len(first), n, np.int32))
-                langs += [lang] * len(first)
+            place, count = np.concatenate(places), np.concatenate(counts)
+            order = np.argsort(place, kind="stable")
+            place, count, by = place[order], count[order], order.tolist()
+            cuts = [*np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1]))).tolist(), len(place)] if len(place) else [0]
+            for a, b in zip(cuts, cuts[1:]):
+                out["partition"].append(int(place[a]))
+                out["lang"].append(lang)
+                out["phrases"].append(compress(b"\n".join([phrases[i] for i in by[a:b]])))
+                out["counts"].append(pack(count[a:b]))
+        kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary())
+        return pa.table({name: pa.array(column, kind) for (name, column), kind in zip(out.items(), kinds)})
+
+    found = chunks.select("chunk", "lang", "text").groupBy("chunk").cogroup(keys.groupBy("chunk"))
+    return found.applyInArrow(run, "partition long, lang string, phrases binary, counts binary")
+
+
+def exact_counts(lists: DataFrame, least: int) -> DataFrame:
+    """lang, phrase, words, f of the phrases that reach ``least``, a hash partition at a time.
+
+    What a partition holds at once is bounded by its survivors, not by how often they are met.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        total: dict[str, Counter] = {}
+        open_list = zstandard.ZstdDecompressor().decompress
+        for lang, phrases, counts in zip(*(table.column(n).to_pylist() for n in ("lang", "phrases", "counts"))):
+            own = total.setdefault(lang, Counter())
+            for phrase, n in zip(open_list(phrases).split(b"\n"), unpack(counts).tolist()):
+                own[phrase] += n
+        rows = [(lang, phrase, phrase.count(b" ") + 1, n) for lang, own in total.items() for phrase, n in own.items() if n >= least]
+        langs, phrases, words, counts = zip(*rows) if rows else ((),) * 4
         return pa.table({
             "lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-            "words": np.concatenate([np.zeros(0, np.int32), *lengths]), "f": np.concatenate([np.zeros(0, np.int64), *counts]),
+            "words": pa.array(words, pa.int32()), "f": pa.array(counts, pa.int64()),
         })
 
-    found = chunks.select("chunk", "lang", "text").groupBy("chunk").cogroup(keys.groupBy("chunk"))
-    return found.applyInArrow(run, "lang string, phrase string, words int, f long")
+    return lists.groupBy("partition").applyInArrow(run, "lang string, phrase string, words int, f long")
 
 
 def wide(x: Column) -> Column:
@@ -310,12 +344,11 @@ class Collocations:
         chunks = written(parts(documents, text, lang, chunk))
         self.sizes = chunks.groupBy("lang").agg(F.sum("words").alias("n"))
         mass = longest * (self.sizes.agg(F.sum("n")).first()[0] or 1)
-        partition_bits = (max(mass // PARTITION_MASS, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
+        partition_bits = (max(mass // PARTITION_MASS, int(spark.conf.get("spark.sql.shuffle.partitions")), 2) - 1).bit_length()
         key_bits = min(64, max(mass.bit_length() + SPARE_BITS, partition_bits + 1))
         keys = surviving(chunk_lists(chunks, longest, key_bits, partition_bits), least)
-        found = exact_counts(chunks, keys, longest, key_bits)
         #: lang, phrase, words, f of every word and phrase that reaches ``least``.
-        self.counts = written(found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
+        self.counts = written(exact_counts(chunk_counts(chunks, keys, longest, key_bits, partition_bits), least))
 
     def candidates(self) -> DataFrame:
         """Phrases of two words or more: lang, phrase, words, a, l, r, score of their weakest cut."""
