@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -18,24 +20,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registry_spark.llm.tasks import Numbers, byte_texts, chunked, loaded, numbered_words, ragged, record, segments, ship
-from registry_spark.llm.vocabulary import digest
+from registry_spark.llm.vocabulary import MARKS, digest
 from registry_spark.sources.shared import written
 
 # Lengths above a capacity's share are large; groups of equal cardinality they are rounded up in. The
 # planner tries each pair and keeps the packing of fewest sequences; (1, 0) is best-fit alone.
 SCHEMES = ((8, 48), (4, 64), (8, 24), (1, 0))
 ROUNDS = 600
-WORDS = 400_000
+WORDS = 700_000
+# Words that the library gets as one text; the mark of a word's last token in its vocabulary.
+GROUP, WORD_END = 50, "</w>"
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library; every distinct word between ASCII white space once.
 
-    For tokenizers whose tokens never span white space and which drop it.
+    For tokenizers whose tokens never span white space and which drop it. Closing marks after an ASCII letter or
+    digit are words of their own, as they start a token there.
     """
 
     def __init__(self, library: Callable[[], tokenizers.Tokenizer]):
         self.tokenizer = library()
+        normalizer = self.tokenizer.normalizer
+        self.lower = normalizer is not None and normalizer.normalize_str("A") == "a"
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -45,25 +56,63 @@ class WordEncoder:
         self.ids = np.zeros(1 << 16, np.int32)
         self.end = 0
 
+    def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters only, many as one text: a word's last token is one that closes a word."""
+        flat, _ = self.each([" ".join(words[i : i + GROUP]) for i in range(0, len(words), GROUP)])
+        sizes = np.diff(np.flatnonzero(self.closes[flat]), prepend=-1)
+        return (flat, sizes) if len(sizes) == len(words) and sizes.sum() == len(flat) else self.each(words)
+
+    def keep(self, numbers: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        if self.end + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.end], np.zeros(self.end + 2 * len(flat), np.int32)))
+        self.ids[self.end : self.end + len(flat)] = flat
+        self.starts[numbers] = self.end + segments(sizes)[:-1]
+        self.sizes[numbers] = sizes
+        self.end += len(flat)
+
     def learn(self) -> None:
-        words = self.numbers.new()
-        for at in range(0, len(words), 10_000):
-            some = [w.decode() for w in words[at : at + 10_000]]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
-            if self.end + len(flat) > len(self.ids):
-                self.ids = np.concatenate((self.ids[: self.end], np.zeros(self.end + 2 * len(flat), np.int32)))
-            self.ids[self.end : self.end + len(flat)] = flat
-            self.starts = np.concatenate((self.starts, self.end + segments(sizes)[:-1]))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.end += len(flat)
+        """Ids of the words met since the last call."""
+        numbers, base = self.numbers, len(self.starts)
+        letters, others, made, at = ([], []), ([], []), ([], []), base
+        while new := numbers.new():
+            for word in new:
+                core = word.rstrip(MARKS)
+                if len(core) < len(word) and core[-1:].isalnum():
+                    made[0].append(at)
+                    made[1].append((numbers[core], numbers[word[len(core) :]]))
+                else:
+                    text = word.decode()
+                    plain = text.isalpha() and (text.isascii() or normalize("NFC", text).lower().isalpha())
+                    some = letters if plain else others
+                    some[0].append(at)
+                    some[1].append(text)
+                at += 1
+        self.starts = np.concatenate((self.starts, np.zeros(at - base, np.int64)))
+        self.sizes = np.concatenate((self.sizes, np.zeros(at - base, np.int64)))
+        if letters[0]:
+            self.keep(np.array(letters[0]), *self.together(letters[1]))
+        if others[0]:
+            self.keep(np.array(others[0]), *self.each(others[1]))
+        if made[0]:
+            parts = np.array(made[1])
+            sizes = self.sizes[parts]
+            self.keep(np.array(made[0]), self.ids[ragged(self.starts[parts].ravel(), sizes.ravel())], sizes.sum(1))
+
+    def plain(self, text: bytes) -> bytes:
+        """Lower case, where the tokenizer does that too and no special string is at stake."""
+        low = text.lower() if self.lower else text
+        return text if any(s in low for s in self.special) else low
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and where each text begins and the last ends."""
         if len(self.numbers) > WORDS:
             self.clear()
-        numbers, bounds = numbered_words(texts, self.numbers)
+        numbers, bounds = numbered_words(list(map(self.plain, texts)), self.numbers)
         self.learn()
         sizes = self.sizes[numbers]
         return self.ids[ragged(self.starts[numbers], sizes)], segments(sizes)[bounds]

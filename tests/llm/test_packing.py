@@ -23,6 +23,7 @@ def test_words_are_encoded_as_in_whole_texts(library):
     texts = [
         "", " ", "a\x0bb\x0cc\rd", "a b", "a ́b é ́", "<|endoftext|>x <|startoftext|> y<|endoftext|>", "ΑΣ ΑΣ. İ", "a\u0085b\x1cc d",
         "don't 'S it'll 12a", "日本 語　x", "x‍́ y", "A" * 3_000, "\U0001f642 ﬁ ǅ", "the the  the\tThe",
+        "Word word. WORD... İx. <|ENDOFTEXT|> K Å. x'. it's; <|endoftext|>abc. ;! 5. ½. ʼn ǰ Größe, ΑΣ.", "ก็ ह्न 𐐀 ꙮ",
     ]
     encoder = WordEncoder(lambda: library)
     for _ in range(2):
