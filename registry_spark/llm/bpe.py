@@ -16,6 +16,10 @@ from registry_spark.llm.tasks import arrow, byte_texts, chunked, loaded, record,
 from registry_spark.llm.vocabulary import Encoder, Vocabulary, digest
 
 
+# Distinct pieces of text a worker keeps with their ids.
+CAPACITY = 400_000
+
+
 class Codec:
     """Encoder and decoder for one tokenizer file; tables are built once per worker process."""
 
@@ -28,7 +32,7 @@ class Codec:
         return loaded("bpe vocabulary", self.key, lambda: Vocabulary(self.text.value))
 
     def encoder(self) -> Encoder:
-        return loaded("bpe encoder", self.key, lambda: Encoder(self.vocabulary().encode_chunks))
+        return loaded("bpe encoder", self.key, lambda: Encoder(self.vocabulary().encode_chunks, CAPACITY))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self.encoder().encode(texts)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.llm.hashing import joined
-from registry_spark.llm.tasks import Numbers, loaded, record, ship
+from registry_spark.llm.tasks import begin, Numbers, loaded, record, ship
 from registry_spark.sources.shared import written
 
 # Characters that end a piece; in the written texts BREAK stands for all of them.
@@ -57,6 +57,7 @@ def parts(documents: DataFrame, text: str, lang: str, chunk: int = CHUNK) -> Dat
     """Plain texts in chunks: chunk, lang, text, words. Texts without a word are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         number, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             rows = []
@@ -206,6 +207,7 @@ def chunk_lists(chunks: DataFrame, longest: int, key_bits: int, partition_bits:
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         chunk, held = None, {}
         for batch in batches:
             numbers = batch.column("chunk").to_numpy()
@@ -233,6 +235,7 @@ def surviving(lists: DataFrame, least: int) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
+        begin(__name__)
         rows = list(zip(table.column("chunk").to_pylist(), table.column("keys").to_pylist(), table.column("counts").to_pylist()))
         summary = MisraGries(sum(table.column("mass").to_pylist()) // least + 1)
         held, size = [], 0
@@ -266,6 +269,7 @@ def chunk_counts(chunks: DataFrame, keys: DataFrame, longest: int, key_bits: int
     shift, partition = np.uint64(64 - key_bits), np.uint64(64 - partition_bits)
 
     def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        begin(__name__)
         out: dict[str, list] = {"partition": [], "lang": [], "phrases": [], "counts": []}
         wanted = np.sort(np.concatenate([np.zeros(0, np.uint64), *map(unpack_sorted, lists.column("keys").to_pylist())]))
         known = words_of_worker()
@@ -309,6 +313,7 @@ def exact_counts(lists: DataFrame, least: int) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
+        begin(__name__)
         total: dict[str, Counter] = {}
         open_list = zstandard.ZstdDecompressor().decompress
         for lang, phrases, counts in zip(*(table.column(n).to_pylist() for n in ("lang", "phrases", "counts"))):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.llm.components import components
 from registry_spark.llm.hashing import joined, mixed
-from registry_spark.llm.tasks import Numbers, arrow, byte_texts, chunked, loaded, numbered_words, record, segments, ship
+from registry_spark.llm.tasks import begin, Numbers, arrow, byte_texts, chunked, loaded, numbered_words, record, segments, ship
 from registry_spark.sources.shared import written
 
 # A pair of similarity 0.8 misses every band with probability (1 - 0.8**5)**50 = 2e-9.
@@ -39,7 +39,7 @@ TILE = 256
 class Shingles:
     """Sets of hashed word shingles; the hash of each distinct word is worked out once."""
 
-    def __init__(self, words: int, capacity: int = 500_000):
+    def __init__(self, words: int, capacity: int = 250_000):
         self.words, self.capacity = words, capacity
         self.clear()
 
@@ -173,6 +173,7 @@ def sketched(documents: DataFrame, id: str, text: str, words: int) -> DataFrame:
     ship(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         row = TaskContext.get().partitionId() << 36
         known: set[bytes] = set()
         for batch in batches:
@@ -329,6 +330,7 @@ def cross_links(members: DataFrame, found: DataFrame, sets: DataFrame, percent:
     right = wide.select(*columns, every("lines").alias("line"), place("columns").alias("column"))
 
     def tile(a, b):
+        begin(__name__)
         x, y = tile_links(a, b, percent)
         return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 

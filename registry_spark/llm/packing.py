@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from registry_spark.llm.tasks import Numbers, byte_texts, chunked, loaded, numbered_words, ragged, record, segments, ship
+from registry_spark.llm.tasks import begin, Numbers, byte_texts, chunked, loaded, numbered_words, ragged, record, segments, ship
 from registry_spark.llm.vocabulary import MARKS, digest
 from registry_spark.sources.shared import written
 
@@ -135,6 +135,7 @@ def pieces(documents: DataFrame, path: str, *, end_id: int, capacity: int, id: s
         return tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         seen = np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:

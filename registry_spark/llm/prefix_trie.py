@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registry_spark.llm.tasks import SPACE, record, segments, ship
+from registry_spark.llm.tasks import SPACE, begin, record, segments, ship
 from registry_spark.sources.shared import written
 
 SEGMENT = 64
@@ -240,6 +240,7 @@ def shard_rows(distinct: DataFrame, turns: int = SHARD) -> DataFrame:
     order = ["block", "prev_hi", "prev_lo", "path"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             lengths = np.diff(batch.column("path").offsets.to_numpy()) + 1

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.llm.hashing import joined, mixed
-from registry_spark.llm.tasks import arrow, byte_texts, record, segments, ship
+from registry_spark.llm.tasks import begin, arrow, byte_texts, record, segments, ship
 from registry_spark.llm.token_files import file_system
 from registry_spark.sources.shared import shared_folder, written
 
@@ -153,6 +153,7 @@ def stored(rows: DataFrame, text: str, folder: str, size: int) -> DataFrame:
     names = [c for c in rows.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         known: dict[bytes, int] = {}
         copies: list[int] = []
         texts: list[bytes] = []
@@ -213,6 +214,7 @@ def met_elsewhere(packed: DataFrame, wide: bool) -> DataFrame:
     kind = np.uint64 if wide else np.uint32
 
     def sort_part(table):
+        begin(__name__)
         names = [np.frombuffer(x, kind) for x in table.column("names").to_pylist()]
         sizes = np.array([len(x) for x in names])
         often = np.concatenate([

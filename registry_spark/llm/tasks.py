@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -40,7 +42,10 @@ def arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Record
     """Run a generator of record batches over every batch of ``df``."""
     ship(df.sparkSession)
 
+    module = function.__module__
+
     def run(batches):
+        begin(module)
         for batch in batches:
             if batch.num_rows:
                 yield from function(batch)
@@ -94,20 +99,31 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - bounds[:-1], lengths) + np.arange(bounds[-1])
 
 
-_LOADED: dict[str, tuple[str, object]] = {}
+_LOADED: dict[str, tuple[str, object, str]] = {}
 
 
-def loaded(kind: str, key: str, make: Callable[[], object]):
-    """The worker process's object of a kind, kept between tasks; another key replaces it.
+def begin(module: str) -> None:
+    """At the start of a task: let go of what other modules keep in this worker, and give freed memory back.
 
-    The first word of a kind names the operator. Objects of other operators go, so that what a
-    worker holds does not add up over the steps of a pipeline.
+    What a worker holds thus does not add up over the steps of a pipeline, also over steps that keep nothing.
     """
-    operator = kind.split()[0]
-    for other in [k for k in _LOADED if k.split()[0] != operator or (k == kind and _LOADED[k][0] != key)]:
-        del _LOADED[other]
+    others = [k for k, (_, _, owner) in _LOADED.items() if owner != module]
+    for kind in others:
+        del _LOADED[kind]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def loaded(kind: str, key: str, make: Callable[[], object]):
+    """The worker process's object of a kind, kept between tasks of the module that makes it; another key replaces it."""
+    if kind in _LOADED and _LOADED[kind][0] != key:
+        del _LOADED[kind]
     if kind not in _LOADED:
-        _LOADED[kind] = (key, make())
+        _LOADED[kind] = (key, make(), make.__module__)
     return _LOADED[kind][1]
 
 

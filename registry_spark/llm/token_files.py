@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_spark.llm.tasks import byte_texts, chunked, loaded, ragged, record, segments, ship
+from registry_spark.llm.tasks import begin, byte_texts, chunked, loaded, ragged, record, segments, ship
 from registry_spark.llm.vocabulary import Encoder, Vocabulary, digest
 
 # Fixed values of the public formats.
@@ -208,6 +208,7 @@ def write_token_files(
     encoder = LibraryEncoder(ship(documents.sparkSession), path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         part = TaskContext.get().partitionId()
         writer = out = None
         name = f"part-{part:07d}-{uuid.uuid4().hex}.ids.zst"
