@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry_spark.llm.components import components
@@ -218,23 +218,36 @@ def band_rows(rows: DataFrame) -> DataFrame:
 
 
 def candidate_sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """Full sets and registers of the wanted rows (row, key, least, centre), from their whole texts, beside row, least and centre."""
+    """Full sets and registers of the wanted rows (row, key, least, centre), from their whole texts, beside row, least and centre.
+
+    A key is wanted once, but a row repeated k times meets it k times: a task takes the first and leaves the others.
+    """
     name = uuid.uuid4().hex
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in chunked(batch):
-            shingles = loaded("shingles", f"{name} {words}", lambda: Shingles(words))
-            flat, bounds = shingles.sets(byte_texts(part))
-            registers = sketch(flat, bounds)
-            yield record(
-                row=part.column(0), least=part.column(1), centre=part.column(2), n=np.diff(bounds),
-                set=pa.array([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-                registers=pa.array([r.tobytes() for r in registers], pa.binary()),
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
+        seen: set[int] = set()
+        for batch in batches:
+            first = []
+            for k, row in enumerate(batch.column(0).to_pylist()):
+                if row not in seen:
+                    seen.add(row)
+                    first.append(k)
+            if not first:
+                continue
+            for part in chunked(batch if len(first) == batch.num_rows else batch.take(pa.array(first))):
+                shingles = loaded("shingles", f"{name} {words}", lambda: Shingles(words))
+                flat, bounds = shingles.sets(byte_texts(part))
+                registers = sketch(flat, bounds)
+                yield record(
+                    row=part.column(0), least=part.column(1), centre=part.column(2), n=np.diff(bounds),
+                    set=pa.array([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                    registers=pa.array([r.tobytes() for r in registers], pa.binary()),
+                )
 
     texts = documents.select(key_of(F.col(f"`{id}`"), F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
     found = texts.join(wanted, "key")
-    return arrow(found.select("row", "least", "centre", "text"), run, "row long, least long, centre boolean, n long, set binary, registers binary")
+    return found.select("row", "least", "centre", "text").mapInArrow(run, "row long, least long, centre boolean, n long, set binary, registers binary")
 
 
 def confirmed(sets: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +360,8 @@ def classes(documents: DataFrame, *, id: str = "doc_id", text: str = "text", wor
     rows = written(sketched(documents, id, text, words))
     groups = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("first"))
     equal = rows.join(groups, "digest").filter("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
-    all_bands = band_rows(rows)
+    # Equal sets stand for each other: only the first row of each takes part in what follows.
+    all_bands = band_rows(rows.filter("bands IS NOT NULL").join(groups.select(F.col("first").alias("row")), "row", "left_semi"))
     shared = all_bands.groupBy("band").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     members = written(all_bands.join(shared.drop("rows"), "band"))
     stars = members.groupBy("row").agg(F.min("least").alias("least"))
@@ -381,8 +395,14 @@ def near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "te
 def one_of_each(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """Documents, all columns, with one row left of each component: one with the smallest id."""
     found = classes(documents, id=id, text=text, words=words, percent=percent).filter(F.col("id").eqNullSafe(F.col("component_id")))
-    best = found.groupBy("component").agg(F.min(F.struct("row", "key")).alias("best")).select(F.col("best.key").alias("__key"))
-    keyed = documents.withColumn("__key", key_of(F.col(f"`{id}`"), F.col(f"`{text}`"))).join(best, "__key", "left_semi")
-    # Rows equal in id and text; partitioned and sorted by the join already.
-    number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return keyed.withColumn("__number", number).filter("__number = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+    best = found.groupBy("component").agg(F.min(F.struct("row", "key")).alias("best")).select(F.col("best.key").alias("key"))
+    copies = found.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    best = written(best.join(copies, "key"))
+    # Own names by position, so that no column of the documents can clash; as they were at the end.
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    place = {c: n for c, n in zip(documents.columns, names)}
+    keyed = documents.toDF(*names).withColumn("key", key_of(F.col(place[id]), F.col(place[text])))
+    alone = keyed.join(best.filter("copies = 1"), "key", "left_semi")
+    # Rows equal in id and text are reduced to one on the map side already.
+    repeated = keyed.join(best.filter("copies > 1"), "key", "left_semi").dropDuplicates(["key"])
+    return alone.unionByName(repeated).select(*names).toDF(*documents.columns)

@@ -11,9 +11,10 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 # Columns after the first five clash with names that operators use or return.
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, kept string, score int, id string, `row` int, "
-    "word string, n_tokens string, size string, hash int, __text string, bucket int, key int"
+    "word string, n_tokens string, size string, hash int, __text string, bucket int, key int, "
+    "__key int, __number int, __copy int, __id int, __hash int, __times int, component long, part long, times int"
 )
-EXTRA = ("x", 1, "i", 2, "w", "n", "s", 3, "t", 4, 5)
+EXTRA = ("x", 1, "i", 2, "w", "n", "s", 3, "t", 4, 5, *range(6, 15))
 
 
 @pytest.fixture

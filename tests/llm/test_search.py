@@ -209,3 +209,25 @@ def test_repeats_odd_documents(documents, odd_rows):
     left = {r["doc_id"]: r["left"] for r in found.result(with_text=True).collect()}
     assert left[9] == "" and left[8] == "word" and left[1] == ""
     assert Repeats(documents([])).result().collect() == []
+
+
+def test_a_row_repeated_often_is_one_set(documents, monkeypatch):
+    """Copies of a row, and equal texts of other ids, neither multiply the full sets nor the comparisons."""
+    from registry_spark.llm import near_duplicates as module
+
+    random.seed(4)
+    words = [f"w{i}" for i in range(300)]
+    base = random.choices(words, k=60)
+    near = [*base[:-2], "other", "end"]
+    rows = [(7, " ".join(base), "en", "a")] * 600 + [(1000 + i, " ".join(base), "en", "b") for i in range(300)] + [(2000, " ".join(near), "en", "b")]
+    rows += [(3000 + i, " ".join(random.choices(words, k=40)), "de", "c") for i in range(40)]
+    sizes = []
+    confirm = module.confirmed
+    monkeypatch.setattr(module, "confirmed", lambda sets, percent: sizes.append(sets.count()) or confirm(sets, percent))
+    frame = documents(rows).repartition(8)
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(frame, words=2, percent=80).collect()}
+    assert got == {(r[0], 7 if r[0] <= 2000 else r[0]) for r in rows}
+    assert sizes == [2]
+    left = one_of_each(frame, words=2, percent=80)
+    assert left.columns == frame.columns and sorted(r["doc_id"] for r in left.select("doc_id").collect()) == sorted([7, *range(3000, 3040)])
+    assert {r["__key"] for r in left.select("__key").collect()} == {6}
