@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -381,14 +380,15 @@ def mixed_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "te
 
     Only the document at which a source's target is reached is taken in part. All columns stay.
     """
-    key = [F.col("__id").eqNullSafe(F.col(f"`{id}`")), F.col("__hash") == shuffle_key(id, text)]
+    # Own names by position, so that no column of the documents can clash; as they were at the end.
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    place = {c: n for c, n in zip(documents.columns, names)}
+    renamed = documents.toDF(*names)
     times = (
-        mix(documents, id=id, text=text, source=source).taken().filter("size > 0")
-        .groupBy(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
-        .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("__times"))
-        .filter("__times > 0")
-    )
-    out = documents.join(times, reduce(lambda a, b: a & b, key))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(
-        *[F.col(f"`{c}`") for c in documents.columns]
+        mix(renamed, id=place[id], text=place[text], source=place[source]).taken().filter("size > 0")
+        .groupBy("id", "hash")
+        .agg(F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("times"))
+        .filter("times > 0")
     )
+    out = renamed.join(times, F.col("id").eqNullSafe(F.col(place[id])) & (F.col("hash") == shuffle_key(place[id], place[text])))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*names).toDF(*documents.columns)
