@@ -108,3 +108,22 @@ def geocode_failures(df: DataFrame) -> DataFrame:
 def geocode_pending(df: DataFrame) -> DataFrame:
     """Queries to look up outside, each once."""
     return df.filter(F.col("geocode_status") == "pending").select("geocode_query").distinct()
+
+
+def merged_answers(cache: DataFrame, answers: DataFrame, *, order: str | None = None) -> tuple[DataFrame, bool]:
+    """What a cache lacks of landed answers, or the whole new cache (then True) where answers stand for cached ones.
+
+    Columns of both: query, result_lat, result_lon, result_type. A NULL latitude says that the place was not found.
+    Answers without a query are left out.
+    """
+    values = ["result_lat", "result_lon", "result_type"]
+    keys = [F.col(order)] if order else []
+    # Of answers that nothing else tells apart, one that found the place.
+    best = F.max(F.struct(*[k.alias("at") for k in keys], F.col("result_lat").isNotNull().alias("found"), *values)).alias("last")
+    landed = answers.filter(F.col("query").isNotNull()).groupBy("query").agg(best).select("query", *[F.col(f"last.{v}").alias(v) for v in values])
+    known = cache.select("query", F.lit(True).alias("known"), F.struct(*values).alias("old")).dropDuplicates(["query"])
+    changed = landed.join(known, "query", "left").filter(F.col("known").isNull() | ~F.struct(*values).eqNullSafe(F.col("old")))
+    fresh = changed.select("query", *values)
+    if changed.filter("known").isEmpty():
+        return fresh, False
+    return cache.join(fresh.select("query"), "query", "left_anti").select("query", *values).unionByName(fresh), True

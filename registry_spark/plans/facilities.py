@@ -17,16 +17,18 @@ from registry_spark.operators.coordinates import (
     fill_from_cache,
     geocode_failures,
     geocode_pending,
+    merged_answers,
 )
 from registry_spark.operators.identifiers import assign_uids, new_registry_rows
 from registry_spark.operators.merging import stamp
 from registry_spark.operators.profiles import quality_by_country, step_counters
 from registry_spark.operators.quality import clean_dates, flag_data_quality
 from registry_spark.operators.typing import count_rejects, enforce_schema
-from registry_spark.schema import FACILITY_FIELDS
+from registry_spark.schema import FACILITY_FIELDS, GEOCODE_CACHE, UID_REGISTRY
 from registry_spark.sources import lake, readers
 from registry_spark.sources.runlog import RunLog
 from registry_spark.sources.shared import written
+from registry_spark.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,10 @@ class LakePaths:
     def geocode_pending(self) -> str:
         return f"{self.root}/geocode_pending"
 
+    @property
+    def published(self) -> str:
+        return f"{self.root}/published"
+
     @property
     def reports(self) -> str:
         return f"{self.root}/reports"
@@ -99,18 +105,29 @@ def standardize_country(
 
 
 def register_new(
-    spark: SparkSession, facilities: DataFrame, path: str, created: dt.date, *, country: str = "iso", seen: Observation | None = None
+    spark: SparkSession, facilities: DataFrame, path: str, created: dt.date, *, country: str = "iso", seen: dict | None = None
 ) -> DataFrame:
-    """Append registry rows for new codes and return the registry as written.
+    """Add registry rows for new codes and return the registry as written.
 
     Identifiers are read back from the written table, never from the plan that
-    minted them, so a lost task or a second run cannot give a code another one.
-    ``seen`` counts the new rows.
+    minted them, so a lost task or a second run cannot give a code another one. The new rows are a version
+    of the registry; if another run has added one meanwhile, they are made again on top of that.
+    ``seen`` gets their number as ``minted``.
+    """
+    table = VersionedTable(spark, path, UID_REGISTRY)
+    minted = table.update(lambda registry: new_registry_rows(facilities, registry, created, country=country))
+    if seen is not None:
+        seen["minted"] = minted
+    return table.read()
+
+
+def land_answers(spark: SparkSession, answers: DataFrame, cache_path: str, *, order: str | None = None) -> int:
+    """Merge landed geocode answers into the cache; returns how many rows were written.
+
+    One answer a query: of several in ``answers`` the one with the largest ``order``, and a landed answer stands for
+    the cached one. Answers that say what the cache says write nothing, so landing a file twice changes nothing.
     """
-    registry = readers.read_uid_registry(spark, path)
-    new = new_registry_rows(facilities, registry, created, country=country)
-    lake.append_rows(new if seen is None else new.observe(seen, F.count(F.lit(1)).alias("minted")), path)
-    return readers.read_uid_registry(spark, path)
+    return VersionedTable(spark, cache_path, GEOCODE_CACHE).update(lambda cache: merged_answers(cache, answers, order=order))
 
 
 def run_facilities(
@@ -124,6 +141,7 @@ def run_facilities(
     run_date: dt.date | None = None,
     log: RunLog | None = None,
     cache_path: str | None = None,
+    answers: DataFrame | None = None,
     read_options: dict | None = None,
     **options,
 ) -> DataFrame:
@@ -131,11 +149,16 @@ def run_facilities(
 
     Each country is a job of its own: one whose input is missing, damaged or does not fit its
     mapping, or that has no code in ``codes``, is logged as FAILED, and the others go on. Its prepared
-    table is written once and read by the steps that follow. ``read_options`` go to the CSV reader.
+    table is written once and read by the steps that follow. ``read_options`` go to the CSV reader. Geocode
+    ``answers`` are merged into the cache first.
     """
     run_date = run_date or dt.date.today()
     log = log or RunLog(spark, paths.log)
     wanted = check_known(countries, sources)
+    if answers is not None:
+        if cache_path is None:
+            raise ValueError("answers need a cache_path to go to")
+        log.add("GLOBAL", "geocode_answers", "SUCCESS", {"landed": land_answers(spark, answers, cache_path)})
     if cache_path:
         options["cache"] = readers.read_geocode_cache(spark, cache_path)
     done = []
@@ -167,7 +190,7 @@ def run_country(
         standardize_country(raw, country, source, current_year=run_date.year, **options).withColumn("__iso", F.lit(iso))
     )
     log.add(country, "standardize", "SUCCESS", f"columns: {len(prepared.columns) - 1}")
-    minted, seen = Observation(f"minted {country}"), Observation(f"facilities {country}")
+    minted, seen = {}, Observation(f"facilities {country}")
     registry = register_new(spark, prepared, paths.registry, run_date, country="__iso", seen=minted)
     identified = assign_uids(prepared.drop("uid"), registry, country="__iso").drop("__iso")
     counters = [c for group in step_counters().values() for c in group]
@@ -175,7 +198,7 @@ def run_country(
     if not seen.get["rows"]:
         lake.empty_country(identified, paths.countries, title_of(country))
     rejects = {r["column_name"]: r["rejected"] for r in raw_rejects(raw, source).collect()}
-    log.add(country, "save", "SUCCESS", {**seen.get, **minted.get, "rejected": rejects})
+    log.add(country, "save", "SUCCESS", {**seen.get, **minted, "rejected": rejects})
     if "geocode_status" in prepared.columns:
         lake.append_rows(geocode_failures(prepared.drop("__iso")), paths.geocode_failures)
         lake.append_rows(geocode_pending(prepared), paths.geocode_pending)

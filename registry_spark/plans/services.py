@@ -14,6 +14,7 @@ from registry_spark.plans.facilities import LakePaths
 from registry_spark.schema import SERVICE_FIELDS
 from registry_spark.sources import lake, readers
 from registry_spark.sources.runlog import RunLog
+from registry_spark.sources.shared import written
 
 PIPELINE_VERSION = "2.0"
 
@@ -83,31 +84,43 @@ def run_services(
     feeds: dict[str, Feed] = FEEDS,
     table: str = "facility_services",
     log: RunLog | None = None,
+    read_options: dict | None = None,
+    crosswalk_options: dict | None = None,
     **options,
 ) -> DataFrame:
     """All service lists into one lake table; ``inputs`` maps ISO code to (list, crosswalk).
 
-    ``countries`` are ISO codes. A feed that cannot be read is logged and left out.
+    ``countries`` are ISO codes. Each feed is a job of its own: one that cannot be read or fails while it runs is
+    logged as FAILED and left out. The table is written aside, and takes the place of the last one only when it
+    holds every row of the feeds. ``read_options`` and ``crosswalk_options`` go to the readers of the two.
     """
     log = log or RunLog(spark, paths.log)
     registry = readers.read_uid_registry(spark, paths.registry)
-    frames = []
+    frames, rows = [], 0
     for iso, (list_path, crosswalk_path) in inputs.items():
         if countries is not None and iso not in countries:
             continue
         try:
-            raw = readers.read_service_list(spark, list_path)
-            crosswalk = readers.read_crosswalk(spark, crosswalk_path)
-            frames.append(standardize_services(
+            raw = readers.read_service_list(spark, list_path, **(read_options or {}))
+            crosswalk = readers.read_crosswalk(spark, crosswalk_path, **(crosswalk_options or {}))
+            done = written(standardize_services(
                 raw, iso, feeds[iso], crosswalk, registry, source_url=list_path, **options
             ))
-            log.add("GLOBAL", f"services {iso}", "SUCCESS")
+            n = done.count()
+            frames.append(done)
+            rows += n
+            log.add("GLOBAL", f"services {iso}", "SUCCESS", f"rows: {n}")
         except Exception as error:  # one feed must not stop the others
             log.add("GLOBAL", f"services {iso}", "FAILED", error)
+
+    def complete(files: DataFrame) -> None:
+        if files.count() != rows:
+            raise ValueError(f"{files.count()} rows written of {rows}")
+
     try:
         if not frames:
             raise ValueError("no service list could be read")
-        lake.replace_table(merge_services(frames), table, partition_by="country_iso")
+        lake.publish(merge_services(frames), table, paths.published, partition_by="country_iso", check=complete)
         lake.write_slim_services(spark.table(table), paths.slim_services)
         log.add("GLOBAL", "services", "SUCCESS", f"table: {table}")
     except Exception as error:

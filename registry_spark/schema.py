@@ -124,6 +124,12 @@ GEOCODE_CACHE = T.StructType([
     T.StructField("result_type", T.StringType()),
 ])
 
+PUBLISHED = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("published_at", T.StringType()),
+])
+
 RUN_LOG = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("country", T.StringType()),

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_spark.schema import SLIM_SERVICE_COLUMNS
+from registry_spark.schema import PUBLISHED, SLIM_SERVICE_COLUMNS
+from registry_spark.sources.versions import VersionedTable
 
 # Text as it is: a header, doubled quotes, blanks around values kept.
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -47,18 +50,50 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
 
 
 def point_table(spark: SparkSession, name: str, path: str) -> None:
-    """Replace a table by one over files that are already written: no second copy.
+    """Let a name stand for files that are already written: no second copy, one change of the catalog.
 
-    A table that has these columns already is moved to the files in one step, so that readers never miss it.
+    The name is a view over the files, replaced in one step whatever their columns, so readers never miss it.
+    A table of that name, as earlier releases left, is moved to the files if it has their columns, else dropped.
     """
-    columns = spark.read.parquet(path).schema.simpleString()
-    if spark.catalog.tableExists(name):
-        if spark.table(name).schema.simpleString() == columns:
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        if spark.table(name).schema.simpleString() == spark.read.parquet(path).schema.simpleString():
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+
+
+def publish(
+    df: DataFrame, name: str, root: str, *, partition_by: str | None = None, check: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
+    """Write ``df`` aside, let ``check`` look at the files, then point the name at them.
+
+    A job or check that fails leaves the name as it was. The list of versions below ``root`` tells the last
+    published files of every name, also to another session (``restore``).
+    """
+    spark = df.sparkSession
+    path = f"{root}/{name}/{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    if check is not None:
+        check(spark.read.parquet(path))
+    now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    VersionedTable(spark, f"{root}/versions", PUBLISHED).update(lambda _: spark.createDataFrame([(name, path, now)], PUBLISHED))
+    point_table(spark, name, path)
+    return spark.table(name)
+
+
+def restore(spark: SparkSession, root: str) -> list[str]:
+    """Point every published name at its last files, as after a restart of the catalog; files never published stay unseen."""
+    table = VersionedTable(spark, f"{root}/versions", PUBLISHED)
+    last = {}
+    for commit in table.commits():
+        for row in table.staged(commit["data"]).collect():  # one row a publication
+            last[row["name"]] = row["path"]
+    for name, path in last.items():
+        point_table(spark, name, path)
+    return sorted(last)
 
 
 def write_slim_services(df: DataFrame, path: str) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,8 @@ from registry_spark.operators.columns import trim_column_names
 from registry_spark.operators.crosswalks import trim_text
 from registry_spark.operators.generators import PAYLOAD
 from registry_spark.schema import GEOCODE_CACHE, UID_REGISTRY
+from registry_spark.sources.records import read_records
+from registry_spark.sources.versions import VersionedTable
 
 FLAG_COLUMNS = ("is_clinical", "is_malaria_related", "include_in_analysis", "needs_review")
 
@@ -23,16 +24,18 @@ def read_text_csv(
 
     Types come later from the declared schema, so codes such as ``000123`` or
     ``100000`` stay as written. ``multi_line`` allows line breaks inside quoted
-    fields but reads each file in one task; leave it off for large files. A record
+    fields; files are read in blocks all the same. A record
     with too few or too many fields, as a line break in a quoted field makes without it, stops
     the read; ``mode="PERMISSIVE"`` fills or cuts such records instead.
     """
+    if multi_line:
+        df = read_records(spark, path, encoding=encoding, mode=mode)
+        return df.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
     df = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("nullValue", "NA")
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", mode)
         .option("columnPruning", False)
         .csv(path)
@@ -58,9 +61,9 @@ def read_service_list(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_text_csv(spark, path, **options)
 
 
-def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
+def read_crosswalk(spark: SparkSession, path: str, **options) -> DataFrame:
     """Crosswalk CSV with trimmed text and boolean flags."""
-    df = trim_text(read_text_csv(spark, path))
+    df = trim_text(read_text_csv(spark, path, **options))
     flags = [c for c in FLAG_COLUMNS if c in df.columns]
     return df.withColumns({c: F.col(c).try_cast("boolean") for c in flags})
 
@@ -74,22 +77,13 @@ def read_payload(spark: SparkSession, path: str, *, multi_line: bool = True, sch
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet state table with a fixed schema; empty while nothing was written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_uid_registry(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Identifiers given out, as of a version (default: the last)."""
+    return VersionedTable(spark, path, UID_REGISTRY).read(version)
 
 
-def read_uid_registry(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, UID_REGISTRY)
-
-
-def read_geocode_cache(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, GEOCODE_CACHE)
+def read_geocode_cache(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return VersionedTable(spark, path, GEOCODE_CACHE).read(version)
 
 
 def read_standardized(spark: SparkSession, path: str) -> DataFrame:
