@@ -423,6 +423,23 @@ ORACLES = {
  source_service_name, {FLAG_COLUMNS} FROM ({SERVICES})""", "svc", "cw", "reg1"),
 }
 
+# State tables and runs, written and read back.
+ORACLES["registry_versions"] = sql("""SELECT CAST(v AS INTEGER) AS version, country, count(*) AS n_rows, count(*) AS n_uids
+ FROM (VALUES (0), (1), (2), (3)) AS versions(v) JOIN (SELECT country, -1 AS run FROM reg
+ UNION ALL SELECT n.country, n.run FROM (SELECT iso AS country, facility_code, min(source_row % 3) AS run FROM fac WHERE facility_code <> ''
+ GROUP BY iso, facility_code) n WHERE NOT EXISTS (SELECT 1 FROM reg r WHERE r.country = n.country AND r.facility_code = n.facility_code)) k
+ ON k.run < v GROUP BY v, country""", "fac", "reg")
+ORACLES["geocode_landed"] = sql(f"""SELECT source_row, geocode_query, CASE WHEN geocode_query IS NULL THEN NULL
+ WHEN known AND result_lat IS NULL THEN 'failed' ELSE 'cached' END AS geocode_status,
+ CASE WHEN geocode_query IS NOT NULL AND NOT known THEN length(geocode_query) + 0.5 WHEN result_lat IS NOT NULL THEN result_lat
+ ELSE latitude END::DOUBLE AS latitude, CASE WHEN geocode_query IS NOT NULL AND NOT known THEN 0.25
+ WHEN result_lat IS NOT NULL THEN result_lon ELSE longitude END::DOUBLE AS longitude,
+ CASE WHEN (geocode_query IS NOT NULL AND NOT known) OR result_lat IS NOT NULL THEN 'OSM' END AS coordinate_source
+ FROM ({GEOCODED})""", "coord", "cache")
+ORACLES["services_run"] = ORACLES["services_plan"]
+ORACLES["services_log"] = sql("""SELECT 'GLOBAL' AS country, 'services TZA' AS step, 'SUCCESS' AS status, count(*) AS n_rows FROM svc
+ UNION ALL SELECT 'GLOBAL', 'services KEN', 'FAILED', NULL UNION ALL SELECT 'GLOBAL', 'services', 'SUCCESS', NULL""", "svc")
+
 # The same results by way of a table of rules or a written copy.
 ORACLES["rule_table"] = f"""SELECT doc_id, {name_rule_columns('category', 'text')} FROM (SELECT doc_id, text,
  'clinical_services' AS category FROM documents)"""

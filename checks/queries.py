@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -606,6 +607,59 @@ def uid_registry(spark, d):
     return facility_plan.register_new(spark, t.raw_facilities(spark, d), path, RUN_DATE, country="iso")
 
 
+def registry_versions(spark, d):
+    """Registry after each of three runs on a third of the facilities: rows and identifiers of every version."""
+    path = shared_folder(spark)
+    lake.append_rows(t.registry(spark, d), path)
+    raw = t.raw_facilities(spark, d)
+    for k in range(3):
+        facility_plan.register_new(spark, raw.filter(F.col("source_row") % 3 == k), path, RUN_DATE, country="iso")
+    versions = [readers.read_uid_registry(spark, path, v).withColumn("version", F.lit(v)) for v in range(4)]
+    rows = reduce(lambda a, b: a.unionByName(b), versions)
+    return rows.groupBy("version", "country").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("uid").alias("n_uids"))
+
+
+def geocode_landed(spark, d):
+    """Pending queries written, answered, landed twice in the cache, and the rows filled from it."""
+    path = shared_folder(spark)
+    lake.append_rows(t.geocode_cache(spark, d), path)
+    rows = coordinates.coerce_coordinates(t.raw_facilities(spark, d))
+    pending = written(coordinates.geocode_pending(coordinates.fill_from_cache(rows, readers.read_geocode_cache(spark, path))))
+    answers = pending.select(
+        F.col("geocode_query").alias("query"), (F.length("geocode_query") + 0.5).alias("result_lat"),
+        F.lit(0.25).cast("double").alias("result_lon"), F.lit("place").alias("result_type"),
+    )
+    for _ in range(2):
+        facility_plan.land_answers(spark, answers, path)
+    out = coordinates.fill_from_cache(rows, readers.read_geocode_cache(spark, path))
+    return out.select("source_row", "geocode_query", "geocode_status", "latitude", "longitude", "coordinate_source")
+
+
+def run_feeds(spark, d):
+    """One feed that is there and one that is not, into the published table; where the run keeps its datasets."""
+    folder = shared_folder(spark)
+    paths = facility_plan.LakePaths(f"{folder}/lake")
+    lake.append_rows(t.registry(spark, d), paths.registry)
+    t.raw_services(spark, d).write.parquet(f"{folder}/list.parquet")
+    t.crosswalk(spark, d).write.options(**lake.CSV).csv(f"{folder}/crosswalk.csv")
+    inputs = {iso: (f"{folder}/{name}.parquet", f"{folder}/crosswalk.csv") for iso, name in (("TZA", "list"), ("KEN", "missing"))}
+    service_plan.run_services(spark, inputs, paths, feeds={"TZA": FEED, "KEN": FEED}, table="services_of_run", order_by=t.SERVICE_ORDER)
+    return paths
+
+
+def services_run(spark, d):
+    """Services published by a run in which a feed failed."""
+    run_feeds(spark, d)
+    return spark.table("services_of_run").withColumn("source_url", F.lit("services.csv"))
+
+
+def services_log(spark, d):
+    """What that run wrote into its log, with the rows of each feed."""
+    log = spark.read.parquet(run_feeds(spark, d).log)
+    rows = F.regexp_extract("message", r"^rows: (\d+)$", 1)
+    return log.select("country", "step", "status", rows.try_cast("bigint").alias("n_rows"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -622,5 +676,6 @@ QUERIES = {
         facilities_plan, services_plan, services_slim, csv_registry, lake_tables, uid_registry,
         uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
         rule_table, crosswalk_built, payload_prepared, wide_prepared,
+        registry_versions, geocode_landed, services_run, services_log,
     )
 }
