@@ -230,7 +230,7 @@ def export_lake(
     run_date = run_date or dt.date.today()
     log = log or RunLog(spark, paths.log)
     written = lake.write_snapshot(merged, paths.snapshots, run_date)
-    lake.point_table(spark, table, written)
+    lake.point_view(spark, table, written)
     log.add("GLOBAL", "data_lake", "SUCCESS", f"snapshot: {written}, table: {table}")
     log.flush()
     return quality_by_country(spark.table(table))

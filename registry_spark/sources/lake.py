@@ -50,17 +50,31 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
 
 
 def point_table(spark: SparkSession, name: str, path: str) -> None:
-    """Let a name stand for files that are already written: no second copy, one change of the catalog.
+    """Replace a table by one over files that are already written: no second copy.
 
-    The name is a view over the files, replaced in one step whatever their columns, so readers never miss it.
-    A table of that name, as earlier releases left, is moved to the files if it has their columns, else dropped.
+    A table that has these columns already is moved to the files in one step, so that readers never miss it;
+    ``point_view`` does that for any columns.
     """
-    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
-        if spark.table(name).schema.simpleString() == spark.read.parquet(path).schema.simpleString():
+    columns = spark.read.parquet(path).schema.simpleString()
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "VIEW":
+            point_view(spark, name, path)
+            return
+        if spark.table(name).schema.simpleString() == columns:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
+def point_view(spark: SparkSession, name: str, path: str) -> None:
+    """Let a name stand for files that are already written, whatever their columns, by one change of the catalog.
+
+    A table of that name, as earlier releases left, is dropped once.
+    """
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
 
 
@@ -80,7 +94,7 @@ def publish(
         check(spark.read.parquet(path))
     now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     VersionedTable(spark, f"{root}/versions", PUBLISHED).update(lambda _: spark.createDataFrame([(name, path, now)], PUBLISHED))
-    point_table(spark, name, path)
+    point_view(spark, name, path)
     return spark.table(name)
 
 
@@ -92,7 +106,7 @@ def restore(spark: SparkSession, root: str) -> list[str]:
         for row in table.staged(commit["data"]).collect():  # one row a publication
             last[row["name"]] = row["path"]
     for name, path in last.items():
-        point_table(spark, name, path)
+        point_view(spark, name, path)
     return sorted(last)
 
 

@@ -70,7 +70,9 @@ def records_of(lines: DataFrame) -> DataFrame:
     """Records as text, by the block and number of their first line: file, block, number, text."""
     in_block = Window.partitionBy("file", "block").orderBy("at")
     lines = lines.withColumn("number", F.sum(F.when(F.col("before"), 0).otherwise(1)).over(in_block))
-    alone = lines.filter("NOT before AND NOT after").select("file", "block", "number", F.col("line").alias("text"))
+    # Filters of later steps may be evaluated before this one, so lines that are no records have no text to parse.
+    whole = ~F.col("before") & ~F.col("after")
+    alone = lines.filter(whole).select("file", "block", "number", F.when(whole, F.col("line")).alias("text"))
     several = lines.filter("before OR after")
     # Lines at the head of a block that go on with a record of an earlier one: its last.
     blocks = lines.groupBy("file", "block").agg(F.max("number").alias("n"))
@@ -99,6 +101,7 @@ def read_records(spark: SparkSession, path: str, *, encoding: str = "UTF-8", mod
     records = records_of(lines).filter("NOT (block = 0 AND number = 1)")
     text = F.regexp_replace(F.regexp_replace("text", "\r\n", "\n"), "\r$", "")
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    options = {"mode": mode, "escape": '"', "nullValue": "NA"}
-    parsed = records.withColumn("text", text).filter("trim(text) <> ''").select(F.from_csv("text", schema, options).alias("record"))
+    options = {"mode": mode, "escape": '"', "nullValue": "NA", "columnPruning": "false"}
+    some = F.trim(text) != ""
+    parsed = records.filter(some).select(F.from_csv(F.when(some, text), schema, options).alias("record"))
     return parsed.select("record.*")
