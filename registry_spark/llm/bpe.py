@@ -17,7 +17,9 @@ from registry_spark.llm.vocabulary import Encoder, Vocabulary, digest
 
 
 # Distinct pieces of text a worker keeps with their ids.
-CAPACITY = 400_000
+CAPACITY = 250_000
+# Bytes of text that are encoded, decoded and hashed at once.
+PART = 2 << 20
 
 
 class Codec:
@@ -53,7 +55,7 @@ def encode_documents(documents: DataFrame, path: str, *, id: str = "doc_id", tex
     codec = Codec(documents.sparkSession, path)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for part in chunked(batch):
+        for part in chunked(batch, size=PART):
             ids, sizes = codec.encode(byte_texts(part))
             lists = pa.ListArray.from_arrays(pa.array(segments(sizes).astype(np.int32)), pa.array(ids))
             yield record(id=part.column(0), ids=lists)
@@ -83,7 +85,7 @@ def round_trip(documents: DataFrame, path: str, *, id: str = "doc_id", text: str
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         decimals = loaded("bpe decimals", codec.key, lambda: [str(i).encode() for i in range(codec.vocabulary().size)])
-        for part in chunked(batch):
+        for part in chunked(batch, size=PART):
             ids, sizes = codec.encode(byte_texts(part))
             texts = codec.decode(ids, sizes)
             numbers = iter(map(decimals.__getitem__, ids.tolist()))
