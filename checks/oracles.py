@@ -168,7 +168,26 @@ HOT = """SELECT f.facility_name, f.latitude, f.longitude, f.country, s.service_d
  JOIN (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN '7' ELSE facility_code END AS code FROM svc) s
  ON s.code = f.facility_code WHERE f.facility_code <> ''"""
 
+POLYGONS = """SELECT CAST(c_custkey AS VARCHAR) AS country, CAST(x0 + a AS DOUBLE) AS x1, CAST(y0 + b AS DOUBLE) AS y1,
+ CAST(x0 + c AS DOUBLE) AS x2, CAST(y0 + d AS DOUBLE) AS y2
+ FROM (SELECT c_custkey, c_custkey * 37 % 300 - 150 AS x0, c_custkey * 53 % 120 - 60 AS y0 FROM customer),
+ (VALUES (0, 0, 4, 0, FALSE), (4, 0, 4, 4, FALSE), (4, 4, 0, 4, FALSE), (0, 4, 0, 0, FALSE),
+ (1, 1, 1, 3, FALSE), (1, 3, 3, 3, FALSE), (3, 3, 3, 1, FALSE), (3, 1, 1, 1, FALSE),
+ (6, 0, 8, 0, TRUE), (8, 0, 7, 3, TRUE), (7, 3, 6, 0, TRUE)) AS e(a, b, c, d, island)
+ WHERE NOT island OR c_custkey % 5 = 0"""
+
+RING_PROBLEMS = """SELECT CAST(c_custkey AS VARCHAR) AS country, 0 AS part, 0 AS ring,
+ CASE c_custkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 5 ELSE 4 END AS n_points,
+ CAST(CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_crossings,
+ CASE c_custkey % 4 WHEN 0 THEN 'crossing' WHEN 1 THEN 'open' WHEN 3 THEN 'no_number' END AS problem FROM customer"""
+
 ORACLES = {
+    "polygon_edges": POLYGONS,
+    "ring_problems": RING_PROBLEMS,
+    "within_flag_geojson": sql(
+        f"""SELECT source_row, country, CASE WHEN latitude IS NULL OR longitude IS NULL THEN NULL
+ WHEN NOT covered THEN coordinate_valid ELSE coordinate_valid AND odd AND NOT touching END AS coordinate_valid
+ FROM ({INSIDE})""", "valid", "edges"),
     "uid_reuse_mint_any_code": sql(
         f"""SELECT f.source_row, f.iso, f.facility_code, coalesce(r.uid, m.uid) AS uid FROM {ANY_CODE.format(c="iso", t="fac")} f
  LEFT JOIN (SELECT country, facility_code, min_by(uid, (length(uid), uid)) AS uid FROM {ANY_REG} GROUP BY 1, 2) r

@@ -11,13 +11,13 @@ from checks import tables as t
 from registry_spark.countries import Feed, Source
 from registry_spark.functions.dates import date_of_iso_datetime
 from registry_spark.operators import boundaries, columns, coordinates, crosswalks, generators
-from registry_spark.operators import identifiers, lookups, merging, profiles, quality, typing
+from registry_spark.operators import identifiers, lookups, merging, profiles, quality, rings, typing
 from registry_spark.plans import extracts
 from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import reports
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
-from registry_spark.sources import lake, readers
+from registry_spark.sources import geometry, lake, readers
 from registry_spark.sources.shared import shared_folder, written
 from registry_spark.vocabularies import NAME_RULES
 
@@ -139,6 +139,30 @@ def within_flag(spark, d):
     return out.select("source_row", "country", "coordinate_valid")
 
 
+def within_flag_geojson(spark, d):
+    """Boundaries as a GeoJSON file, a feature a line."""
+    path = f"{shared_folder(spark)}/bounds"
+    t.boundary_features(spark).write.text(path)
+    edges = rings.edge_table(geometry.read_geojson(spark, path, "name", one_document=False))
+    out = boundaries.flag_within(valid(spark, d), edges)
+    return out.select("source_row", "country", "coordinate_valid")
+
+
+def polygon_edges(spark, d):
+    """Edges of polygons with holes and islands given as WKT and GeoJSON."""
+    texts = t.polygon_texts(spark, d)
+    wkt = geometry.wkt_rings(texts.filter("document NOT LIKE '{%'"), "document", keep=["country"])
+    features = geometry.geojson_features(texts.filter("document LIKE '{%'"), "document").select(
+        F.col("properties")["key"].alias("country"), "geometry")
+    return rings.edge_table(wkt.unionByName(geometry.geojson_rings(features, "geometry", keep=["country"])))
+
+
+def ring_problems(spark, d):
+    """What is wrong with each of many rings given as WKT."""
+    found = geometry.wkt_rings(t.ring_texts(spark, d), "document", keep=["country"])
+    return rings.ring_report(found, keep=["country"])
+
+
 def geocode_cache(spark, d):
     out = coordinates.fill_from_cache(
         coordinates.coerce_coordinates(t.raw_facilities(spark, d)), t.geocode_cache(spark, d))
@@ -676,6 +700,6 @@ QUERIES = {
         facilities_plan, services_plan, services_slim, csv_registry, lake_tables, uid_registry,
         uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
         rule_table, crosswalk_built, payload_prepared, wide_prepared,
-        registry_versions, geocode_landed, services_run, services_log,
+        registry_versions, geocode_landed, services_run, services_log, within_flag_geojson, polygon_edges, ring_problems,
     )
 }

@@ -7,6 +7,8 @@ projections for the other engine.
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,6 +178,62 @@ def boundary_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pa.table({n: [e[i] for e in EDGES] for i, n in enumerate(names)}))
 
 
+# Corners of polygons around (x0, y0), in whole degrees: outer ring, hole, a part of its own, and a ring that crosses itself.
+OUTER, HOLE = [(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (1, 3), (3, 3), (3, 1)]
+ISLAND, BOW = [(6, 0), (8, 0), (7, 3)], [(0, 0), (4, 4), (4, 0), (0, 4)]
+X0, Y0 = "(c_custkey * 37 % 300 - 150)", "(c_custkey * 53 % 120 - 60)"
+
+
+def _corner_text(corners: list, between: str, around: tuple[str, str], closed: bool = True) -> str:
+    """SQL of a ring's text from its corners."""
+    ring = [*corners, corners[0]] if closed else corners
+    points = f" || '{around[1]},{around[0]}' || ".join(
+        f"CAST({X0} + {x} AS STRING) || '{between}' || CAST({Y0} + {y} AS STRING)" for x, y in ring)
+    return f"'{around[0]}' || {points} || '{around[1]}'"
+
+
+def _wkt(corners: list, closed: bool = True) -> str:
+    return f"'(' || {_corner_text(corners, ' ', ('', ''), closed)} || ')'"
+
+
+def _json(corners: list) -> str:
+    return f"'[' || {_corner_text(corners, ',', ('[', ']'))} || ']'"
+
+
+def polygon_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon with a hole per customer, every fifth with an island, as WKT (even keys) or GeoJSON: country, document."""
+    hole, island = f"{_wkt(OUTER)} || ',' || {_wkt(HOLE)}", _wkt(ISLAND)
+    wkt = f"""CASE WHEN c_custkey % 5 = 0 THEN 'MULTIPOLYGON((' || {hole} || '),(' || {island} || '))'
+ ELSE 'SRID=4326;POLYGON (' || {hole} || ')' END"""
+    hole, island = f"{_json(OUTER)} || ',' || {_json(HOLE)}", _json(ISLAND)
+    geometry = f"""CASE WHEN c_custkey % 5 = 0 THEN '{{"type":"MultiPolygon","coordinates":[[' || {hole} || '],[' || {island} || ']]}}'
+ ELSE '{{"type":"Polygon","coordinates":[' || {hole} || ']}}' END"""
+    feature = f"""'{{"type":"Feature","properties":{{"key":"' || CAST(c_custkey AS STRING) || '"}},"geometry":' || {geometry} || '}}'"""
+    text = F.expr(f"CASE WHEN c_custkey % 2 = 0 THEN {wkt} ELSE {feature} END")
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("country"), text.alias("document"))
+
+
+def ring_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ring per customer as WKT: crossing itself, open, right, or with a coordinate that is no number: country, document."""
+    text = F.expr(f"""CASE c_custkey % 4 WHEN 0 THEN 'POLYGON(' || {_wkt(BOW)} || ')' WHEN 1 THEN 'POLYGON(' || {_wkt(OUTER, False)} || ')'
+ WHEN 2 THEN 'POLYGON(' || {_wkt(OUTER)} || ')' ELSE 'POLYGON((0 0, 4 x, 4 4, 0 0))' END""")
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("country"), text.alias("document"))
+
+
+def boundary_features(spark: SparkSession) -> DataFrame:
+    """The test boundaries as GeoJSON, one feature a ring: value."""
+    corners: dict[tuple, list] = {}
+    start = None
+    for country, x1, y1, x2, y2 in EDGES:
+        start = start or (country, x1, y1)
+        corners.setdefault(start, []).append([x1, y1])
+        start = None if (x2, y2) == start[1:] else start
+    features = [
+        {"type": "Feature", "properties": {"name": k[0]}, "geometry": {"type": "Polygon", "coordinates": [[*c, c[0]]]}} for k, c in corners.items()
+    ]
+    return spark.createDataFrame(pa.table({"value": [json.dumps(f) for f in features]}))
+
+
 def _with(name: str, body: str) -> str:
     return f"{name} AS ({body})"
 
