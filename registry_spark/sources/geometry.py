@@ -11,37 +11,33 @@ _OBJECT = "type string, coordinates string, geometry string, properties string,
 _WKT = r"(?is)^\s*(?:SRID\s*=\s*(\d+)\s*;)?\s*(MULTIPOLYGON|POLYGON)\s*(?:ZM|Z|M)?\s*(\(.*\)|EMPTY)\s*$"
 
 
-def _point(x: Column, y: Column, srid: Column) -> Column:
-    lon, lat = to_degrees(x, y, srid)
-    return F.struct(lon.alias("x"), lat.alias("y"))
+def _in_degrees(points: Column, srid: Column) -> Column:
+    """Points (x, y) of a reference system in degrees; a ring that is in degrees stays as it is."""
 
+    def moved(p: Column) -> Column:
+        lon, lat = to_degrees(p["x"], p["y"], srid)
+        return F.struct(lon.alias("x"), lat.alias("y"))
 
-def _rings(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Rows (keep, __parts) to one row per ring."""
-    parts = df.select(*keep, F.posexplode("__parts").alias("part", "__rings"))
-    return parts.select(*keep, "part", F.posexplode("__rings").alias("ring", "points"))
+    return F.when(srid == DEGREES, points).otherwise(F.transform(points, moved))
 
 
 def wkt_rings(df: DataFrame, geometry: str, *, keep: list[str], srid: int = DEGREES) -> DataFrame:
     """Rings of POLYGON and MULTIPOLYGON texts: ``keep``, part, ring (0: the outer one), points (x, y in degrees).
 
     A leading ``SRID=n;`` goes before ``srid``; heights are left out. NULL, EMPTY and other texts have no rings
-    (``unread`` lists them); a coordinate that is no number is NULL.
+    (``unread`` lists them); a coordinate that is no number is NULL. A text is cut into rings first, and points
+    are read ring by ring.
     """
     text = F.col(geometry)
     system = F.coalesce(F.regexp_extract(text, _WKT, 1).try_cast("int"), F.lit(srid))
-
-    def points(ring: Column) -> Column:
-        def point(pair: Column) -> Column:
-            xy = F.split(F.trim(F.regexp_replace(pair, r"\s+", " ")), " ")
-            return _point(F.get(xy, F.lit(0)).try_cast("double"), F.get(xy, F.lit(1)).try_cast("double"), F.col("__srid"))
-
-        return F.transform(F.split(ring, ","), point)
-
-    bodies = F.split(F.col("__body"), r"\)\s*\)\s*,\s*\(\s*\(")
-    parts = F.transform(bodies, lambda p: F.transform(F.regexp_extract_all(p, F.lit(r"([^\s(),][^()]*)"), F.lit(1)), points))
-    read = df.select(*keep, system.alias("__srid"), F.regexp_extract(text, _WKT, 3).alias("__body")).filter(F.col("__body").startswith("("))
-    return _rings(read.select(*keep, parts.alias("__parts")), keep)
+    bodies = F.split(F.regexp_extract(text, _WKT, 3), r"\)\s*\)\s*,\s*\(\s*\(")
+    parts = df.select(*keep, system.alias("__srid"), F.posexplode(bodies).alias("part", "__part"))
+    texts = parts.filter("__part <> '' AND upper(__part) <> 'EMPTY'").select(
+        *keep, "__srid", "part", F.posexplode(F.regexp_extract_all("__part", F.lit(r"([^\s(),][^()]*)"), F.lit(1))).alias("ring", "__ring"))
+    pairs = F.transform(F.split(F.regexp_replace("__ring", r"\s*,\s*", ","), ","), lambda p: F.split(p, r"\s+"))
+    points = F.transform(pairs, lambda xy: F.struct(
+        F.get(xy, F.lit(0)).try_cast("double").alias("x"), F.get(xy, F.lit(1)).try_cast("double").alias("y")))
+    return texts.select(*keep, "part", "ring", _in_degrees(points, F.col("__srid")).alias("points"))
 
 
 def geojson_features(df: DataFrame, document: str, *, keep: list[str] = ()) -> DataFrame:
@@ -67,10 +63,10 @@ def geojson_rings(df: DataFrame, geometry: str, *, keep: list[str], srid: int =
     many = F.from_json("__read.coordinates", "array<array<array<array<double>>>>")
     parts = F.when(F.col("__read.type") == "Polygon", one).when(F.col("__read.type") == "MultiPolygon", many)
 
-    def ring(points: Column) -> Column:
-        return F.transform(points, lambda p: _point(F.get(p, F.lit(0)), F.get(p, F.lit(1)), F.lit(srid)))
-
-    return _rings(rows.select(*keep, F.transform(parts, lambda p: F.transform(p, ring)).alias("__parts")), keep)
+    found = rows.select(*keep, F.posexplode(parts).alias("part", "__rings")).select(
+        *keep, "part", F.posexplode("__rings").alias("ring", "__points"))
+    points = F.transform("__points", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return found.select(*keep, "part", "ring", _in_degrees(points, F.lit(srid)).alias("points"))
 
 
 def unread(df: DataFrame, geometry: str) -> DataFrame:
