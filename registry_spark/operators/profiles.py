@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.functions.measures import count_true, percent_half_even, percent_half_up
+from registry_spark.operators.hot_keys import join_heavy
 
 
 def completeness(df: DataFrame, by: str | None = None) -> DataFrame:
@@ -107,23 +108,19 @@ def malaria_counts(df: DataFrame) -> DataFrame:
     return counts_by(malaria_services(df), "country_name", "service_group", "service_name", name="facilities")
 
 
-def facilities_with_services(facilities: DataFrame, services: DataFrame, *, salt: int = 8) -> DataFrame:
+def facilities_with_services(facilities: DataFrame, services: DataFrame, *, share: float | None = None) -> DataFrame:
     """Service rows joined to their facility by identifier, inner.
 
     Rows without an identifier go before the shuffle, and only the columns asked
     for travel. A facility may have several rows, so nothing bounds a broadcast
-    here. Services of one facility are dealt out by a hash of the row to ``salt`` parts, each of
-    which meets the facility's rows, so a facility with very many services is shared by several tasks.
+    here. Facilities that hold many of the services (``share`` of them, by default a shuffle partition's) are shared
+    by several tasks; only their rows are copied.
     """
     f = facilities.filter(F.col("uid").isNotNull()).select(
-        F.col("uid").alias("facility_uid"), "facility_name", "latitude", "longitude", "country",
-        F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__salt"),
+        F.col("uid").alias("facility_uid"), "facility_name", "latitude", "longitude", "country"
     )
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in services.columns])
-    s = services.filter(F.col("facility_uid").isNotNull()).select(
-        "facility_uid", "service_name", "service_domain", F.pmod(row, F.lit(salt)).cast("int").alias("__salt")
-    )
-    return s.join(f, ["facility_uid", "__salt"]).select(
+    s = services.select("facility_uid", "service_name", "service_domain")
+    return join_heavy(s, f, "facility_uid", share=share).select(
         "facility_name", "latitude", "longitude", "country", "service_name", "service_domain"
     )
 
