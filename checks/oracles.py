@@ -465,3 +465,27 @@ ORACLES["rule_table"] = f"""SELECT doc_id, {name_rule_columns('category', 'text'
 ORACLES["crosswalk_built"] = ORACLES["rule_names"]
 ORACLES["payload_prepared"] = ORACLES["payload_facilities"]
 ORACLES["wide_prepared"] = ORACLES["split_lists"]
+
+
+# Great circles by another way: the latitude at which an arc passes the point's meridian.
+WEST, EAST = "((x1 - v.longitude + 540) % 360 - 180)", "((x2 - v.longitude + 540) % 360 - 180)"
+PASSES = f"(({WEST} < 0) <> ({EAST} < 0) AND abs({WEST} - {EAST}) < 180)"
+PASSED = "degrees(atan((tan(radians(y1)) * sin(radians(x2 - {lon})) + tan(radians(y2)) * sin(radians({lon} - x1))) / sin(radians(x2 - x1))))"
+INSIDE_SPHERE = f"""SELECT v.*, v.country IN (SELECT country FROM {{edges}}) AS covered,
+ (SELECT count(*) FROM {{edges}} e WHERE e.country = v.country AND {PASSES}
+ AND {PASSED.format(lon='v.longitude')} > v.latitude) % 2 = 1 AS odd,
+ EXISTS (SELECT 1 FROM {{edges}} e WHERE e.country = v.country
+ AND ((x1 = v.longitude AND x2 = v.longitude AND v.latitude BETWEEN least(y1, y2) AND greatest(y1, y2))
+ OR (x1 <> x2 AND v.longitude BETWEEN least(x1, x2) AND greatest(x1, x2)
+ AND abs({PASSED.format(lon='v.longitude')} - v.latitude) < 1e-10))) AS touching FROM {{points}} v"""
+ORACLES["within_flag_sphere"] = sql(
+    f"""SELECT source_row, country, CASE WHEN latitude IS NULL OR longitude IS NULL THEN NULL
+ WHEN NOT covered THEN coordinate_valid ELSE coordinate_valid AND odd AND NOT touching END AS coordinate_valid
+ FROM ({INSIDE_SPHERE.format(edges='edges', points='valid')})""", "valid", "edges")
+WORLD = "(SELECT * FROM (VALUES " + ", ".join(f"('{e[0]}', " + ", ".join(f"{x}::DOUBLE" for x in e[1:]) + ")" for e in t.WORLD_EDGES) + ") w(country, x1, y1, x2, y2))"
+GLOBE = """(SELECT c_custkey, country, CAST(c_custkey * 7919 % 17951 AS DOUBLE) / 100 - 89.755 AS latitude,
+ CAST(c_custkey * 104729 % 35993 AS DOUBLE) / 100 - 179.965 AS longitude
+ FROM customer, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS country))"""
+ORACLES["within_sphere_world"] = f"""SELECT c_custkey, country, CASE WHEN covered THEN FALSE END AS on_boundary,
+ CASE WHEN covered THEN odd <> (country = 'C') END AS in_interior
+ FROM ({INSIDE_SPHERE.format(edges=WORLD, points=GLOBE)})"""

@@ -139,6 +139,17 @@ def within_flag(spark, d):
     return out.select("source_row", "country", "coordinate_valid")
 
 
+def within_flag_sphere(spark, d):
+    """Boundaries whose edges are arcs of great circles."""
+    out = boundaries.flag_within(valid(spark, d), t.boundary_edges(spark), surface="sphere")
+    return out.select("source_row", "country", "coordinate_valid")
+
+
+def within_sphere_world(spark, d):
+    """Points all over the globe against large polygons over the date line and the poles."""
+    return boundaries.spherical.with_verdict(t.world_points(spark, d), t.world_edges(spark)).drop("latitude", "longitude")
+
+
 def within_flag_geojson(spark, d):
     """Boundaries as a GeoJSON file, a feature a line."""
     path = f"{shared_folder(spark)}/bounds"
@@ -701,5 +712,6 @@ QUERIES = {
         uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
         rule_table, crosswalk_built, payload_prepared, wide_prepared,
         registry_versions, geocode_landed, services_run, services_log, within_flag_geojson, polygon_edges, ring_problems,
+        within_flag_sphere, within_sphere_world,
     )
 }

@@ -178,6 +178,30 @@ def boundary_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pa.table({n: [e[i] for e in EDGES] for i, n in enumerate(names)}))
 
 
+# Large test polygons: a northern edge that bulges far north, one with a hole across the date line, one around each pole.
+WORLD_EDGES = (
+    _ring("A", [(-60, 40), (60, 40), (60, 10), (-60, 10)])
+    + _ring("B", [(170, -20), (-170, -20), (-165, 5), (172, 8)])
+    + _ring("B", [(178, -10), (-178, -10), (-178, -5), (178, -5)])
+    + _ring("C", [(1, 70), (91, 65), (178, 70), (-90, 60)])
+    + _ring("D", [(-120, -50), (1, -45), (120, -55)])
+)
+
+
+def world_edges(spark: SparkSession) -> DataFrame:
+    names = ("country", "x1", "y1", "x2", "y2")
+    return spark.createDataFrame(pa.table({n: [e[i] for e in WORLD_EDGES] for i, n in enumerate(names)}))
+
+
+def world_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point for every customer and polygon, and for a country without one."""
+    return read(spark, sf_dir, "customer").select(
+        "c_custkey", F.explode(F.array(*map(F.lit, "ABCDE"))).alias("country"),
+        F.expr("CAST(c_custkey * 7919 % 17951 AS DOUBLE) / 100 - 89.755").alias("latitude"),
+        F.expr("CAST(c_custkey * 104729 % 35993 AS DOUBLE) / 100 - 179.965").alias("longitude"),
+    )
+
+
 # Corners of polygons around (x0, y0), in whole degrees: outer ring, hole, a part of its own, and a ring that crosses itself.
 OUTER, HOLE = [(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (1, 3), (3, 3), (3, 1)]
 ISLAND, BOW = [(6, 0), (8, 0), (7, 3)], [(0, 0), (4, 4), (4, 0), (0, 4)]

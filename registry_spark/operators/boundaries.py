@@ -1,7 +1,8 @@
 """Point in polygon against boundaries given as an edge table.
 
 Edges are rows ``(country, x1, y1, x2, y2)`` in degrees, all rings together: an
-even-odd test makes holes and several parts work alike. Edges are planar.
+even-odd test makes holes and several parts work alike. Edges are straight in degrees
+(``surface="plane"``) or arcs of great circles (``surface="sphere"``, see ``spherical``).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from registry_spark.operators import spherical
 from registry_spark.operators.coordinates import has_coordinates
 from registry_spark.operators.lookups import lookup_join
 
@@ -75,16 +77,22 @@ def with_verdict(
     }).drop("__band", "covered", "edges")
 
 
-def filter_within(df: DataFrame, edges: DataFrame, **options) -> DataFrame:
+def judged(df: DataFrame, edges: DataFrame, surface: str, options: dict) -> DataFrame:
+    if surface not in ("plane", "sphere"):
+        raise ValueError("surface must be 'plane' or 'sphere'")
+    return (with_verdict if surface == "plane" else spherical.with_verdict)(df, edges, **options)
+
+
+def filter_within(df: DataFrame, edges: DataFrame, *, surface: str = "plane", **options) -> DataFrame:
     """Keep plausible points inside or on their country's boundary.
 
     Rows of countries without a boundary stay as they are.
     """
     keep = F.col("in_interior").isNull() | (F.col("coordinate_valid") & (F.col("in_interior") | F.col("on_boundary")))
-    return with_verdict(df, edges, **options).filter(keep).drop("in_interior", "on_boundary")
+    return judged(df, edges, surface, options).filter(keep).drop("in_interior", "on_boundary")
 
 
-def flag_within(df: DataFrame, edges: DataFrame, **options) -> DataFrame:
+def flag_within(df: DataFrame, edges: DataFrame, *, surface: str = "plane", **options) -> DataFrame:
     """``coordinate_valid`` also FALSE unless strictly inside the boundary.
 
     An earlier FALSE stays; missing coordinates give NULL; countries without a
@@ -95,5 +103,4 @@ def flag_within(df: DataFrame, edges: DataFrame, **options) -> DataFrame:
         .when(F.col("in_interior").isNull(), F.col("coordinate_valid"))
         .otherwise(F.coalesce(F.col("coordinate_valid"), F.lit(True)) & F.col("in_interior"))
     )
-    judged = with_verdict(df, edges, **options)
-    return judged.withColumn("coordinate_valid", flag).drop("in_interior", "on_boundary")
+    return judged(df, edges, surface, options).withColumn("coordinate_valid", flag).drop("in_interior", "on_boundary")

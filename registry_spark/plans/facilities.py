@@ -82,6 +82,7 @@ def standardize_country(
     boxes: dict[str, Box] = BOXES,
     edges: DataFrame | None = None,
     outside: str = "drop",
+    surface: str = "sphere",
     cache: DataFrame | None = None,
     on_missing: str = "drop",
     current_year: int | None = None,
@@ -90,7 +91,7 @@ def standardize_country(
 
     With a geocode ``cache`` its coordinates are filled in before rows without
     coordinates are dropped. With boundary ``edges`` points outside are dropped, or
-    only flagged (``outside="flag"``).
+    only flagged (``outside="flag"``); edges are arcs of great circles, or straight in degrees with ``surface="plane"``.
     """
     if outside not in ("drop", "flag"):
         raise ValueError("outside must be 'drop' or 'flag'")
@@ -99,7 +100,7 @@ def standardize_country(
         df = fill_from_cache(coerce_coordinates(df), cache)
     df = clean_coordinates(df, on_missing=on_missing, boxes=boxes)
     if edges is not None:
-        df = (filter_within if outside == "drop" else flag_within)(df, edges)
+        df = (filter_within if outside == "drop" else flag_within)(df, edges, surface=surface)
     df = clean_dates(df, current_year=current_year)
     return flag_data_quality(enforce_schema(df, FACILITY_FIELDS).drop("data_quality_flag"))
 
