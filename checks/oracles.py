@@ -489,3 +489,30 @@ GLOBE = """(SELECT c_custkey, country, CAST(c_custkey * 7919 % 17951 AS DOUBLE)
 ORACLES["within_sphere_world"] = f"""SELECT c_custkey, country, CASE WHEN covered THEN FALSE END AS on_boundary,
  CASE WHEN covered THEN odd <> (country = 'C') END AS in_interior
  FROM ({INSIDE_SPHERE.format(edges=WORLD, points=GLOBE)})"""
+
+
+ORACLES["rules_indexed"] = """WITH rules AS (SELECT * FROM (
+ SELECT min(p_partkey) AS rule_id, '\\b' || p_name || ' (economy|large|promo).*#1[0-9]?$|^none ' || p_name AS pattern,
+ upper(p_name) AS domain FROM part GROUP BY p_name UNION ALL
+ SELECT min(p_partkey) + 1000000000, lower(p_brand) || '$', p_brand FROM part GROUP BY p_brand) WHERE rule_id % 5 <> 0),
+ named AS (SELECT p_partkey, p_type, concat_ws(' ', p_name, p_type, p_brand) AS name FROM part),
+ hits AS (SELECT n.name, min(r.rule_id) AS rule_id FROM (SELECT DISTINCT name FROM named) n
+ JOIN rules r ON regexp_matches(lower(n.name), r.pattern) GROUP BY 1)
+ SELECT p_partkey, p_type, name, coalesce(r.domain, CASE WHEN p_type <> 'ECONOMY' THEN lower(p_type) END) AS domain
+ FROM named LEFT JOIN hits h USING (name) LEFT JOIN rules r ON r.rule_id = h.rule_id"""
+ORACLES["facility_uid_join_bucketed"] = ORACLES["facility_uid_join"]
+CHANGED = """SELECT country, facility_name, facility_code, admin1, CASE WHEN country <> 'Kenya' THEN latitude END AS latitude,
+ CASE WHEN country = 'Kenya' THEN 'unknown' ELSE data_quality_flag END AS data_quality_flag FROM quality"""
+ORACLES["stored_quality"] = sql(
+    f"""SELECT country, coalesce(data_quality_flag, '(null)') AS data_quality_flag, count(*) AS n_facilities,
+ round({percent('count(*)', 'sum(count(*)) OVER (PARTITION BY country)')}, 1) AS pct_of_country
+ FROM ({CHANGED}) GROUP BY 1, 2""", "quality")
+ORACLES["stored_completeness"] = sql(
+    " UNION ALL ".join(
+        f"""SELECT country, '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows,
+ round_even(100.0::DOUBLE - round_even({percent(f'count(*) - count({c})', 'count(*)')}, 1), 1) AS pct_non_null
+ FROM ({CHANGED}) GROUP BY country""" for c in ("facility_name", "facility_code", "admin1", "latitude")), "quality")
+ORACLES["distinct_sketches"] = sql(
+    " UNION ALL ".join(
+        f"SELECT country, '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, TRUE AS within FROM fac GROUP BY country"
+        for c in ("facility_name", "admin1")), "fac")

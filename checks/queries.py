@@ -11,7 +11,7 @@ from checks import tables as t
 from registry_spark.countries import Feed, Source
 from registry_spark.functions.dates import date_of_iso_datetime
 from registry_spark.operators import boundaries, columns, coordinates, crosswalks, generators
-from registry_spark.operators import identifiers, lookups, merging, profiles, quality, rings, typing
+from registry_spark.operators import identifiers, lookups, merging, partials, profiles, quality, rings, rule_index, typing
 from registry_spark.plans import extracts
 from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import reports
@@ -289,6 +289,16 @@ def facility_uid_join(spark, d):
     return out.select(*t.SERVICE_ORDER, "facility_code", "country_iso", "facility_uid")
 
 
+def facility_uid_join_bucketed(spark, d):
+    """Identifiers from a registry kept in buckets, and from the rows given out since it was written."""
+    known = t.registry(spark, d).withColumn("late", F.expr("created_date >= DATE'2024-11-01'"))
+    base = lake.bucketed_table(known.filter("NOT late").drop("late"), "uid_registry_bucketed", ["country", "facility_code"],
+                               int(spark.conf.get("spark.sql.shuffle.partitions")), f"{shared_folder(spark)}/registry")
+    out = identifiers.assign_uids_layered(
+        t.raw_services(spark, d), base, known.filter("late").drop("late"), country="country_iso", name="facility_uid")
+    return out.select(*t.SERVICE_ORDER, "facility_code", "country_iso", "facility_uid")
+
+
 def facility_uid_join_skewed(spark, d):
     """The same join on the path for lookups too large to broadcast."""
     out = identifiers.assign_uids(
@@ -385,6 +395,20 @@ def rule_table(spark, d):
     return out.select("doc_id", "service_domain", "service_group", "is_clinical", "include_in_analysis")
 
 
+def rules_indexed(spark, d):
+    """Rules that the data give, one a name and one a brand, looked up by their fragments."""
+    part = t.read(spark, d, "part")
+    by_name = part.groupBy("p_name").agg(F.min("p_partkey").alias("rule_id")).select(
+        "rule_id", F.concat(F.lit(r"\b"), "p_name", F.lit(" (economy|large|promo).*#1[0-9]?$|^none "), "p_name").alias("pattern"),
+        F.upper("p_name").alias("domain"))
+    by_brand = part.groupBy("p_brand").agg((F.min("p_partkey") + 1_000_000_000).alias("rule_id")).select(
+        "rule_id", F.concat(F.lower("p_brand"), F.lit("$")).alias("pattern"), F.col("p_brand").alias("domain"))
+    rules = by_name.unionByName(by_brand).filter("rule_id % 5 <> 0")
+    named = part.select("p_partkey", "p_type", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("name"))
+    defaults = part.select("p_type").distinct().filter("p_type <> 'ECONOMY'").withColumn("domain", F.lower("p_type"))
+    return rule_index.with_rule_table(named, "name", rules, defaults=defaults, on="p_type")
+
+
 def crosswalk_built(spark, d):
     """Crosswalk of the service list's vocabulary, written and read back."""
     services = t.read(spark, d, "part").select(
@@ -635,6 +659,41 @@ def run_report(spark, d):
     return spark.read.parquet(f"{folder}/quality")
 
 
+def counted_lake(spark, d):
+    """Facilities by country with their counters, of which one country is replaced by changed rows; where they are."""
+    root = shared_folder(spark)
+    fac = flagged(spark, d).select("source_row", "facility_name", "facility_code", "admin1", "latitude", "data_quality_flag", "country")
+    schema = fac.schema
+    lake.write_country_tables(fac, f"{root}/countries")
+    counters = partials.partial_counters(
+        spark.read.schema(schema).parquet(f"{root}/countries"), ["country", "data_quality_flag"], distinct=["facility_name", "admin1"])
+    lake.write_country_tables(counters, f"{root}/counters")
+    changed = fac.filter("country = 'Kenya'").withColumn("data_quality_flag", F.lit("unknown")).withColumn("latitude", F.expr("nullif(latitude, latitude)"))
+    lake.write_country_tables(changed, f"{root}/countries")
+    facility_plan.write_counters(spark.read.schema(schema).parquet(f"{root}/countries"), f"{root}/counters", "Kenya")
+    return root
+
+
+def stored_quality(spark, d):
+    """Quality by country from the stored counters alone."""
+    return reports.stored_reports(spark, f"{counted_lake(spark, d)}/counters")["quality"]
+
+
+def stored_completeness(spark, d):
+    return reports.stored_reports(spark, f"{counted_lake(spark, d)}/counters")["completeness"].filter("column_name <> 'source_row'")
+
+
+def distinct_sketches(spark, d):
+    """Distinct names and districts per country: exact, and whether merged sketches are within 5 % of that."""
+    fac = flagged(spark, d).select("source_row", "facility_name", "admin1", "country")
+    by_part = partials.partial_counters(fac.withColumn("part", F.col("source_row") % 7), ["country", "part"], distinct=["facility_name", "admin1"])
+    guessed = partials.distinct_from(written(by_part), "country")
+    exact = fac.groupBy("country").agg(F.count_distinct("facility_name").alias("facility_name"), F.count_distinct("admin1").alias("admin1"))
+    exact = exact.unpivot("country", ["facility_name", "admin1"], "column_name", "n_exact")
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.05 * F.col("n_exact")
+    return exact.join(guessed, ["country", "column_name"]).select("country", "column_name", "n_exact", near.alias("within"))
+
+
 def uid_registry(spark, d):
     """Registry on disk: known codes appended first, then the new ones, then read as written."""
     path = shared_folder(spark)
@@ -712,6 +771,7 @@ QUERIES = {
         uid_reuse_mint_any_code, services_plan_large, within_flag_large, facility_service_hot, services_table, run_report,
         rule_table, crosswalk_built, payload_prepared, wide_prepared,
         registry_versions, geocode_landed, services_run, services_log, within_flag_geojson, polygon_edges, ring_problems,
-        within_flag_sphere, within_sphere_world,
+        within_flag_sphere, within_sphere_world, rules_indexed, facility_uid_join_bucketed, stored_quality,
+        stored_completeness, distinct_sketches,
     )
 }

@@ -82,6 +82,23 @@ def assign_uids(
     )
 
 
+def assign_uids_layered(
+    facilities: DataFrame,
+    base: DataFrame,
+    recent: DataFrame,
+    *,
+    country: str = "iso",
+    code: str = "facility_code",
+    name: str = "uid",
+) -> DataFrame:
+    """As ``assign_uids`` with the union of both: ``base`` as a table bucketed by (country, facility_code), of which
+    nothing is shuffled, and ``recent``, the rows given out since. A code's identifier in ``base`` came first.
+    """
+    known = assign_uids(facilities, base, country=country, code=code, name=name, method="shuffle")
+    both = assign_uids(known, recent, country=country, code=code, name="__recent")
+    return both.withColumn(name, F.coalesce(name, "__recent")).drop("__recent")
+
+
 def service_uids(
     df: DataFrame, iso: str, order_by: list[str] | None = None, digits: int = 3, *, collapse: bool = True
 ) -> DataFrame:

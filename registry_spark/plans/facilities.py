@@ -22,6 +22,7 @@ from registry_spark.operators.coordinates import (
 from registry_spark.operators.identifiers import assign_uids, new_registry_rows
 from registry_spark.operators.merging import stamp
 from registry_spark.operators.profiles import quality_by_country, step_counters
+from registry_spark.operators.partials import partial_counters
 from registry_spark.operators.quality import clean_dates, flag_data_quality
 from registry_spark.operators.typing import count_rejects, enforce_schema
 from registry_spark.schema import FACILITY_FIELDS, GEOCODE_CACHE, UID_REGISTRY
@@ -30,6 +31,9 @@ from registry_spark.sources.runlog import RunLog
 from registry_spark.sources.shared import written
 from registry_spark.sources.versions import VersionedTable
 
+# Columns whose distinct values the stored counters sketch.
+COUNTED_DISTINCT = ("facility_code", "facility_name", "admin1", "facility_type")
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -49,6 +53,10 @@ class LakePaths:
     def registry(self) -> str:
         return f"{self.root}/uid_registry"
 
+    @property
+    def counters(self) -> str:
+        return f"{self.root}/facility_counters"
+
     @property
     def geocode_failures(self) -> str:
         return f"{self.root}/geocode_failures"
@@ -198,6 +206,7 @@ def run_country(
     lake.write_country_tables(identified.observe(seen, *counters), paths.countries)
     if not seen.get["rows"]:
         lake.empty_country(identified, paths.countries, title_of(country))
+    write_counters(spark.read.schema(identified.schema).parquet(paths.countries), paths.counters, title_of(country))
     rejects = {r["column_name"]: r["rejected"] for r in raw_rejects(raw, source).collect()}
     log.add(country, "save", "SUCCESS", {**seen.get, **minted, "rejected": rejects})
     if "geocode_status" in prepared.columns:
@@ -205,6 +214,13 @@ def run_country(
         lake.append_rows(geocode_pending(prepared), paths.geocode_pending)
 
 
+def write_counters(table: DataFrame, path: str, country: str) -> None:
+    """Replace the stored counters of one country from its part of the table; no other part is read."""
+    part = table.filter(F.col("country") == country)
+    counted = partial_counters(part, ["country", "data_quality_flag"], distinct=[c for c in COUNTED_DISTINCT if c in table.columns])
+    counted.drop("country").coalesce(1).write.mode("overwrite").parquet(f"{path}/country={country}")
+
+
 def title_of(country: str) -> str:
     """Country name as it stands in the tables."""
     return " ".join(word.capitalize() for word in country.split(" "))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_spark.operators import profiles
+from registry_spark.operators import partials, profiles
 from registry_spark.operators.typing import check_contract
-from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS
+from registry_spark.schema import COUNTERS, FACILITY_FIELDS, SERVICE_FIELDS
 
 
 def write_reports(reports: dict[str, DataFrame], path: str) -> None:
@@ -27,6 +27,18 @@ def facility_reports(facilities: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def stored_reports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Reports from the counters that runs keep by country: no facility is read, whatever the size of the lake."""
+    counters = spark.read.schema(COUNTERS).parquet(path)
+    return {
+        "countries": partials.rows_by(counters, "country", name="facilities").orderBy("country"),
+        "completeness": partials.completeness_from(counters, by="country"),
+        "quality": partials.quality_from(counters).orderBy("country", "data_quality_flag"),
+        "distinct": partials.distinct_from(counters, "country"),
+        "distinct_overall": partials.distinct_from(counters),
+    }
+
+
 def service_reports(services: DataFrame) -> dict[str, DataFrame]:
     """Totals, domains, unmatched names, malaria services and broken contracts."""
     return {

@@ -130,6 +130,14 @@ PUBLISHED = T.StructType([
     T.StructField("published_at", T.StringType()),
 ])
 
+COUNTERS = T.StructType([
+    T.StructField("country", T.StringType()),
+    T.StructField("data_quality_flag", T.StringType()),
+    T.StructField("n_rows", T.LongType()),
+    T.StructField("non_null", T.MapType(T.StringType(), T.LongType())),
+    T.StructField("sketches", T.MapType(T.StringType(), T.BinaryType())),
+])
+
 RUN_LOG = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("country", T.StringType()),

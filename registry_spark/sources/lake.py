@@ -49,6 +49,17 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
     writer.saveAsTable(name)
 
 
+def bucketed_table(df: DataFrame, name: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """A table dealt and sorted by ``keys``, which joins and aggregates by these keys read without a shuffle.
+
+    Rows are dealt to the buckets before they are written, so there is one file a bucket. For state that every run
+    joins with, such as the identifier registry; take as many buckets as the joins have shuffle partitions, or a multiple.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def point_table(spark: SparkSession, name: str, path: str) -> None:
     """Replace a table by one over files that are already written: no second copy.
 
