@@ -12,7 +12,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -112,6 +112,12 @@ class TokenFile:
         self.frame_starts = segments(self.sizes) // 4
         self.held: tuple[int, np.ndarray] = (-1, np.zeros(0, "<u4"))
 
+    def places(self, wanted: frozenset | None = None) -> np.ndarray:
+        """Numbers of the documents with the ids asked for, by default of all."""
+        if wanted is None:
+            return np.arange(len(self.counts))
+        return np.array([i for i, x in enumerate(self.doc_ids) if x in wanted], np.int64)
+
     def frame(self, k: int) -> np.ndarray:
         if self.held[0] != k:
             data = self.file.read_at(int(self.offsets[k + 1] - self.offsets[k]), int(self.offsets[k]))
@@ -201,7 +207,8 @@ def write_token_files(
 
     Columns: part (order of the files), file, n_docs, n_tokens. Each document's ids are
     followed by ``end_id``; a NULL or empty text is the end id alone. Rows with equal
-    ids are all written, next to each other. A task writes under a name of its own and the
+    ids are all written, next to each other, in the order of a hash of their texts and then of the texts (NULL first), so that the
+    order depends on the rows alone; one id held by very many rows is shared by several tasks. A task writes under a name of its own and the
     manifest names the files of the tasks that counted, so repeated tasks do no harm.
     Evaluating the frame writes the files: store it, then read it. No rows, no files.
     """
@@ -229,17 +236,23 @@ def write_token_files(
             out.close()
             yield record(part=[part], file=[f"{folder}/{name}"], n_docs=[len(writer.counts)], n_tokens=[sum(writer.counts)])
 
-    ordered = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).repartitionByRange("id")
-    return ordered.sortWithinPartitions("id").mapInArrow(run, "part long, file string, n_docs long, n_tokens long")
+    rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
+    return ordered.mapInArrow(run, "part long, file string, n_docs long, n_tokens long")
 
 
-def read_token_files(spark: SparkSession, files: list[tuple[int, str, int, int]], *, with_ids: bool = False) -> DataFrame:
+def read_token_files(
+    spark: SparkSession, files: list[tuple[int, str, int, int]], *, with_ids: bool = False, wanted: Iterable[int | None] | None = None
+) -> DataFrame:
     """Documents of the files of a manifest: doc_id, start, n_tokens, ids_crc32 and, on request, ids.
 
     ``files`` are the manifest's rows; there is one per file, each of at least one task's
-    output, so they are few. ``start`` is the number of ids of all documents before.
+    output, so they are few. ``start`` is the number of ids of all documents before. With ``wanted`` only
+    the documents of these ids (None: those without one; a list that a driver holds) are read: of a file its index
+    and the frames that hold them. Ids that no document has give no rows.
     """
     ship(spark)
+    some = None if wanted is None else frozenset(wanted)
     rows, start = [], 0
     for part, file, _, n_tokens in sorted(files):
         rows.append((file, start))
@@ -251,12 +264,13 @@ def read_token_files(spark: SparkSession, files: list[tuple[int, str, int, int]]
                 fs, path = file_system(file)
                 with fs.open_input_file(path) as source:
                     documents = TokenFile(source)
-                    for first in range(0, len(documents.counts), 1_000):
-                        numbers = range(first, min(first + 1_000, len(documents.counts)))
+                    chosen = documents.places(some)
+                    for first in range(0, len(chosen), 1_000):
+                        numbers = chosen[first : first + 1_000]
                         columns = {
                             "doc_id": pa.array([documents.doc_ids[i] for i in numbers], pa.int64()),
-                            "start": pa.array(start + documents.starts[numbers.start : numbers.stop]),
-                            "n_tokens": pa.array(documents.counts[numbers.start : numbers.stop]),
+                            "start": pa.array(start + documents.starts[numbers]),
+                            "n_tokens": pa.array(documents.counts[numbers]),
                         }
                         if with_ids:
                             ids = [documents.document(i) for i in numbers]

@@ -117,6 +117,26 @@ def test_files(spark, documents, odd_rows, library):
     assert sorted((str(r["doc_id"]), r["ids"]) for r in got) == sorted((str(i), ids(t)) for i, t in rows)
 
 
+def test_equal_ids_have_one_order(spark, documents):
+    """The same rows in one and in seven partitions, a third of them with one id, some without an id or text."""
+    rows = [(7 if i % 3 == 0 else i % 9 or None, None if i % 50 == 0 else f"text {i % 40} " * (i % 5), "en", "a") for i in range(600)]
+    seen = []
+    for df in (documents(rows).coalesce(1), documents(rows[::-1]).repartition(7)):
+        manifest = written(write_token_files(df, shared_folder(spark), PATH, end_id=2))
+        out = read_token_files(spark, [tuple(r) for r in manifest.collect()])
+        seen.append(sorted(map(tuple, out.collect()), key=str))
+    assert seen[0] == seen[1] and len(seen[0]) == 600
+
+
+def test_reading_by_id(spark, documents, odd_rows):
+    manifest = written(write_token_files(documents(odd_rows), shared_folder(spark), PATH, end_id=2))
+    files = [tuple(r) for r in manifest.collect()]
+    whole = sorted(map(tuple, read_token_files(spark, files).collect()), key=str)
+    for wanted in ([5, 22, 999], [None], []):
+        out = read_token_files(spark, files, wanted=wanted).collect()
+        assert sorted(map(tuple, out), key=str) == [r for r in whole if r[0] in wanted]
+
+
 class Counting:
     """A file that remembers what was read."""
 
