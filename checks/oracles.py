@@ -516,3 +516,6 @@ ORACLES["distinct_sketches"] = sql(
     " UNION ALL ".join(
         f"SELECT country, '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, TRUE AS within FROM fac GROUP BY country"
         for c in ("facility_name", "admin1")), "fac")
+ORACLES["services_counters"] = sql("""SELECT 'TZA' AS country, 'services' AS step, unnest(['rows', 'matched', 'unmatched']) AS counter,
+ unnest([count(*), count(facility_uid), count(*) - count(facility_uid)]) AS n
+ FROM (SELECT CASE WHEN country_iso = 'TZA' THEN facility_uid END AS facility_uid FROM joined)""", "joined")

@@ -17,7 +17,7 @@ from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import reports
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
-from registry_spark.sources import geometry, lake, readers
+from registry_spark.sources import geometry, lake, readers, runlog
 from registry_spark.sources.shared import shared_folder, written
 from registry_spark.vocabularies import NAME_RULES
 
@@ -754,6 +754,12 @@ def services_log(spark, d):
     return log.select("country", "step", "status", rows.try_cast("bigint").alias("n_rows"))
 
 
+def services_counters(spark, d):
+    """Counters of the feeds of that run."""
+    log = spark.read.parquet(runlog.counters_path(run_feeds(spark, d).log))
+    return log.select("country", "step", "counter", "n")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -772,6 +778,6 @@ QUERIES = {
         rule_table, crosswalk_built, payload_prepared, wide_prepared,
         registry_versions, geocode_landed, services_run, services_log, within_flag_geojson, polygon_edges, ring_problems,
         within_flag_sphere, within_sphere_world, rules_indexed, facility_uid_join_bucketed, stored_quality,
-        stored_completeness, distinct_sketches,
+        stored_completeness, distinct_sketches, services_counters,
     )
 }

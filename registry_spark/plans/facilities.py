@@ -91,6 +91,7 @@ def standardize_country(
     edges: DataFrame | None = None,
     outside: str = "drop",
     surface: str = "sphere",
+    bounded: tuple[Observation, Observation] | None = None,
     cache: DataFrame | None = None,
     on_missing: str = "drop",
     current_year: int | None = None,
@@ -100,6 +101,7 @@ def standardize_country(
     With a geocode ``cache`` its coordinates are filled in before rows without
     coordinates are dropped. With boundary ``edges`` points outside are dropped, or
     only flagged (``outside="flag"``); edges are arcs of great circles, or straight in degrees with ``surface="plane"``.
+    ``bounded`` counts the rows (``rows``) before and after that step.
     """
     if outside not in ("drop", "flag"):
         raise ValueError("outside must be 'drop' or 'flag'")
@@ -107,8 +109,12 @@ def standardize_country(
     if cache is not None:
         df = fill_from_cache(coerce_coordinates(df), cache)
     df = clean_coordinates(df, on_missing=on_missing, boxes=boxes)
+    if bounded is not None:
+        df = df.observe(bounded[0], F.count(F.lit(1)).alias("rows"))
     if edges is not None:
         df = (filter_within if outside == "drop" else flag_within)(df, edges, surface=surface)
+    if bounded is not None:
+        df = df.observe(bounded[1], F.count(F.lit(1)).alias("rows"))
     df = clean_dates(df, current_year=current_year)
     return flag_data_quality(enforce_schema(df, FACILITY_FIELDS).drop("data_quality_flag"))
 
@@ -195,8 +201,9 @@ def run_country(
     spark: SparkSession, raw: DataFrame, country: str, iso: str, source: Source, paths: LakePaths, run_date: dt.date, log: RunLog, options: dict
 ) -> None:
     """Prepare one country, register its new codes, write its partition and the geocode queries; log the counters."""
+    bounded = Observation(f"before boundary {country}"), Observation(f"after boundary {country}")
     prepared = written(
-        standardize_country(raw, country, source, current_year=run_date.year, **options).withColumn("__iso", F.lit(iso))
+        standardize_country(raw, country, source, current_year=run_date.year, bounded=bounded, **options).withColumn("__iso", F.lit(iso))
     )
     log.add(country, "standardize", "SUCCESS", f"columns: {len(prepared.columns) - 1}")
     minted, seen = {}, Observation(f"facilities {country}")
@@ -206,7 +213,11 @@ def run_country(
     lake.write_country_tables(identified.observe(seen, *counters), paths.countries)
     if not seen.get["rows"]:
         lake.empty_country(identified, paths.countries, title_of(country))
-    write_counters(spark.read.schema(identified.schema).parquet(paths.countries), paths.counters, title_of(country))
+    table = spark.read.schema(identified.schema).parquet(paths.countries)
+    write_counters(stamp(table, run_date), paths.counters, title_of(country))
+    codes = prepared.filter("facility_code <> ''").agg(F.count_distinct("facility_code")).first()[0]
+    log.count(country, "boundary", outside=bounded[0].get["rows"] - bounded[1].get["rows"])
+    log.count(country, "facilities", **seen.get, **minted, reused=codes - minted["minted"])
     rejects = {r["column_name"]: r["rejected"] for r in raw_rejects(raw, source).collect()}
     log.add(country, "save", "SUCCESS", {**seen.get, **minted, "rejected": rejects})
     if "geocode_status" in prepared.columns:

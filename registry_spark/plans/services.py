@@ -106,9 +106,10 @@ def run_services(
             done = written(standardize_services(
                 raw, iso, feeds[iso], crosswalk, registry, source_url=list_path, **options
             ))
-            n = done.count()
+            n, matched = done.agg(F.count(F.lit(1)), F.count("facility_uid")).first()
             frames.append(done)
             rows += n
+            log.count(iso, "services", rows=n, matched=matched, unmatched=n - matched)
             log.add("GLOBAL", f"services {iso}", "SUCCESS", f"rows: {n}")
         except Exception as error:  # one feed must not stop the others
             log.add("GLOBAL", f"services {iso}", "FAILED", error)

@@ -138,6 +138,14 @@ COUNTERS = T.StructType([
     T.StructField("sketches", T.MapType(T.StringType(), T.BinaryType())),
 ])
 
+RUN_COUNTERS = T.StructType([
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("step", T.StringType()),
+    T.StructField("counter", T.StringType()),
+    T.StructField("n", T.LongType()),
+])
+
 RUN_LOG = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("country", T.StringType()),

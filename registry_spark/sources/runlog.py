@@ -1,4 +1,4 @@
-"""Run log: one row per step, appended to a log table at the end of a run."""
+"""Run log: one row per step, appended to a log table at the end of a run; counters of the steps beside it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_spark.schema import RUN_LOG
+from registry_spark.schema import RUN_COUNTERS, RUN_LOG
 
 
 class RunLog:
@@ -18,11 +18,17 @@ class RunLog:
         self.path = path
         self.rows: list[tuple[str, str, str, str, str]] = []
         self.flushed = 0
+        self.counters: list[tuple[str, str, str, str, int]] = []
 
     def add(self, country: str, step: str, status: str, message: str = "") -> None:
         now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
         self.rows.append((now, country, step, status, str(message)))
 
+    def count(self, country: str, step: str, **counters: int) -> None:
+        """Counters of a step: a row each in the table beside the log."""
+        now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+        self.counters += [(now, country, step, name, int(n)) for name, n in counters.items()]
+
     def table(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, RUN_LOG)
 
@@ -34,6 +40,14 @@ class RunLog:
         if self.path and new:
             self.spark.createDataFrame(new, RUN_LOG).coalesce(1).write.mode("append").parquet(self.path)
             self.flushed = len(self.rows)
+        if self.path and self.counters:
+            self.spark.createDataFrame(self.counters, RUN_COUNTERS).coalesce(1).write.mode("append").parquet(counters_path(self.path))
+            self.counters = []
+
+
+def counters_path(path: str) -> str:
+    """Where the counters of a log are."""
+    return f"{path}_counters"
 
 
 def failed_steps(log: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from registry_spark.plans.everything import run_all
 from registry_spark.plans.extracts import located_list
 from registry_spark.plans.facilities import LakePaths, run_facilities
-from registry_spark.plans.reports import facility_reports, service_reports
+from registry_spark.plans.reports import facility_reports, service_reports, stored_reports
 from registry_spark.schema import FACILITY_FIELDS, UID_REGISTRY
 from registry_spark.sources import lake, readers
-from registry_spark.sources.runlog import RunLog, failed_steps
+from registry_spark.sources.runlog import RunLog, counters_path, failed_steps
 from registry_spark.sources.shared import shared_folder, written
 
 
@@ -156,8 +156,24 @@ def test_whole_run_twice(spark, inputs, tmp_path):
     failed = {(r.country, r.step) for r in failed_steps(spark.read.parquet(LakePaths(root).log)).collect()}
     assert failed == {("uganda", "pipeline"), ("GLOBAL", "services MWI")}
 
+    def counters(step, country):
+        found = spark.read.parquet(counters_path(LakePaths(root).log)).filter((F.col("step") == step) & (F.col("country") == country))
+        return {r.counter: r.n for r in found.orderBy("timestamp").collect()}
+
+    assert counters("services", "KEN") == {"rows": 4, "matched": 3, "unmatched": 1}
+    kenya = counters("facilities", "kenya")
+    assert (kenya["rows"], kenya["minted"], kenya["reused"], kenya["skipped"]) == (5, 3, 0, 1)
+    assert counters("boundary", "kenya") == {"outside": 0}
+    stored = stored_reports(spark, LakePaths(root).counters)
+    assert {(r.country, r.data_quality_flag): (r.n_facilities, r.pct_of_country) for r in stored["quality"].collect()} == summary
+    wanted = {(r.country, r.column_name): r.non_null for r in facility_reports(fac)["completeness"].collect()}
+    kept = {(r.country, r.column_name): r.non_null for r in stored["completeness"].collect()}
+    assert len(kept) > 30 and {k: (n, wanted[k]) for k, n in kept.items() if wanted[k] != n} == {}
+
     again = run_all(*args, countries=["kenya", "malawi"], run_date=dt.date(2026, 6, 1), with_services=False)
     assert {(r.facility_code, r.facility_name): r.uid for r in again["facilities"].collect()} == uids
+    kenya = counters("facilities", "kenya")
+    assert (kenya["minted"], kenya["reused"]) == (0, 3)
     registry = readers.read_uid_registry(spark, LakePaths(root).registry)
     assert registry.count() == registry.select("country", "facility_code").distinct().count() == 4
     months = {r.snapshot_month for r in spark.read.parquet(LakePaths(root).snapshots).collect()}
@@ -177,6 +193,8 @@ def test_cache_and_boundary_in_the_country_step(spark, inputs, frame, tmp_path):
     rows = {r.facility_name: r for r in out.collect()}
     assert set(rows) == {"Alpha", "Delta"}
     assert rows["Delta"].coordinate_source == "OSM" and rows["Delta"].coordinate_valid
+    log = spark.read.parquet(counters_path(LakePaths(str(tmp_path / "lake")).log))
+    assert [r.n for r in log.filter("counter = 'outside'").collect()] == [4]
 
 
 def test_nothing_readable_is_an_error(spark, tmp_path):
