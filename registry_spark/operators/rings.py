@@ -95,7 +95,9 @@ def ring_report(rings: DataFrame, *, keep: list[str]) -> DataFrame:
     ).select("__ring", "wide", "high", "place", "e.*")
     cut = _pieces(edges).select("__ring", "band", "cell", "place", "x1", "y1", "x2", "y2")
     together = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__ring", "band", "cell")]
-    met = cut.alias("l").join(cut.alias("r"), [*together, F.col("l.place") < F.col("r.place")]).filter(_crosses())
+    # Merged: the optimizer takes the size of the rings' files for that of their pieces and would send all pieces to every task.
+    other = cut.alias("r").hint("merge")
+    met = cut.alias("l").join(other, [*together, F.col("l.place") < F.col("r.place")]).filter(_crosses())
     crossings = met.select("l.__ring", F.col("l.place").alias("one"), F.col("r.place").alias("other")).distinct()
     counted = crossings.groupBy("__ring").agg(F.count(F.lit(1)).alias("n_crossings"))
     n = F.coalesce("n_crossings", F.lit(0)).cast("long")

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,13 @@ def test_ring_report_against_brute_force(frame):
         assert out[i].n_crossings == n, (i, s)
         assert out[i].problem == ("open" if s[0] != s[-1] else "crossing" if n else None)
     assert (out[-1].problem, out[-2].problem, out[-3].problem) == ("no_number", "few_corners", "few_corners")
+
+
+def test_ring_pieces_are_not_broadcast(frame, capsys):
+    """The pieces are many times larger than the file of the rings, by which the optimizer judges them."""
+    df = frame([(1, 0, 0, [(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 4.0), (0.0, 0.0)])],
+               "i int, part int, ring int, points array<struct<x: double, y: double>>")
+    report = rings.ring_report(df, keep=["i"])
+    report.explain()
+    assert not re.search(r"BroadcastHashJoin \[__ring#\d+L, band", capsys.readouterr().out)
+    assert [r.n_crossings for r in report.collect()] == [1]
