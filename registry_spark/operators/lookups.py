@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 METHODS = ("auto", "broadcast", "shuffle")
+# Bytes of files, as stored, whose rows one task of a shuffle should hold.
+PART_BYTES = 16 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -20,6 +23,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+def partitions_of(df: DataFrame, most: int) -> int | None:
+    """Partitions for a shuffle of all rows, by the size of the files that ``df`` reads; at most ``most``.
+
+    None when the session's number is enough, or nothing is read from files. Only file metadata is looked at.
+    """
+    files = df.inputFiles()
+    if not files:
+        return None
+    stored = df.sparkSession.read.format("binaryFile").load([unquote(f) for f in files]).agg(F.sum("length")).first()[0] or 0
+    wanted = min(most, -(-stored // PART_BYTES))
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

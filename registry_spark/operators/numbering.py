@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from registry_spark.operators.lookups import partitions_of
+
 CHUNK = 10_000
 
 
@@ -22,46 +24,65 @@ def number_rows(
     Order: MD5 of the order columns' text, then the order columns. The first ``digits``
     hexadecimal digits cut each group, however large, into 16**digits buckets of
     even size; as they lead the order, their number changes no result (use 4 or more
-    for groups beyond some terabytes). Bucket sizes are counted by a narrow aggregate, their running
-    total gives each bucket its first number, and rows are ranked inside their
+    for groups beyond some terabytes). Cells, 256 to a bucket, are counted by a narrow aggregate, the running
+    total of the buckets gives each its first number, and rows are ranked inside their
     bucket. Every number is a function of the rows alone, so a task that runs
     twice gives the same numbers and nothing has to be pinned between passes.
 
-    ``order_by`` must tell different rows apart. Equal rows are interchangeable:
-    with ``collapse`` they are counted before the shuffle, cut into chunks that
+    Whole rows are shuffled once, without the hash, which is taken again where they arrive; a task holds
+    about ``PART_BYTES`` of the files, however much is numbered (``partitions_of``).
+
+    ``order_by`` must tell different rows apart. Equal rows are interchangeable and fall into one cell: with
+    ``collapse`` the rows of cells of more than ``CHUNK`` rows (a group of 10 billion distinct rows has none with three digits)
+    are counted before the shuffle, cut into chunks that
     fall into different buckets, and expanded again after numbering, so that a row
     copied very often does not end up in one task. Leave it off when rows are
     known to be distinct. NULL and empty group values share one sequence.
     """
     groups = [f"__group{i}" for i in range(len(within))]
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    parts = partitions_of(df, 16**digits // 4)
+
+    def hashed(chunk: Column) -> Column:
+        return F.md5(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in order_by], chunk.cast("string")))
+
     rows = df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *columns,
         *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(g) for c, g in zip(within, groups)],
+        F.substring(hashed(F.lit(0)), 1, digits + 2).alias("__cell"),
     )
+    cells = rows.groupBy(*groups, "__cell").agg(F.count(F.lit(1)).alias("__size"))
+    bucket = F.substring("__cell", 1, digits).alias("__bucket")
+    single = [F.lit(0).alias("__chunk"), F.lit(1).cast("bigint").alias("__size")]
+    kept = [*columns, *groups]
     if collapse:
-        columns = rows.columns
-        rows = (
-            rows.groupBy(*[F.col(f"`{c}`") for c in columns])
+        full = F.broadcast(cells.filter(F.col("__size") > CHUNK).select(*groups, "__cell"))
+        chunks = (
+            rows.join(full, [*groups, "__cell"], "left_semi")
+            .groupBy(*kept)
             .agg(F.count(F.lit(1)).alias("__copies"))
-            .withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(__copies - 1) div {CHUNK}"))))
-            .withColumn("__size", F.least(F.lit(CHUNK), F.col("__copies") - F.col("__chunk") * CHUNK))
+            .withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.expr(f"CAST((__copies - 1) div {CHUNK} AS INT)"))))
+            .withColumn("__size", F.least(F.lit(CHUNK), F.col("__copies") - F.col("__chunk") * CHUNK).cast("bigint"))
+            .withColumn("__bucket", F.substring(hashed(F.col("__chunk")), 1, digits))
             .drop("__copies")
         )
+        seldom = rows.join(full, [*groups, "__cell"], "left_anti").select(*kept, *single, bucket)
+        rows = seldom.unionByName(chunks)
+        sizes = cells.filter(F.col("__size") <= CHUNK).select(*groups, bucket, "__size").unionByName(chunks.select(*groups, "__bucket", "__size"))
     else:
-        rows = rows.withColumn("__chunk", F.lit(0)).withColumn("__size", F.lit(1))
-
-    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in order_by],
-                       F.col("__chunk").cast("string"))
-    rows = rows.withColumn("__hash", F.md5(text)).withColumn("__bucket", F.substring("__hash", 1, digits))
+        rows = rows.select(*kept, *single, bucket)
+        sizes = cells.select(*groups, bucket, "__size")
 
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy(*groups, "__bucket")
+        sizes.groupBy(*groups, "__bucket")
         .agg(F.sum("__size").alias("__in_bucket"))
         .select(*groups, "__bucket", F.coalesce(F.sum("__in_bucket").over(before), F.lit(0)).alias("__start"))
     )
+    keys = [*groups, "__bucket"]
+    dealt = (rows.repartition(parts, *keys) if parts else rows.repartition(*keys)).withColumn("__hash", hashed(F.col("__chunk")))
     order = [F.col("__hash"), *[F.col(f"`{c}`") for c in order_by], F.col("__chunk")]
-    inside = Window.partitionBy(*groups, "__bucket").orderBy(*order)
+    inside = Window.partitionBy(*keys).orderBy(*order)
     if collapse:
         earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
         rank = F.coalesce(F.sum("__size").over(earlier), F.lit(0))
@@ -70,7 +91,5 @@ def number_rows(
     else:
         rank = F.row_number().over(inside)
         number = (F.col("__start") + F.col("__rank")).cast("bigint")
-    ranked = rows.withColumn("__rank", rank)
-    return ranked.join(starts, [*groups, "__bucket"]).select(
-        *[F.col(f"`{c}`") for c in df.columns], number.alias(name)
-    )
+    ranked = dealt.withColumn("__rank", rank)
+    return ranked.join(starts, keys).select(*columns, number.alias(name))

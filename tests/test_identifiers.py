@@ -1,10 +1,12 @@
 import datetime as dt
+import hashlib
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from registry_spark.operators import identifiers
+from registry_spark.operators import identifiers, lookups
 from registry_spark.operators import numbering
 from registry_spark.operators.numbering import number_rows
 
@@ -95,3 +97,31 @@ def test_uid_text_is_null_without_a_number(frame):
     df = frame([("A", 5), ("A", None), (None, 5), ("A", 1234567)], "p string, n bigint")
     out = [r[0] for r in df.select(identifiers.uid_text(F.col("p"), F.col("n"))).collect()]
     assert out == ["A-000005", None, None, "A-1234567"]
+
+
+def test_whole_rows_are_shuffled_once_in_parts_of_the_input(spark, tmp_path, monkeypatch, capsys):
+    """Rows of a large list are not held in one hash table a task, and the session's number of partitions is no limit."""
+    monkeypatch.setattr(lookups, "PART_BYTES", 2_000)
+    path = str(tmp_path / "a list")
+    spark.range(6000).selectExpr("CAST(id * 7919 AS STRING) AS k", "id % 3 AS other").write.parquet(path)
+    out = number_rows(spark.read.parquet(path), ["k", "other"], digits=2)
+    out.explain()
+    plan = capsys.readouterr().out
+    parts = {int(n) for n in re.findall(r"__bucket#\d+, (\d+)\), REPARTITION_BY_NUM", plan)}
+    assert parts and min(parts) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.n for r in out.collect()) == list(range(1, 6001))
+
+
+def test_rare_and_frequent_copies_together(spark, monkeypatch):
+    """Rows of full cells are counted, the others are not; the numbers are those of all chunks and rows in one order."""
+    monkeypatch.setattr(numbering, "CHUNK", 5)
+    values = [f"v{i % 40}" for i in range(400)] + [f"w{i}" for i in range(300)] + [f"x{i % 150}" for i in range(300)]
+    copies = Counter(values)
+    entries = []
+    for value, n in copies.items():
+        for chunk in range((n - 1) // 5 + 1):
+            entries.append((hashlib.md5(f"{value}|{chunk}".encode()).hexdigest(), value, min(5, n - 5 * chunk)))
+    expected = [value for _, value, size in sorted(entries) for _ in range(size)]
+    for digits in (1, 3):
+        out = number_rows(spark.createDataFrame([(v,) for v in values], "k string"), ["k"], digits=digits)
+        assert [r.k for r in out.orderBy("n").collect()] == expected
