@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registry_spark.llm.hashing import joined, mixed
@@ -27,10 +27,10 @@ BUCKETS = 1 << 16
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 SYMBOLS = b"#*$%&|<>"
-# Labelled documents that are looked at: half train the trusted model, half set the threshold.
-LABELLED = 20_000
 # Rejecting a good document weighs as much as keeping this many bad ones.
 GOOD_WEIGHT = 20.0
+# Scores are counted in steps of 1 / STEPS before any two are compared: some thousands of steps, as scores are log ratios.
+STEPS = 1024
 
 SHAPES = bytes(
     ord("a") if chr(b).islower() and b < 128 else ord("A") if chr(b).isupper() and b < 128 else ord("0") if 48 <= b < 58 else ord("a") if b >= 128 else b
@@ -127,21 +127,22 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + len(raw) * share) / (target.sum() + len(raw))) - np.log(share)
 
 
-def labelled_sample(labels: DataFrame, *, id: str = "doc_id", quality: str = "quality", rows: int = LABELLED) -> list[tuple[int, bool, bool]]:
-    """At most ``rows`` labelled ids in hash order: id, good, whether it trains the trusted model.
+def labelled(labels: DataFrame, *, id: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """Every labelled id once: __id, __good, and __half, whether it trains the trusted model (else it sets the threshold).
 
     An id labelled more than once is good when all its labels are; NULL ids and labels are left out.
     """
-    known = labels.select(F.col(id).cast("long").alias("id"), F.col(quality).cast("int").alias("q")).dropna()
-    one = known.groupBy("id").agg(F.min("q").alias("q"))
-    chosen = one.orderBy(F.xxhash64("id"), "id").limit(rows).select("id", "q", (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("half"))
-    return [(r["id"], r["q"] > 0, r["half"]) for r in chosen.collect()]
+    known = labels.select(F.col(id).cast("long").alias("__id"), F.col(quality).cast("int").alias("q")).dropna()
+    one = known.groupBy("__id").agg((F.min("q") > 0).alias("__good"))
+    return one.withColumn("__half", F.pmod(F.xxhash64("__id"), F.lit(2)) == 0)
 
 
-def gram_counts(documents: DataFrame, trusted: list[int], *, id: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams per bucket of the trusted documents and of all documents."""
-    spark = ship(documents.sparkSession)
-    ids = spark.sparkContext.broadcast(frozenset(trusted))
+def gram_counts(documents: DataFrame, trusted: DataFrame, *, id: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams per bucket of the documents of ``trusted`` (__id, each once) and of all documents.
+
+    Ids and texts meet by a hash join: ids never go through the driver, and texts are not sorted.
+    """
+    ship(documents.sparkSession)
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +153,17 @@ def gram_counts(documents: DataFrame, trusted: list[int], *, id: str, text: str)
                 words = loaded("quality words", key, Words)
                 flat, bounds = words.read(byte_texts(part))
                 buckets, owners = words.grams(flat, bounds)
-                good = np.array([i in ids.value for i in part.column(0).to_pylist()], bool)
+                good = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 counts[1] += np.bincount(buckets, minlength=BUCKETS)
                 if good.any():
                     counts[0] += np.bincount(buckets[good[owners]], minlength=BUCKETS)
         some = np.flatnonzero(counts[1])
         yield record(bucket=some, target=counts[0, some], raw=counts[1, some])
 
-    rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    marked = trusted.select("__id", F.lit(True).alias("__trusted")).hint("shuffle_hash")
+    rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(
+        marked, F.col("id") == F.col("__id"), "left"
+    ).select("id", "text", F.coalesce("__trusted", F.lit(False)).alias("trusted"))
     per_task = rows.mapInArrow(run, "bucket long, target long, raw long")
     out = np.zeros((2, BUCKETS), np.int64)
     for r in per_task.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect():
@@ -214,23 +218,53 @@ def best_threshold(good: np.ndarray, bad: np.ndarray, weight: float = GOOD_WEIGH
     return float(cuts[int(np.argmax(gain))])
 
 
+def threshold_of(scored: DataFrame, weight: float = GOOD_WEIGHT) -> float:
+    """``best_threshold`` of any number of rows (__good, score): each distinct score is a cut, none is left out.
+
+    Scores are counted once, their counts summed up by steps, and steps and the scores inside each are totalled in order.
+    """
+    good, bad = F.count_if("__good"), F.count_if(~F.col("__good"))
+    counts = written(
+        scored.groupBy("score").agg(good.alias("good"), bad.alias("bad")).withColumn("step", F.floor(F.col("score") * STEPS))
+    )
+    n_good, n_bad = counts.agg(F.sum("good"), F.sum("bad")).first()
+    if not n_good or not n_bad:
+        return -np.inf
+    steps = counts.groupBy("step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("score").alias("last"))
+    before = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    starts = steps.select(
+        "step", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("good", "bad")],
+        F.max("last").over(before).alias("last_before"),
+    )
+    order = Window.partitionBy("step").orderBy("score")
+    inside = order.rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.select(
+        "step", "score", F.lag("score").over(order).alias("last"),
+        *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(c) for c in ("good", "bad")],
+    ).join(starts, "step")
+    last = F.coalesce("last", "last_before")
+    middle = (F.col("score") + last) / 2
+    gain = (F.col("bad") + F.col("bad_before")) / F.lit(n_bad) - F.lit(weight) * (F.col("good") + F.col("good_before")) / F.lit(n_good)
+    cuts = below.filter(last.isNotNull()).select(gain.alias("gain"), F.when(middle > last, middle).otherwise(F.col("score")).alias("cut"))
+    best = cuts.agg(F.max(F.struct("gain", (-F.col("cut")).alias("low")))).first()[0]
+    return -best["low"] if best and best["gain"] > 0 else -np.inf
+
+
 def judged(
     documents: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, QualityModel]:
     """Every document's counts, score and ``kept``, with the model used.
 
     NULL and empty texts have no words and fail the base rules; every row, also a repeated one, is judged by its whole
-    text. n-grams of all documents are counted; the trusted ones are the good documents of the training half of
-    ``labelled_sample``, and the threshold comes from the base-rule survivors of the other half. Without labels only
+    text. n-grams of all documents are counted; the trusted ones are all good documents of the training half of the
+    labels (``labelled``), and the threshold comes from all base-rule survivors of the other half. Without labels only
     the base rules decide. Other columns are not read.
     """
-    sample = labelled_sample(labels)
-    target, raw = gram_counts(documents, [i for i, good, half in sample if good and half], id=id, text=text)
+    known = written(labelled(labels))
+    target, raw = gram_counts(documents, known.filter("__good AND __half"), id=id, text=text)
     ratio = log_ratio(target, raw) if target.sum() else np.zeros(BUCKETS)
     rows = written(measured(documents, ratio, id=id, text=text))
-    held = {i: good for i, good, half in sample if not half}
-    listed = documents.sparkSession.createDataFrame([(i, g) for i, g in held.items()], "__id long, __good boolean")
-    seen = rows.join(F.broadcast(listed), F.col(id) == F.col("__id")).filter("NOT base_failed").select("__good", "score").collect()
-    scores = [np.array([r["score"] for r in seen if r["__good"] is kind]) for kind in (True, False)]
-    model = QualityModel(ratio, best_threshold(*scores) if target.sum() else -np.inf)
+    held = known.filter("NOT __half")
+    seen = rows.join(held, F.col(id).cast("long") == F.col("__id")).filter("NOT base_failed").select("__good", "score")
+    model = QualityModel(ratio, threshold_of(seen) if target.sum() else -np.inf)
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(model.threshold))), model

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from registry_spark.llm.language import identify, recognised, train
 from registry_spark.llm.neural import CLASSES, END, SMOOTHING, Weights, ending_class, noise_contrastive_pass, scored, vocabulary, word_counts
-from registry_spark.llm.quality import best_threshold, judged
+from registry_spark.llm.quality import best_threshold, gram_counts, judged, labelled, threshold_of
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
@@ -126,6 +126,29 @@ def test_threshold():
     assert best_threshold(np.array([0.0, 1.0]), np.array([5.0])) == -math.inf
 
 
+def test_every_label_counts(spark):
+    """More labels than 20,000: each good document of the training half is counted (a word and its shape)."""
+    labels = spark.range(24_000).selectExpr("id AS doc_id", "1 AS quality")
+    known = labelled(labels)
+    half = known.filter("__good AND __half").count()
+    texts = spark.range(24_000).selectExpr("id AS doc_id", "'w' || id AS text")
+    target, raw = gram_counts(texts, known.filter("__good AND __half"), id="doc_id", text="text")
+    assert known.count() == 24_000 and target.sum() == 2 * half and raw.sum() == 48_000 and half > 11_000
+
+
+def test_threshold_of_a_table_is_that_of_the_arrays(spark):
+    draw = np.random.default_rng(5)
+    for good, bad in [
+        (draw.normal(1, 1, 700), draw.normal(-1, 1, 500)),
+        (draw.integers(0, 6, 300) / 4, draw.integers(-4, 3, 300) / 4),
+        (np.array([1.0, 2.0]), np.array([-3.0, -1.0])), (np.array([]), np.array([1.0])), (np.array([0.0, 1.0]), np.array([5.0])),
+    ]:
+        rows = [(True, float(x)) for x in good] + [(False, float(x)) for x in bad]
+        table = spark.createDataFrame(rows, "__good boolean, score double")
+        for weight in (1.0, 20.0):
+            assert threshold_of(table, weight) == best_threshold(good, bad, weight)
+
+
 def test_languages(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
     model = train(df.filter("NOT held_out"))
