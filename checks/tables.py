@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registry_spark.operators.lookups import partitions_of
+
 # Remainder of the customer key by 16 -> country; the first holds over a third of all rows.
 COUNTRY_CASE = """CASE WHEN {k} % 16 < 6 THEN 'Tanzania' WHEN {k} % 16 < 9 THEN 'Kenya'
  WHEN {k} % 16 < 11 THEN 'Ethiopia' WHEN {k} % 16 = 11 THEN 'Malawi' WHEN {k} % 16 = 12 THEN 'Botswana'
@@ -99,9 +101,13 @@ def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SVC: one service list; the first four columns tell all different rows apart."""
+    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    parts = partitions_of(lines, 1024)
+    if parts:  # large tables: both are dealt to as many parts, so that no task sorts more of them than of smaller ones
+        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     return (
-        read(spark, sf_dir, "lineitem")
-        .join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
