@@ -25,6 +25,21 @@ def small_methods(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def more_partitions(spark: SparkSession, n: int | None):
+    """Run jobs with ``n`` shuffle partitions, if given and more than the session has; the setting is restored after.
+
+    Unlike a repartition by key it leaves adaptive execution free to join and to split the partitions.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), n or 0)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(
     name: str = "registry_spark",
     cores: str | int = "*",

@@ -35,9 +35,9 @@ def write_snapshot(df: DataFrame, path: str, month: dt.date) -> str:
     return f"{path}/snapshot_month={label}"
 
 
-def empty_country(df: DataFrame, path: str, country: str) -> None:
+def empty_country(df: DataFrame, path: str, country: str, *, column: str = "country") -> None:
     """Leave a country's partition without rows; ``df`` gives the columns."""
-    df.limit(0).drop("country").write.mode("overwrite").parquet(f"{path}/country={country}")
+    df.limit(0).drop(column).write.mode("overwrite").parquet(f"{path}/{column}={country}")
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: str | None = None) -> None:
@@ -97,10 +97,21 @@ def publish(
     A job or check that fails leaves the name as it was. The list of versions below ``root`` tells the last
     published files of every name, also to another session (``restore``).
     """
-    spark = df.sparkSession
-    path = f"{root}/{name}/{uuid.uuid4().hex}"
+    path = aside(name, root)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
+    return publish_files(df.sparkSession, name, root, path, check=check)
+
+
+def aside(name: str, root: str) -> str:
+    """A new folder for files of a published name, which nobody reads before ``publish_files``."""
+    return f"{root}/{name}/{uuid.uuid4().hex}"
+
+
+def publish_files(
+    spark: SparkSession, name: str, root: str, path: str, *, check: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
+    """As ``publish``, of files that are already written aside, by one job or several: no second copy."""
     if check is not None:
         check(spark.read.parquet(path))
     now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
@@ -121,8 +132,13 @@ def restore(spark: SparkSession, root: str) -> list[str]:
     return sorted(last)
 
 
-def write_slim_services(df: DataFrame, path: str) -> None:
-    write_partitions(df.select(*SLIM_SERVICE_COLUMNS), path, "country_iso")
+def write_slim_services(df: DataFrame, path: str, countries: list[str] | None = None) -> None:
+    """The slim table, partition by partition if the countries are known: a constant country spares the sort of whole rows by it."""
+    slim = df.select(*SLIM_SERVICE_COLUMNS)
+    if countries is None:
+        write_partitions(slim, path, "country_iso")
+    for iso in countries or ():
+        write_partitions(slim.filter(F.col("country_iso") == iso).withColumn("country_iso", F.lit(iso)), path, "country_iso")
 
 
 def append_rows(df: DataFrame, path: str) -> None:

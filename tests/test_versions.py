@@ -1,6 +1,7 @@
 """Versions of state tables, published tables, feeds that fail, landed answers."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -9,8 +10,10 @@ from registry_spark.operators.identifiers import new_registry_rows
 from registry_spark.plans.facilities import LakePaths, land_answers, register_new
 from registry_spark.plans.services import run_services
 from registry_spark.schema import UID_REGISTRY
+from registry_spark.session import more_partitions
 from registry_spark.sources import lake, readers
 from registry_spark.sources import versions as module
+from registry_spark.sources.runlog import RunLog
 from registry_spark.sources.versions import Conflict, VersionedTable
 
 DAY = dt.date(2026, 1, 31)
@@ -120,3 +123,55 @@ def test_answers_are_merged_once(spark, tmp_path):
     got = sorted(map(tuple, readers.read_geocode_cache(spark, path).collect()))
     assert got == [("a", 3.0, 4.0, "y"), ("b", 5.0, 6.0, "z"), ("c", 7.0, 8.0, "z")]
     assert readers.read_geocode_cache(spark, path, 1).count() == 2
+
+
+CROSSWALK = ("source_name,service_domain,service_group,service_name,is_clinical,is_malaria_related,include_in_analysis,needs_review\n"
+             "x,Clinical,Group,X,TRUE,FALSE,TRUE,FALSE\n")
+
+
+def two_feeds(tmp_path):
+    feed = Feed("Tanzania", (("service_detail", "source_name"),), source_service_name="service_detail")
+    (tmp_path / "cw.csv").write_text(CROSSWALK)
+    inputs = {}
+    for iso, codes in (("TZA", "123"), ("KEN", "78")):
+        (tmp_path / f"{iso}.csv").write_text("facility_code,service_detail\n" + "".join(f"{c},x\n" for c in codes))
+        inputs[iso] = (str(tmp_path / f"{iso}.csv"), str(tmp_path / "cw.csv"))
+    return inputs, {"TZA": feed, "KEN": feed}
+
+
+def test_a_feed_is_written_once(spark, tmp_path):
+    inputs, feeds = two_feeds(tmp_path)
+    paths, shared = LakePaths(str(tmp_path / "lake")), Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    out = run_services(spark, inputs, paths, feeds=feeds, table="fs_once", order_by=["facility_code"])
+    assert set(shared.iterdir()) == before
+    assert len(list(Path(paths.published, "fs_once").iterdir())) == 1
+    assert sorted((r.country_iso, r.facility_code) for r in out.collect()) == [("KEN", "7"), ("KEN", "8"), ("TZA", "1"), ("TZA", "2"), ("TZA", "3")]
+    slim = spark.read.parquet(paths.slim_services)
+    assert sorted((r.country_iso, r.service_name) for r in slim.collect()) == [("KEN", "X")] * 2 + [("TZA", "X")] * 3
+
+
+def test_a_feed_that_fails_after_its_write_is_left_out(spark, tmp_path, monkeypatch):
+    inputs, feeds = two_feeds(tmp_path)
+    paths, count = LakePaths(str(tmp_path / "lake")), RunLog.count
+
+    def refuse(log, country, step, **counters):
+        if country == "TZA":
+            raise ValueError("no counters")
+        count(log, country, step, **counters)
+
+    monkeypatch.setattr(RunLog, "count", refuse)
+    out = run_services(spark, inputs, paths, feeds=feeds, table="fs_late", order_by=["facility_code"])
+    assert sorted((r.country_iso, r.facility_code) for r in out.collect()) == [("KEN", "7"), ("KEN", "8")]
+    log = {(r.step, r.status) for r in spark.read.parquet(paths.log).collect()}
+    assert log == {("services TZA", "FAILED"), ("services KEN", "SUCCESS"), ("services", "SUCCESS")}
+
+
+def test_more_partitions_only_meanwhile(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    for n, wanted in ((None, before), (1, before), (int(before) + 9, str(int(before) + 9))):
+        with pytest.raises(KeyError), more_partitions(spark, n):
+            assert spark.conf.get(key) == wanted
+            raise KeyError
+        assert spark.conf.get(key) == before
