@@ -13,9 +13,9 @@ from registry_spark.operators.numbering import number_rows
 
 def uid_text(prefix: Column, number: Column) -> Column:
     """``TZA-000142``; longer numbers are not cut; NULL when a part is NULL."""
-    return F.when(
-        prefix.isNotNull() & number.isNotNull(), F.format_string("%s-%06d", prefix, number)
-    )
+    digits = number.cast("string")
+    padded = F.when(number < 0, F.format_string("%06d", number)).when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
+    return F.concat(prefix, F.lit("-"), padded)
 
 
 def highest_numbers(registry: DataFrame) -> DataFrame:

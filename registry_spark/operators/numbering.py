@@ -24,7 +24,7 @@ def number_rows(
     Order: MD5 of the order columns' text, then the order columns. The first ``digits``
     hexadecimal digits cut each group, however large, into 16**digits buckets of
     even size; as they lead the order, their number changes no result (use 4 or more
-    for groups beyond some terabytes). Cells, 256 to a bucket, are counted by a narrow aggregate, the running
+    for groups beyond some terabytes). Cells, 16 to a bucket, are counted by a narrow aggregate, the running
     total of the buckets gives each its first number, and rows are ranked inside their
     bucket. Every number is a function of the rows alone, so a task that runs
     twice gives the same numbers and nothing has to be pinned between passes.
@@ -33,7 +33,8 @@ def number_rows(
     about ``PART_BYTES`` of the files, however much is numbered (``partitions_of``).
 
     ``order_by`` must tell different rows apart. Equal rows are interchangeable and fall into one cell: with
-    ``collapse`` the rows of cells of more than ``CHUNK`` rows (a group of 10 billion distinct rows has none with three digits)
+    ``collapse`` cells of more than ``CHUNK`` rows are counted again in 16 parts each (a group of 600 million distinct rows has none with
+    three digits, and adaptive execution then leaves that pass out), and the rows of parts still as large (none up to 10 billion)
     are counted before the shuffle, cut into chunks that
     fall into different buckets, and expanded again after numbering, so that a row
     copied very often does not end up in one task. Leave it off when rows are
@@ -49,16 +50,19 @@ def number_rows(
     rows = df.select(
         *columns,
         *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(g) for c, g in zip(within, groups)],
-        F.substring(hashed(F.lit(0)), 1, digits + 2).alias("__cell"),
-    )
+        F.substring(hashed(F.lit(0)), 1, digits + 2).alias("__part"),
+    ).withColumn("__cell", F.substring("__part", 1, digits + 1))
     cells = rows.groupBy(*groups, "__cell").agg(F.count(F.lit(1)).alias("__size"))
     bucket = F.substring("__cell", 1, digits).alias("__bucket")
     single = [F.lit(0).alias("__chunk"), F.lit(1).cast("bigint").alias("__size")]
     kept = [*columns, *groups]
     if collapse:
-        full = F.broadcast(cells.filter(F.col("__size") > CHUNK).select(*groups, "__cell"))
+        crowded = F.broadcast(cells.filter(F.col("__size") > CHUNK).select(*groups, "__cell"))
+        inner = rows.select(*groups, "__cell", "__part").join(crowded, [*groups, "__cell"], "left_semi")
+        inner = inner.groupBy(*groups, "__cell", "__part").agg(F.count(F.lit(1)).alias("__size"))
+        full = F.broadcast(inner.filter(F.col("__size") > CHUNK).select(*groups, "__part"))
         chunks = (
-            rows.join(full, [*groups, "__cell"], "left_semi")
+            rows.join(full, [*groups, "__part"], "left_semi")
             .groupBy(*kept)
             .agg(F.count(F.lit(1)).alias("__copies"))
             .withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.expr(f"CAST((__copies - 1) div {CHUNK} AS INT)"))))
@@ -66,9 +70,10 @@ def number_rows(
             .withColumn("__bucket", F.substring(hashed(F.col("__chunk")), 1, digits))
             .drop("__copies")
         )
-        seldom = rows.join(full, [*groups, "__cell"], "left_anti").select(*kept, *single, bucket)
+        seldom = rows.join(full, [*groups, "__part"], "left_anti").select(*kept, *single, bucket)
         rows = seldom.unionByName(chunks)
-        sizes = cells.filter(F.col("__size") <= CHUNK).select(*groups, bucket, "__size").unionByName(chunks.select(*groups, "__bucket", "__size"))
+        few = [counted.filter(F.col("__size") <= CHUNK).select(*groups, bucket, "__size") for counted in (cells, inner)]
+        sizes = few[0].unionByName(few[1]).unionByName(chunks.select(*groups, "__bucket", "__size"))
     else:
         rows = rows.select(*kept, *single, bucket)
         sizes = cells.select(*groups, bucket, "__size")

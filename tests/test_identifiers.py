@@ -125,3 +125,23 @@ def test_rare_and_frequent_copies_together(spark, monkeypatch):
     for digits in (1, 3):
         out = number_rows(spark.createDataFrame([(v,) for v in values], "k string"), ["k"], digits=digits)
         assert [r.k for r in out.orderBy("n").collect()] == expected
+
+
+def test_rows_are_counted_in_16_cells_a_bucket_and_finer_only_where_crowded(spark, monkeypatch, capsys):
+    """The numbers are those of one order, whether cells are crowded, full or neither."""
+    df = spark.range(2000).selectExpr("CASE WHEN id % 4 = 0 THEN 'copy' ELSE CAST(id AS STRING) END AS k")
+    plain = number_rows(df, ["k"], digits=1)
+    plain.explain()
+    plan = capsys.readouterr().out
+    assert re.search(r"hashpartitioning\(__cell#\d+, \d+\)", plan) and re.search(r"hashpartitioning\(__cell#\d+, __part#\d+, \d+\)", plan)
+    monkeypatch.setattr(numbering, "CHUNK", 6)
+    entries = [(hashlib.md5(f"copy|{c}".encode()).hexdigest(), "copy", min(6, 500 - 6 * c)) for c in range(84)]
+    entries += [(hashlib.md5(f"{i}|0".encode()).hexdigest(), str(i), 1) for i in range(2000) if i % 4]
+    expected = [value for _, value, size in sorted(entries) for _ in range(size)]
+    assert [r.k for r in number_rows(df, ["k"], digits=1).orderBy("n").collect()] == expected
+
+
+def test_uid_text_is_padded_as_by_a_format(frame):
+    numbers = [0, 5, 99999, 100000, 1234567, 2**62, -5, -1234567]
+    df = frame([(n,) for n in numbers], "n bigint")
+    assert [r[0] for r in df.select(identifiers.uid_text(F.lit("A"), F.col("n"))).collect()] == ["A-%06d" % n for n in numbers]
