@@ -17,6 +17,7 @@ from registry_spark.plans import facilities as facility_plan
 from registry_spark.plans import reports
 from registry_spark.plans import services as service_plan
 from registry_spark.schema import FACILITY_FIELDS, SERVICE_FIELDS, SLIM_SERVICE_COLUMNS, Field
+from registry_spark.session import more_partitions
 from registry_spark.sources import geometry, lake, readers, runlog
 from registry_spark.sources.shared import shared_folder, written
 from registry_spark.vocabularies import NAME_RULES
@@ -734,7 +735,9 @@ def run_feeds(spark, d):
     folder = shared_folder(spark)
     paths = facility_plan.LakePaths(f"{folder}/lake")
     lake.append_rows(t.registry(spark, d), paths.registry)
-    t.raw_services(spark, d).write.parquet(f"{folder}/list.parquet")
+    services = t.raw_services(spark, d)
+    with more_partitions(spark, lookups.partitions_of(t.read(spark, d, "lineitem"), 1024)):  # the join with the parts, too, by the size of the list
+        services.write.parquet(f"{folder}/list.parquet")
     t.crosswalk(spark, d).write.options(**lake.CSV).csv(f"{folder}/crosswalk.csv")
     inputs = {iso: (f"{folder}/{name}.parquet", f"{folder}/crosswalk.csv") for iso, name in (("TZA", "list"), ("KEN", "missing"))}
     service_plan.run_services(spark, inputs, paths, feeds={"TZA": FEED, "KEN": FEED}, table="services_of_run", order_by=t.SERVICE_ORDER)

@@ -100,8 +100,8 @@ def assign_uids_layered(
 
 
 def service_uids(
-    df: DataFrame, iso: str, order_by: list[str] | None = None, digits: int = 3, *, collapse: bool = True
+    df: DataFrame, iso: str, order_by: list[str] | None = None, digits: int = 3, *, collapse: bool = True, finer: int = 1
 ) -> DataFrame:
     """Add ``uid`` = ``{iso}-SVC-{number}`` to every row of one service list."""
-    numbered = number_rows(df, order_by or df.columns, name="__number", digits=digits, collapse=collapse)
+    numbered = number_rows(df, order_by or df.columns, name="__number", digits=digits, collapse=collapse, finer=finer)
     return numbered.withColumn("uid", uid_text(F.lit(f"{iso}-SVC"), F.col("__number"))).drop("__number")

@@ -23,17 +23,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def partitions_of(df: DataFrame, most: int) -> int | None:
+def partitions_of(df: DataFrame, most: int, finer: int = 1) -> int | None:
     """Partitions for a shuffle of all rows, by the size of the files that ``df`` reads; at most ``most``.
 
-    None when the session's number is enough, or nothing is read from files. Only file metadata is looked at.
+    None when the session's number is enough, or nothing is read from files; else ``finer`` times as many,
+    for tasks that hold rows much wider than in the files. Only file metadata is looked at.
     """
     files = df.inputFiles()
     if not files:
         return None
     stored = df.sparkSession.read.format("binaryFile").load([unquote(f) for f in files]).agg(F.sum("length")).first()[0] or 0
-    wanted = min(most, -(-stored // PART_BYTES))
-    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    wanted = -(-stored // PART_BYTES)
+    return min(most, wanted * finer) if min(most, wanted) > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def lookup_join(

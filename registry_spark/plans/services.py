@@ -20,6 +20,8 @@ from registry_spark.sources.runlog import RunLog
 PIPELINE_VERSION = "2.0"
 # A join of a list takes as many partitions as its files ask for, up to this.
 MOST_PARTITIONS = 4_096
+# Numbering of a large list takes so many for one of them: it sorts whole rows with their hash, and should not spill.
+FINER = 4
 
 
 def standardize_services(
@@ -36,13 +38,14 @@ def standardize_services(
     method: str = "auto",
     digits: int = 3,
     distinct: bool = False,
+    finer: int = 1,
 ) -> DataFrame:
     """Raw service list to the 19 published columns.
 
     Rows are numbered and meet the registry first, with the raw columns that are used and no others, since the
     lookups keep the number of rows and the crosswalk makes them wide. ``order_by`` must tell different rows apart (default:
     all raw columns). ``distinct`` says that no row is repeated, which saves the count of copies;
-    ``digits`` sets the number of numbering buckets and changes no number.
+    ``digits`` sets the number of numbering buckets and ``finer`` that of its partitions; they change no number.
     """
 
     sources = (feed.source_service_id, feed.source_type_id, feed.source_category_id, feed.source_service_name, feed.date_column)
@@ -52,7 +55,7 @@ def standardize_services(
     def text(name: str | None):
         return F.lit(None).cast("string") if name is None else F.col(short[name]).cast("string")
 
-    named = service_uids(raw, iso, order_by, digits, collapse=not distinct).select(
+    named = service_uids(raw, iso, order_by, digits, collapse=not distinct, finer=finer).select(
         "uid",
         F.col("facility_code").cast("string").alias("facility_code"),
         F.lit(iso).alias("country_iso"),
@@ -118,7 +121,7 @@ def run_services(
             raw = readers.read_service_list(spark, list_path, **(read_options or {}))
             crosswalk = readers.read_crosswalk(spark, crosswalk_path, **(crosswalk_options or {}))
             done = merge_services([standardize_services(
-                raw, iso, feeds[iso], crosswalk, registry, source_url=list_path, **options
+                raw, iso, feeds[iso], crosswalk, registry, source_url=list_path, **{"finer": FINER, **options}
             )])
             with more_partitions(spark, partitions_of(raw, MOST_PARTITIONS)):
                 done.write.mode("append").partitionBy("country_iso").parquet(path)

@@ -27,17 +27,29 @@ def small_methods(spark: SparkSession):
 
 @contextmanager
 def more_partitions(spark: SparkSession, n: int | None):
-    """Run jobs with ``n`` shuffle partitions, if given and more than the session has; the setting is restored after.
+    """Run jobs with ``n`` shuffle partitions, if given and more than the session has; the settings are restored after.
 
-    Unlike a repartition by key it leaves adaptive execution free to join and to split the partitions.
+    Unlike a repartition by key it leaves adaptive execution free to join and to split the partitions; it does not bring
+    them together again. Files are read in as many tasks, so that one does not buffer, and spill, many partitions' worth of
+    rows for a shuffle; small files stay whole.
     """
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(before), n or 0)))
+    settings = {key: str(max(int(spark.conf.get(key)), n or 0))}
+    if n:
+        scan = "spark.sql.files.minPartitionNum"
+        settings[scan] = str(max(int(spark.conf.get(scan, None) or spark.sparkContext.defaultParallelism), n))
+        settings["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, value in before.items():
+            if value is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, value)
 
 
 def local_session(

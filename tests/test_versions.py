@@ -5,15 +5,17 @@ from pathlib import Path
 
 import pytest
 
+from checks import queries
 from registry_spark.countries import Feed
+from registry_spark.operators import lookups, numbering
 from registry_spark.operators.identifiers import new_registry_rows
 from registry_spark.plans.facilities import LakePaths, land_answers, register_new
-from registry_spark.plans.services import run_services
+from registry_spark.plans.services import FINER, run_services
 from registry_spark.schema import UID_REGISTRY
 from registry_spark.session import more_partitions
 from registry_spark.sources import lake, readers
 from registry_spark.sources import versions as module
-from registry_spark.sources.runlog import RunLog
+from registry_spark.sources.runlog import RunLog, counters_path
 from registry_spark.sources.versions import Conflict, VersionedTable
 
 DAY = dt.date(2026, 1, 31)
@@ -175,3 +177,56 @@ def test_more_partitions_only_meanwhile(spark):
             assert spark.conf.get(key) == wanted
             raise KeyError
         assert spark.conf.get(key) == before
+
+
+def test_more_partitions_are_kept_and_read_in_as_many_tasks(spark, tmp_path):
+    """A join is not brought back to a few partitions that a task must spill; small files stay whole."""
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, scanned = [spark.conf.get(k, None) for k in keys], str(tmp_path / "rows")
+    spark.range(1_500_000).selectExpr("id", "uuid() AS text").coalesce(1).write.option("parquet.block.size", 4 << 20).parquet(scanned)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) + 9
+    with more_partitions(spark, n):
+        joined = spark.range(1000).join(spark.range(0, 2000, 2).hint("merge"), "id")
+        joined.write.parquet(str(tmp_path / "joined"))
+        assert spark.read.parquet(scanned).rdd.getNumPartitions() >= n
+        assert spark.read.parquet(str(tmp_path / "joined")).count() == 500
+    assert len(list((tmp_path / "joined").glob("part-*"))) == n
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_finer_partitions_only_of_large_lists(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "list")
+    spark.range(3000).selectExpr("uuid() AS text").coalesce(1).write.parquet(path)
+    session, stored = int(spark.conf.get("spark.sql.shuffle.partitions")), next(Path(path).glob("part-*")).stat().st_size
+    rows = spark.read.parquet(path)
+    for wanted, given in ((session, None), (session + 3, 4 * (session + 3)), (1000, 3000)):
+        monkeypatch.setattr(lookups, "PART_BYTES", -(-stored // wanted))
+        found = lookups.partitions_of(rows, 3000, 4)
+        assert found == given
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not Path(SF).is_dir(), reason="test tables not present")
+def test_a_run_deals_its_rows_by_the_size_of_the_list(spark, monkeypatch):
+    """Every merge join and the numbering of a run take more partitions for a larger list than the session has."""
+    monkeypatch.setattr(lookups, "PART_BYTES", 8_000)
+    limit, asked, number = "spark.sql.autoBroadcastJoinThreshold", [], numbering.partitions_of
+
+    def dealt(*args):
+        asked.append(number(*args))
+        return asked[-1]
+
+    monkeypatch.setattr(numbering, "partitions_of", dealt)
+    session, before = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        paths = queries.run_feeds(spark, SF)
+    finally:
+        spark.conf.set(limit, before)
+    files = len(list(Path(paths.root).parent.joinpath("list.parquet").glob("part-*")))
+    assert files > session
+    assert asked[0] > session and asked[0] % FINER == 0
+    rows = {r.counter: r.n for r in spark.read.parquet(counters_path(paths.log)).collect()}
+    assert rows["rows"] == spark.read.parquet(f"{SF}/lineitem.parquet").count() == rows["matched"] + rows["unmatched"]
