@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,12 @@ from registry_spark.sources.shared import written
 SEGMENT = 64
 # Turns of distinct segments that one pair of arrays holds.
 SHARD = 1 << 18
+# Slots for each of those turns; a stretch of segments whose arrays need more is cut in two.
+ROOM = 4
 # Slots in which a place for several children is looked for before the end is taken.
 WINDOW = 1 << 12
+# Places over all the array that are tried too for children of scattered numbers, and slots looked at in one step.
+PLACES, LOOKS = 1 << 10, 1 << 14
 # Segments of a conversation that one window adds up.
 SPAN = 1 << 10
 # Characters of a text that take part in dealing out turns of equal number.
@@ -41,20 +46,32 @@ NODE = "hi long, lo long, block long, depth long"
 EMPTY_HASH = hashlib.sha256(b"").hexdigest()
 
 
+class Crowded(Exception):
+    """The arrays would take more slots than they may."""
+
+
 class DoubleArray:
     """BASE and CHECK: the child of slot s by number c is base[s] + c, if check there is s. Slot 0 is the top."""
 
-    def __init__(self):
+    def __init__(self, most: int | None = None):
         self.base = np.zeros(1, np.int64)
         self.check = np.full(1, -2, np.int64)  # -1: free
-        self.free = 0  # no free slot lies before
+        self.free = 1  # no free slot lies before
+        self.end = 1  # no other slot lies from here on; the arrays may be longer
+        self.most = most
 
     def grow(self, size: int) -> None:
+        if self.most is not None and size > self.most:
+            raise Crowded
         more = size - len(self.check)
         if more > 0:
             more = max(more, len(self.check) // 2)
             self.base = np.concatenate((self.base, np.zeros(more, np.int64)))
             self.check = np.concatenate((self.check, np.full(more, -1, np.int64)))
+        self.end = max(self.end, size)
+
+    def trim(self) -> None:
+        self.base, self.check = self.base[: self.end].copy(), self.check[: self.end].copy()
 
     def place(self, parents: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Give all children of some slots a place; ``parents`` come in runs. Returns the children's slots."""
@@ -67,8 +84,10 @@ class DoubleArray:
         alone = first[sizes == 1]
         if len(alone):
             # An only child fits any free slot: its parent's base follows from the slot.
-            self.grow(len(self.check) + max(0, len(alone) - int((self.check == -1).sum())))
-            free = np.flatnonzero(self.check == -1)[: len(alone)]
+            free = self.free + np.flatnonzero(self.check[self.free : self.end] == -1)[: len(alone)]
+            past = np.arange(self.end, self.end + len(alone) - len(free))
+            self.grow(self.end + len(past))
+            free = np.concatenate((free, past))
             self.base[parents[alone]] = free - numbers[alone]
             self.check[free] = parents[alone]
             slots[alone] = free
@@ -76,22 +95,40 @@ class DoubleArray:
 
     def fit(self, parent: int, numbers: np.ndarray, tries: int = 256) -> np.ndarray:
         """First base among some at which every number meets a free slot, else one past the end."""
-        low, end = int(numbers.min()), len(self.check)
-        free = np.flatnonzero(self.check[self.free : self.free + WINDOW] == -1)[:tries] + self.free
-        self.free = int(free[0]) if len(free) else min(self.free + WINDOW, end)
-        base = end - low
-        for i in range(0, len(free), 32):
-            some = free[i : i + 32] - low
-            to = some[:, None] + numbers
-            good = np.flatnonzero(((to >= end) | (self.check[np.minimum(to, end - 1)] == -1)).all(1))
-            if len(good):
-                base = int(some[good[0]])
-                break
-        self.grow(base + int(numbers.max()) + 1)
+        low = int(numbers.min())
+        gaps = numbers - low
+        free = self.vacant()[:tries]
+        start = self.first(free, gaps)
+        if start is None and int(gaps.max()) >= 4 * len(gaps):
+            # Past the end they would leave many slots free.
+            start = self.first(np.arange(self.free, self.end, max(1, (self.end - self.free) // PLACES)), gaps)
+        base = (self.end if start is None else start) - low
+        self.grow(max(self.end, base + int(numbers.max()) + 1))
         self.base[parent] = base
         self.check[base + numbers] = parent
         return base + numbers
 
+    def vacant(self) -> np.ndarray:
+        """The first free slots: those of the first window that has any."""
+        while self.free < self.end:
+            found = np.flatnonzero(self.check[self.free : min(self.free + WINDOW, self.end)] == -1)
+            if len(found):
+                found += self.free
+                self.free = int(found[0])
+                return found
+            self.free = min(self.free + WINDOW, self.end)
+        return np.zeros(0, np.int64)
+
+    def first(self, starts: np.ndarray, gaps: np.ndarray) -> int | None:
+        """First of some slots from which all gaps lead to free slots."""
+        at, n = 0, 2
+        while len(starts) and at < len(gaps):
+            n = max(1, min(2 * n, LOOKS // len(starts)))
+            to = starts[:, None] + gaps[at : at + n]
+            starts = starts[((to >= self.end) | (self.check[np.minimum(to, self.end - 1)] == -1)).all(1)]
+            at += n
+        return int(starts[0]) if len(starts) else None
+
     def step(self, slots: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Children of slots by number; -1 where there is none."""
         to = self.base[slots] + numbers
@@ -114,9 +151,9 @@ def dense(pairs: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def pack(codes: np.ndarray, bounds: np.ndarray) -> DoubleArray:
-    """Arrays of all prefixes of distinct sequences in lexical order, level by level."""
-    trie, lengths = DoubleArray(), np.diff(bounds)
+def pack(codes: np.ndarray, bounds: np.ndarray, most: int | None = None) -> DoubleArray:
+    """Arrays of all prefixes of distinct sequences in lexical order, level by level; Crowded if above ``most`` slots."""
+    trie, lengths = DoubleArray(most), np.diff(bounds)
     slot = np.zeros(len(lengths), np.int64)
     some = np.flatnonzero(lengths > 0)
     depth = 0
@@ -127,13 +164,14 @@ def pack(codes: np.ndarray, bounds: np.ndarray) -> DoubleArray:
         slot[some] = trie.place(parents[new], numbers[new])[np.cumsum(new) - 1]
         depth += 1
         some = some[lengths[some] > depth]
+    trie.trim()
     return trie
 
 
 class Shard:
     """Nodes of a stretch of segments: packed, then walked by all segments, level by level."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, most: int | None = None):
         column = lambda name: rows.column(name).combine_chunks()
         number = lambda name: column(name).to_numpy(zero_copy_only=False)
         path = column("path")
@@ -154,7 +192,7 @@ class Shard:
         codes = np.empty(int(starts[-1]), np.int64)
         codes[starts[:-1]] = sub + int(numbers.max(initial=-1)) + 1
         codes[np.arange(len(hi)) + np.repeat(np.arange(count), lengths) + 1] = numbers
-        self.trie = pack(codes, starts)
+        self.trie = pack(codes, starts, most)
 
         size = len(self.trie.check)
         self.n, self.ended = np.zeros(size, np.int64), np.zeros(size, np.int64)
@@ -235,25 +273,39 @@ SHARD_ROW = (
 )
 
 
+def packed(rows: pa.Table, most: int, numbers: Iterator[int]) -> Iterator[pa.RecordBatch]:
+    """Nodes of the rows' shard, or of those of its halves if its arrays would take more than ``most`` slots."""
+    try:
+        out = Shard(rows, most if rows.num_rows > 1 else None).table(next(numbers))
+    except Crowded:
+        out = None
+    if out is not None:
+        yield out
+        return
+    half = rows.num_rows // 2
+    yield from packed(rows.slice(0, half), most, numbers)
+    yield from packed(rows.slice(half), most, numbers)
+
+
 def shard_rows(distinct: DataFrame, turns: int = SHARD) -> DataFrame:
     """Nodes of every shard of segments in lexical order; ``depth`` counts from the segment's start."""
     order = ["block", "prev_hi", "prev_lo", "path"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin(__name__)
-        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        numbers, held, size = itertools.count(TaskContext.get().partitionId() << 32), [], 0
         for batch in batches:
             lengths = np.diff(batch.column("path").offsets.to_numpy()) + 1
             part = (size + np.cumsum(lengths) - lengths) // turns
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
             for a, b in zip(cuts, cuts[1:]):
                 if held and size >= turns:
-                    yield Shard(pa.Table.from_batches(held)).table(number)
-                    number, held, size = number + 1, [], 0
+                    yield from packed(pa.Table.from_batches(held), ROOM * turns, numbers)
+                    held, size = [], 0
                 held.append(batch.slice(a, b - a))
                 size += int(lengths[a:b].sum())
         if held:
-            yield Shard(pa.Table.from_batches(held)).table(number)
+            yield from packed(pa.Table.from_batches(held), ROOM * turns, numbers)
 
     ship(distinct.sparkSession)
     return distinct.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, SHARD_ROW)

@@ -1,15 +1,17 @@
 """Prefix tries against brute force, in one shard and in many, in one segment and in many."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from registry_spark.llm.prefix_trie import PrefixTrie, dense, pack
+from registry_spark.llm.prefix_trie import Crowded, PrefixTrie, dense, pack, packed
 from registry_spark.llm.tasks import segments
 
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
@@ -118,3 +120,49 @@ def test_double_array(seed):
 def test_dense_numbers_follow_first_sight():
     pairs = np.array([[5, 1], [2, 2], [5, 1], [2, 3]])
     assert dense(pairs, np.array([3, 0, 1, 2])).tolist() == [1, 0, 1, 2]
+
+
+def test_many_first_turns_leave_few_slots_free():
+    """Children of a node that fills many windows: what follows goes right behind them."""
+    n = 30_000
+    firsts = np.repeat(np.arange(n), 2)
+    codes = np.stack([firsts, n + np.arange(2 * n)], 1).ravel()
+    trie = pack(codes, np.arange(0, 4 * n + 1, 2))
+    assert (trie.check >= 0).sum() == 3 * n
+    assert len(trie.check) < 4 * n
+    assert (trie.step(trie.step(np.zeros(2 * n, np.int64), firsts), n + np.arange(2 * n)) > 0).all()
+
+
+def scattered(seed, parents=40, children=25, pool=2000):
+    """Children of each node from a common pool: their numbers lie far apart."""
+    random.seed(seed)
+    return sorted((a, b) for a in range(parents) for b in random.sample(range(parents, parents + pool), children))
+
+
+def test_crowded_stretch_is_cut():
+    some = scattered(1)
+    codes, bounds = np.array(some, np.int64).ravel(), np.arange(0, 2 * len(some) + 1, 2)
+    most = 2 * 25 * 40
+    with pytest.raises(Crowded):
+        pack(codes, bounds, most)
+    turn = pa.StructArray.from_arrays([pa.array(codes), pa.array(codes + 7), pa.array(np.ones_like(codes))], ["hi", "lo", "words"])
+    none, one = np.zeros(len(some), np.int64), np.ones(len(some), np.int64)
+    rows = pa.table({
+        "block": none, "prev_hi": none, "prev_lo": none, "path": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), turn), "n": one, "ended": one,
+        "conv_id": np.arange(len(some)), "below_leaves": none, "below_saved": none,
+    })
+    batches = list(packed(rows, most, itertools.count(5)))
+    assert [b.column("shard")[0].as_py() for b in batches] == list(range(5, 5 + len(batches))) and len(batches) > 1
+    members = {}
+    for r in pa.Table.from_batches(batches).to_pylist():
+        members[r["hi"], r["lo"]] = members.get((r["hi"], r["lo"]), 0) + r["n"]
+    expected = {}
+    for a, b in some:
+        for hi, lo in ((0, 0), (a, a + 7), (a ^ b, (a + 7) ^ (b + 7))):
+            expected[hi, lo] = expected.get((hi, lo), 0) + 1
+    assert members == expected
+
+
+def test_scattered_turns_in_cut_stretches(spark):
+    rows = [(20 * k + c, t, "u", f"{t} {x}") for k, (a, b) in enumerate(scattered(3, 30, 12, 300)) for c in (0, 3) for t, x in enumerate((a, b, c))]
+    assert found(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4), shard=150) == brute(rows)
